@@ -1,8 +1,10 @@
-"""Column expressions. All of them are built-in Spark functions: no Python runs on the executors."""
+"""Column expressions. All of them are built-in Spark functions: no Python runs on the executors.
 
-from __future__ import annotations
+The longer ones are written as SQL lambdas. One text is parsed once, while the same tree put together from Python takes
+hundreds of calls into the JVM each time a query is built.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,28 +15,29 @@ WHITESPACE = (
     "\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+EMPTY_STRINGS = "CAST(array() AS ARRAY<STRING>)"
+
 
 def strip(text: Column) -> Column:
     """Remove any Unicode white space from both ends."""
     return F.trim(text, F.lit(WHITESPACE))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and use it many times in ``body``.
+def bind(name: str, value: str, body: str) -> str:
+    """SQL text that evaluates ``value`` once per row and calls it ``name`` in ``body``.
 
-    The value is bound as the variable of a one-element ``transform``, so the optimizer cannot copy the expression to
-    every place of use when it merges projections.
+    The name is the variable of a one-element ``transform``, so the optimizer cannot copy the value to every place of
+    use when it merges projections.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def apply(value: Column, name: str, body: str) -> Column:
+    """As ``bind``, for a value given as a column."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}")), F.lit(0))
 
 
 def last_wins_map(entries: Column) -> Column:
     """array<struct<key,value>> of strings -> map in which the last entry of a repeated key counts."""
-    empty = F.create_map().cast("map<string,string>")
-    return F.aggregate(
-        entries,
-        empty,
-        lambda seen, e: F.map_concat(
-            F.map_filter(seen, lambda k, _: k != e["key"]), F.create_map(e["key"], e["value"])
-        ),
-    )
+    add = "(seen, e) -> map_concat(map_filter(seen, (k, v) -> k <> e.key), map(e.key, e.value))"
+    return F.call_function("aggregate", entries, F.expr("CAST(map() AS MAP<STRING, STRING>)"), F.expr(add))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from atlaslex.functions import last_wins_map, let, strip
+from atlaslex.functions import apply, bind, last_wins_map, strip
 
 # The keywords kept as columns of the coordinate table.
 KEYWORD_COLUMNS = [
@@ -30,27 +30,24 @@ def coord_tags(text: Column) -> Column:
 
 def preferred_tag(tags: Column) -> Column:
     """The last tag shown in the page title, else the first tag, else NULL."""
-    titled = F.filter(tags, lambda t: F.contains(t, F.lit("display=title")))
-    return F.coalesce(F.try_element_at(titled, F.lit(-1)), F.get(tags, F.lit(0)))
+    return apply(
+        tags, "tags", "coalesce(try_element_at(filter(tags, t -> contains(t, 'display=title')), -1), get(tags, 0))"
+    )
 
 
 def page_coord(text: Column) -> Column:
-    """The coordinate template that stands for the page; ``''`` when it has none."""
-    tag = let(coord_tags(text), preferred_tag)
-    return F.when(mentions_coord(text), F.coalesce(tag, F.lit(""))).otherwise(F.lit(""))
+    """The coordinate template that stands for the page; NULL when it has none."""
+    return preferred_tag(coord_tags(text))
 
 
 def keyword_map(tag: Column) -> Column:
     """map<string,string> of the ``k=v`` and ``k:v`` items; a value ends at the next ``=`` (or ``:``)."""
-
-    def entry(item: Column) -> Column:
-        mark = F.when(F.contains(item, F.lit("=")), F.lit("=")).otherwise(F.lit(":"))
-        return F.struct(
-            F.split_part(item, mark, F.lit(1)).alias("key"), F.split_part(item, mark, F.lit(2)).alias("value")
-        )
-
-    items = F.filter(F.split(tag, r"\|"), lambda i: F.contains(i, F.lit("=")) | F.contains(i, F.lit(":")))
-    return last_wins_map(F.transform(items, entry))
+    entries = """
+    transform(filter(items, i -> contains(i, '=') OR contains(i, ':')), i -> named_struct(
+      'key', split_part(i, if(contains(i, '='), '=', ':'), 1),
+      'value', split_part(i, if(contains(i, '='), '=', ':'), 2)))
+    """
+    return last_wins_map(apply(F.split(tag, r"\|"), "items", entries))
 
 
 def allowed_keywords(keywords: Column) -> Column:
@@ -58,25 +55,52 @@ def allowed_keywords(keywords: Column) -> Column:
     return F.map_filter(keywords, lambda k, _: k.isin(*KEYWORD_COLUMNS))
 
 
-def position_items(tag: Column) -> Column:
-    """The positional items before the first keyword item, without the template name."""
-
-    def before_keywords(items: Column) -> Column:
-        first_keyword = F.array_position(
-            F.transform(items, lambda i: F.contains(i, F.lit(":")) | F.contains(i, F.lit("="))), F.lit(True)
-        )
-        kept = F.when(first_keyword == 0, F.size(items)).otherwise((first_keyword - 1).cast("int"))
-        return F.filter(F.slice(items, F.lit(1), kept), lambda i: ~i.rlike("|".join(NOT_POSITION)))
+# The items before the first keyword item that are not template words.
+_FIRST_KEYWORD = "array_position(transform(items, i -> contains(i, ':') OR contains(i, '=')), true)"
+_LEADING = f"""
+filter(slice(items, 1, CAST(if(first = 0, size(items), first - 1) AS INT)), i -> NOT i RLIKE '{"|".join(NOT_POSITION)}')
+"""
 
-    return let(F.split(tag, r"\|"), before_keywords)
 
-
-def _number(item: Column) -> Column:
-    return F.when(item.rlike(NUMBER), F.replace(item, F.lit("_"), F.lit("")).try_cast("double"))
-
-
-def _within(item: Column, letters: str) -> Column:
-    return F.instr(F.lit(letters), item) > 0
+def position_items(tag: Column) -> Column:
+    """The positional items before the first keyword item, without the template name."""
+    return apply(F.split(tag, r"\|"), "items", bind("first", _FIRST_KEYWORD, _LEADING))
+
+
+def _number(item: str) -> str:
+    return f"CASE WHEN {item} RLIKE r'{NUMBER}' THEN try_cast(replace({item}, '_', '') AS DOUBLE) END"
+
+
+def _angle(parts: str, sign: str) -> str:
+    """Degrees, minutes and seconds times the sign. With more than three numbers the fourth one is the factor instead:
+    so the table was always filled."""
+    numbers = f"transform({parts}, p -> {_number("replace(p, ',', '.')")})"
+    padded = f"concat({numbers}, array_repeat(0D, greatest(3 - size({parts}), 0)), array({sign}))"
+    return bind("a", padded, "(a[0] + a[1] / 60 + a[2] / 3600) * a[3]")
+
+
+_UNKNOWN = "named_struct('lat', 0D, 'lon', 0D, 'parsed', false)"
+_TWO_NUMBERS = f"""
+if({_number("q[0]")} IS NULL OR {_number("q[1]")} IS NULL, {_UNKNOWN},
+   named_struct('lat', {_number("q[0]")}, 'lon', {_number("q[1]")}, 'parsed', true))
+"""
+# ns and ew are the places of the direction marks; what is not a mark must be a number.
+_MARKED = f"""
+if(ns > 0 AND ew > 0 AND size(filter(q, x -> instr('nesw', x) > 0)) = 2
+   AND size(filter(q, x -> NOT replace(x, ',', '.') RLIKE r'{NUMBER}')) = 2,
+   named_struct(
+     'lat', {_angle("slice(q, 1, ns - 1)", "if(q[ns - 1] = 'n', 1D, -1D)")},
+     'lon', {_angle("slice(q, ns + 1, ew - 1)", "if(q[ns + ew - 1] = 'e', 1D, -1D)")},
+     'parsed', true),
+   {_UNKNOWN})
+"""
+_NS = "CAST(array_position(transform(q, x -> instr('ns', x) > 0), true) AS INT)"
+_EW = "CAST(array_position(transform(slice(q, ns + 1, size(q)), x -> instr('ew', x) > 0), true) AS INT)"
+_DECODE = f"""
+CASE WHEN size(q) < 2 THEN {_UNKNOWN}
+     WHEN size(q) = 2 THEN {_TWO_NUMBERS}
+     ELSE {bind("ns", _NS, bind("ew", _EW, _MARKED))} END
+"""
 
 
 def decode_position(items: Column) -> Column:
@@ -85,59 +109,8 @@ def decode_position(items: Column) -> Column:
     Two numbers are taken as they are. More items must hold one N/S mark and, after it, one E/W mark, each behind
     degrees, minutes and seconds. Whatever cannot be read is (0, 0) with ``parsed`` false.
     """
-
-    def answer(lat: Column, lon: Column, parsed: Column) -> Column:
-        return F.struct(
-            F.when(parsed, lat).otherwise(F.lit(0.0)).alias("lat"),
-            F.when(parsed, lon).otherwise(F.lit(0.0)).alias("lon"),
-            parsed.alias("parsed"),
-        )
-
-    def angle(parts: Column, sign: Column) -> Column:
-        numbers = F.transform(parts, lambda p: _number(F.replace(p, F.lit(","), F.lit("."))))
-        padding = F.array_repeat(F.lit(0.0), F.greatest(3 - F.size(parts), F.lit(0)))
-        # With more than three numbers the fourth one, not the sign, is the factor: so the table was always filled.
-        return let(
-            F.concat(numbers, padding, F.array(sign.cast("double"))),
-            lambda a: (F.get(a, F.lit(0)) + F.get(a, F.lit(1)) / 60 + F.get(a, F.lit(2)) / 3600) * F.get(a, F.lit(3)),
-        )
-
-    def sexagesimal(q: Column) -> Column:
-        ns_at = F.array_position(F.transform(q, lambda x: _within(x, "ns")), F.lit(True)).cast("int")
-
-        def with_ns(ns: Column) -> Column:
-            after = F.slice(q, ns + 1, F.size(q))
-            ew_at = F.array_position(F.transform(after, lambda x: _within(x, "ew")), F.lit(True)).cast("int")
-
-            def with_ew(ew: Column) -> Column:
-                lat_parts = F.slice(q, F.lit(1), F.greatest(ns - 1, F.lit(0)))
-                lon_parts = F.slice(q, ns + 1, F.greatest(ew - 1, F.lit(0)))
-                tail = F.slice(q, ns + ew + 1, F.size(q))
-                marks = F.size(F.filter(q, lambda x: _within(x, "nesw")))
-                numeric = F.forall(
-                    F.concat(lat_parts, lon_parts, tail),
-                    lambda x: F.replace(x, F.lit(","), F.lit(".")).rlike(NUMBER),
-                )
-                lat_sign = F.when(F.get(q, ns - 1) == "n", F.lit(1)).otherwise(F.lit(-1))
-                lon_sign = F.when(F.get(q, ns + ew - 1) == "e", F.lit(1)).otherwise(F.lit(-1))
-                return answer(
-                    angle(lat_parts, lat_sign), angle(lon_parts, lon_sign), (marks == 2) & (ns > 0) & (ew > 0) & numeric
-                )
-
-            return let(ew_at, with_ew)
-
-        return let(ns_at, with_ns)
-
-    def decode(q: Column) -> Column:
-        first, second = _number(F.get(q, F.lit(0))), _number(F.get(q, F.lit(1)))
-        return (
-            F.when(F.size(q) < 2, answer(F.lit(0.0), F.lit(0.0), F.lit(False)))
-            .when(F.size(q) == 2, answer(first, second, first.isNotNull() & second.isNotNull()))
-            .otherwise(sexagesimal(q))
-        )
-
-    cleaned = F.filter(F.transform(items, lambda i: F.lower(strip(i))), lambda i: i != "")
-    return let(cleaned, decode)
+    trimmed = F.transform(items, lambda i: F.lower(strip(i)))
+    return apply(F.filter(trimmed, lambda i: i != ""), "q", _DECODE)
 
 
 def decode_coord(tag: Column) -> Column:

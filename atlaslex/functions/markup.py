@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from atlaslex.functions import EMPTY_STRINGS, apply
+
 BLOCK = 256
 PIECE = r"\{+|\}+|</?|/?>|[^{}<>/]+|/"
 # The heading that ends an article, and the characters that never reach the plain text.
@@ -22,58 +24,38 @@ SEE_ALSO = "==See also=="
 DROPPED = "[]()'"
 
 
-def _outside_only(text: Column) -> Column:
-    no_parts = F.array().cast("array<string>")
-
-    def read_piece(state: Column, piece: Column) -> Column:
-        depth, in_tag = state["depth"], state["in_tag"]
-        opens_brace, closes_brace = piece.startswith("{"), piece.startswith("}")
-        opens_tag, closes_tag = piece.startswith("<"), piece.endswith(">")
-        pairs = F.length(piece) - 1
-        depth_after = (
-            F.when(opens_brace, depth + pairs)
-            .when(closes_brace, F.greatest(depth - pairs, F.lit(0)))
-            .when(opens_tag, depth + 1)
-            .when(closes_tag, F.greatest(depth - 1, F.lit(0)))
-            .otherwise(depth)
-        )
-        in_tag_after = (
-            F.when(piece == "<", F.lit(True)).when(piece.isin("</", "/>"), F.lit(False)).otherwise(in_tag)
-        )
-        printed = (
-            F.when((depth > 0) | in_tag | opens_brace | closes_brace | opens_tag | (piece == ">"), F.lit(""))
-            .when(piece == "/>", F.lit("/"))
-            .otherwise(piece)
-        )
-        return F.struct(
-            depth_after.alias("depth"),
-            in_tag_after.alias("in_tag"),
-            F.concat(state["parts"], F.array(printed)).alias("parts"),
-        )
-
-    def read_block(state: Column, block: Column) -> Column:
-        return F.aggregate(
-            F.regexp_extract_all(block, F.lit(PIECE), F.lit(0)),
-            F.struct(state["depth"].alias("depth"), state["in_tag"].alias("in_tag"), no_parts.alias("parts")),
-            read_piece,
-            lambda end: F.struct(
-                end["depth"].alias("depth"),
-                end["in_tag"].alias("in_tag"),
-                F.concat(state["parts"], F.array(F.array_join(end["parts"], ""))).alias("parts"),
-            ),
-        )
-
-    return F.aggregate(
-        F.regexp_extract_all(text, F.lit(f"(?:{PIECE}){{1,{BLOCK}}}"), F.lit(0)),
-        F.struct(F.lit(0).alias("depth"), F.lit(False).alias("in_tag"), no_parts.alias("parts")),
-        read_block,
-        lambda end: F.array_join(end["parts"], ""),
-    )
+# One step of the fold: depth and tag state after a piece, and what the piece prints in the state before it.
+_READ_PIECE = """
+(state, piece) -> named_struct(
+  'depth', CASE
+    WHEN startswith(piece, '{') THEN state.depth + length(piece) - 1
+    WHEN startswith(piece, '}') THEN greatest(state.depth - length(piece) + 1, 0)
+    WHEN startswith(piece, '<') THEN state.depth + 1
+    WHEN endswith(piece, '>') THEN greatest(state.depth - 1, 0)
+    ELSE state.depth END,
+  'in_tag', CASE WHEN piece = '<' THEN true WHEN piece IN ('</', '/>') THEN false ELSE state.in_tag END,
+  'parts', concat(state.parts, array(CASE
+    WHEN state.depth > 0 OR state.in_tag OR left(piece, 1) IN ('{', '}', '<', '>') THEN ''
+    WHEN piece = '/>' THEN '/'
+    ELSE piece END)))
+"""
+_OUTSIDE_ONLY = f"""
+aggregate(
+  regexp_extract_all(page, r'(?:{PIECE}){{1,{BLOCK}}}', 0),
+  named_struct('depth', 0, 'in_tag', false, 'parts', {EMPTY_STRINGS}),
+  (page_state, block) -> aggregate(
+    regexp_extract_all(block, r'{PIECE}', 0),
+    named_struct('depth', page_state.depth, 'in_tag', page_state.in_tag, 'parts', {EMPTY_STRINGS}),
+    {_READ_PIECE},
+    done -> named_struct('depth', done.depth, 'in_tag', done.in_tag,
+                         'parts', concat(page_state.parts, array(array_join(done.parts, ''))))),
+  done -> array_join(done.parts, ''))
+"""
+_PLAIN = f"CASE WHEN page RLIKE r'[{{}}<>]' THEN {_OUTSIDE_ONLY} ELSE page END"
 
 
 def strip_markup(text: Column) -> Column:
     """Plain text of an article: templates, tags, brackets and everything from "See also" on are gone."""
-    whole = F.coalesce(text, F.lit(""))
-    outside = F.when(whole.rlike("[{}<>]"), _outside_only(whole)).otherwise(whole)
+    outside = apply(F.coalesce(text, F.lit("")), "page", _PLAIN)
     flat = F.translate(outside, "|" + DROPPED, " ")
     return F.translate(F.substring_index(flat, SEE_ALSO, 1), "=", " ")

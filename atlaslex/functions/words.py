@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from atlaslex.functions import let
+from atlaslex.functions import apply, bind
 
 # Letters and digits of any script, and the underscore, make up words.
 IN_WORD = r"[\p{L}\p{N}_]"
@@ -21,10 +21,25 @@ def split_contractions(text: Column) -> Column:
     return F.regexp_replace(text, CONTRACTION_HEAD, "$0 ")
 
 
+def _pieces(text: Column) -> Column:
+    return F.split(split_contractions(F.lower(F.coalesce(text, F.lit("")))), BETWEEN_WORDS)
+
+
 def words(text: Column) -> Column:
     """Lower-case words of ``text`` in order, as array<string>."""
-    pieces = F.split(split_contractions(F.lower(F.coalesce(text, F.lit("")))), BETWEEN_WORDS)
-    return F.filter(pieces, lambda w: w != "")
+    return F.array_compact(F.transform(_pieces(text), lambda w: F.nullif(w, F.lit(""))))
+
+
+# Runs of equal words in a sorted array: where they start, and how far apart the starts are.
+_STARTS = """
+filter(sequence(0, size(ordered) - 1),
+       i -> get(ordered, i) <> '' AND (i = 0 OR get(ordered, i) <> get(ordered, i - 1)))
+"""
+_RUNS = """
+transform(starts, (start, i) -> named_struct(
+  'word', get(ordered, start),
+  'tf', CAST(coalesce(get(starts, i + 1), size(ordered)) - start AS BIGINT)))
+"""
 
 
 def word_counts(text: Column) -> Column:
@@ -33,25 +48,7 @@ def word_counts(text: Column) -> Column:
     The words are sorted within the row and counted as the distance between the starts of equal runs. An article is one
     row, so no shuffle is needed to count its words.
     """
-
-    def count_runs(ordered: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(ordered) - 1),
-            lambda i: (F.get(ordered, i) != "") & ((i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))),
-        )
-        return let(
-            starts,
-            lambda at: F.transform(
-                at,
-                lambda start, i: F.struct(
-                    F.get(ordered, start).alias("word"),
-                    (F.coalesce(F.get(at, i + 1), F.size(ordered)) - start).cast("long").alias("tf"),
-                ),
-            ),
-        )
-
-    pieces = F.split(split_contractions(F.lower(F.coalesce(text, F.lit("")))), BETWEEN_WORDS)
-    return let(F.sort_array(pieces), count_runs)
+    return apply(F.sort_array(_pieces(text)), "ordered", bind("starts", _STARTS, _RUNS))
 
 
 def capitalized(word: Column) -> Column:

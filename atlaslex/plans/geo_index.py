@@ -29,31 +29,37 @@ class GeoIndex:
     titles: DataFrame
 
 
-def coord_row(coord: str = "coords", title: str = "title") -> list[Column]:
-    """The fixed columns of the coordinate table, from columns ``_position`` and ``_keywords``."""
-    columns = [
-        F.col(coord).alias("coords"),
-        F.col("_position.lat").alias("lat"),
-        F.col("_position.lon").alias("lon"),
-        F.col("page_id"),
-    ]
-    for name in KEYWORD_COLUMNS:
-        # The article title always replaces a keyword of that name.
-        value = F.col(title) if name == "title" else F.try_element_at("_keywords", F.lit(name))
-        columns.append(F.coalesce(value, F.lit("")).alias(name))
-    return columns
+def _once(coord: Column) -> Column:
+    """Generator of one row: template, position and keywords of a page, or of no row when the template is missing.
+
+    A generator is where the optimizer stops: a filter on ``display`` is not pushed below it, so that the template is
+    found once per page and not once per predicate.
+    """
+    return F.inline(
+        F.transform(
+            F.filter(F.array(coord), lambda c: c.isNotNull() & (c != "")),
+            lambda c: F.struct(c.alias("coords"), decode_coord(c).alias("_position"), keyword_map(c).alias("_keywords")),
+        )
+    )
+
+
+# The fixed columns of the coordinate table; the article title always replaces a keyword of that name.
+COORD_ROW = [
+    "coords", "_position.lat", "_position.lon", "page_id",
+    *(f"coalesce({'title' if k == 'title' else f"try_element_at(_keywords, '{k}')"}, '') AS {k}" for k in KEYWORD_COLUMNS),
+    "_position.parsed",
+]
 
 
 def explode_keywords(tags: DataFrame) -> DataFrame:
     """(page_id, title, coords) -> coordinate table with 4 + 21 columns, defaults filled, plus ``parsed``."""
-    decoded = tags.withColumns({"_position": decode_coord(F.col("coords")), "_keywords": keyword_map(F.col("coords"))})
-    return decoded.select(*coord_row(), F.col("_position.parsed").alias("parsed"))
+    return tags.select("page_id", "title", _once(F.col("coords"))).selectExpr(*COORD_ROW)
 
 
 def geo_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, title, wikitext, coords) of the pages with a coordinate template."""
-    found = pages.filter(mentions_coord(F.col("wikitext"))).withColumn("coords", page_coord(F.col("wikitext")))
-    return found.filter("coords <> ''").select("page_id", "title", "wikitext", "coords")
+    """(page_id, title, wikitext, coords, _position, _keywords) of the pages with a coordinate template."""
+    mentioning = pages.filter(mentions_coord(F.col("wikitext")))
+    return mentioning.select("page_id", "title", "wikitext", _once(page_coord(F.col("wikitext"))))
 
 
 def shown_in_title(coords: DataFrame) -> DataFrame:
@@ -68,9 +74,8 @@ def selected_pages(pages: DataFrame, coords: DataFrame) -> DataFrame:
 
 def text_pages(pages: DataFrame) -> DataFrame:
     """(page_id, title, wikitext) of the selected places in one pass over the dump, with no join."""
-    found = geo_pages(pages)
-    display = F.try_element_at(keyword_map(F.col("coords")), F.lit("display"))
-    return found.filter(display == SHOWN_IN_TITLE).select("page_id", "title", "wikitext")
+    display = F.try_element_at("_keywords", F.lit("display"))
+    return geo_pages(pages).filter(display == SHOWN_IN_TITLE).select("page_id", "title", "wikitext")
 
 
 def title_table(pages: DataFrame) -> DataFrame:
@@ -81,7 +86,7 @@ def title_table(pages: DataFrame) -> DataFrame:
 def build_geo_index(pages: DataFrame, existing: DataFrame | None = None) -> GeoIndex:
     """Index of a dump; with ``existing`` coordinate rows, pages already present keep their row."""
     found = geo_pages(pages)
-    coords = explode_keywords(found)
+    coords = found.selectExpr(*COORD_ROW)
     if existing is None:
         coords = first_per_key(coords, "page_id", [F.col("coords")])
     else:
@@ -93,7 +98,7 @@ def build_geo_index(pages: DataFrame, existing: DataFrame | None = None) -> GeoI
 def load_statistics(pages: DataFrame) -> DataFrame:
     """One row: pages, pages mentioning a coordinate, with and without a template, and the share mentioning one."""
     text = F.col("wikitext")
-    flags = pages.select(mentions_coord(text).alias("mention"), (page_coord(text) != "").alias("tag"))
+    flags = pages.select(mentions_coord(text).alias("mention"), F.coalesce(page_coord(text) != "", F.lit(False)).alias("tag"))
     count = F.count(F.lit(1))
     mentions = F.count_if("mention")
     return flags.agg(

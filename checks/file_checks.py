@@ -139,9 +139,9 @@ def _(t):
     return stage(document_counts(t), "counts").select("page_id", "word", "tf")
 
 
-@query("k3_label_files", f"select cast(zoom as integer) as zoom, label, round(lat, 5) as lat, round(lon, 5) as lon from ({LABELS})")
+@query("k3_label_files", f"select cast(zoom as integer) as zoom, label, lat, lon from ({LABELS})")
 def _(t):
     path = new_location(t.spark, "labels")
     files.write_labels(labels.label_clusters(gridded_words(t)), path)
     back = t.spark.read.schema("label string, lat double, lon double, zoom int").options(header="true", **tables.CSV_TEXT).csv(path)
-    return back.select("zoom", "label", F.round("lat", 5).alias("lat"), F.round("lon", 5).alias("lon"))
+    return back.select("zoom", "label", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))

@@ -188,10 +188,10 @@ RANKED = f"""select zoom, cluster, word, round(tf_idf * ln(ones), 9) as score fr
  qualify row_number() over (partition by zoom, cluster order by round(tf_idf * ln(ones), 9) desc, word) <= 6"""
 
 
-@query("t2_ranked_words", f"select zoom, cluster, word, round(score, 6) as score, cast(row_number() over (partition by zoom, cluster order by score desc, word) as integer) as rank from ({RANKED})")
+@query("t2_ranked_words", f"select zoom, cluster, word, score, cast(row_number() over (partition by zoom, cluster order by score desc, word) as integer) as rank from ({RANKED})")
 def _(t):
     ranked = labels.ranked_words(labels.word_stats(labels.by_zoom(gridded_words(t))))
-    return ranked.select("zoom", "cluster", "word", F.round("score", 6).alias("score"), "rank")
+    return ranked.select("zoom", "cluster", "word", "score", "rank")
 
 
 CENTER_MEANS = f"select zoom, cluster, round(sum(sum_lat) / sum(ones), 6) as lat, round(sum(sum_lon) / sum(ones), 6) as lon from ({sql.STATS}) group by zoom, cluster"

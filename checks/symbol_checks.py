@@ -66,13 +66,13 @@ def _(t):
     return page_stats(pairs(t), "symbol")
 
 
-RARE_PAIRS = "select distinct word as symbol, doc_id as page_id from (select doc_id, unnest(string_split(text, ' ')) as word from documents) where length(word) = 1"
+RARE_PAIRS = "select distinct word as symbol, doc_id as page_id from (select doc_id, unnest(string_split(text, ' ')) as word from documents)"
 
 
-@query("p9_single_page_symbols", f"select symbol, count(*) as pagecount, min(page_id) as first_page from ({RARE_PAIRS}) group by symbol having count(*) = 1")
+@query("p9_single_page_only", f"select symbol, count(*) as pagecount, min(page_id) as first_page from ({RARE_PAIRS}) group by symbol having count(*) = 1")
 def _(t):
     words = t.documents.select(F.explode(F.split("text", " ")).alias("symbol"), F.col("doc_id").alias("page_id"))
-    return symbols.single_page_symbols(page_stats(words.filter("length(symbol) = 1").distinct(), "symbol"))
+    return symbols.single_page_symbols(page_stats(words.distinct(), "symbol"))
 
 
 FIRST = f"select s.symbol, s.pagecount, c.page_id, c.title, round(c.lat, 9) as lat, round(c.lon, 9) as lon from ({PAGE_STATS}) s join ({sql.COORD_TABLE}) c on c.page_id = s.first_page"
