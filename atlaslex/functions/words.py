@@ -14,15 +14,14 @@ BETWEEN_WORDS = r"[^\p{L}\p{N}_]+"
 CONTRACTIONS = [("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("wan", "na")]
 _SPLIT_HERE = "|".join(f"{head}(?={tail}(?!{IN_WORD}))" for head, tail in CONTRACTIONS)
 CONTRACTION_HEAD = f"(?<!{IN_WORD})(?:{_SPLIT_HERE})"
-
-
-def split_contractions(text: Column) -> Column:
-    """Put a space into lower-case ``cannot``, ``gonna`` and the like."""
-    return F.regexp_replace(text, CONTRACTION_HEAD, "$0 ")
+# Most pages hold no contraction: a plain substring test saves them a regular expression.
+_HAS_CONTRACTION = " OR ".join(f"contains(t, '{head}{tail}')" for head, tail in CONTRACTIONS)
+_SPLIT_IF_ANY = f"CASE WHEN {_HAS_CONTRACTION} THEN regexp_replace(t, r'{CONTRACTION_HEAD}', '$0 ') ELSE t END"
 
 
 def _pieces(text: Column) -> Column:
-    return F.split(split_contractions(F.lower(F.coalesce(text, F.lit("")))), BETWEEN_WORDS)
+    """Words and, at the ends, empty strings."""
+    return F.split(apply(F.lower(F.coalesce(text, F.lit(""))), "t", _SPLIT_IF_ANY), BETWEEN_WORDS)
 
 
 def words(text: Column) -> Column:
@@ -30,10 +29,10 @@ def words(text: Column) -> Column:
     return F.array_compact(F.transform(_pieces(text), lambda w: F.nullif(w, F.lit(""))))
 
 
-# Runs of equal words in a sorted array: where they start, and how far apart the starts are.
+# Runs of equal words in a sorted array: where they start, and how far apart the starts are. Empty strings sort first and
+# equal the stand-in for "no word before", so they start no run.
 _STARTS = """
-filter(sequence(0, size(ordered) - 1),
-       i -> get(ordered, i) <> '' AND (i = 0 OR get(ordered, i) <> get(ordered, i - 1)))
+filter(sequence(0, size(ordered) - 1), i -> get(ordered, i) <> coalesce(get(ordered, i - 1), ''))
 """
 _RUNS = """
 transform(starts, (start, i) -> named_struct(

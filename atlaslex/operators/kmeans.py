@@ -16,13 +16,17 @@ from atlaslex.functions.geo import squared_degrees
 MAX_CENTERS = 50_000
 
 
-def fit_kmeans(sample: DataFrame, k: int, seed: int = 0, iterations: int = 10) -> KMeansModel:
-    """K-means on (lat, lon); equal points are merged into one weighted point first.
+def weighted_points(rows: DataFrame) -> DataFrame:
+    """(lat, lon, weight): equal points merged, so that a fit sees every place once."""
+    return rows.groupBy("lat", "lon").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def fit_kmeans(points: DataFrame, k: int, seed: int = 0, iterations: int = 10) -> KMeansModel:
+    """K-means on weighted points ``(lat, lon, weight)``.
 
     Fewer than ``k`` centers come back when there are fewer than ``k`` distinct points. Random starts are used because
     the default seeding would rank tens of thousands of candidate centers on the driver.
     """
-    points = sample.groupBy("lat", "lon").agg(F.count(F.lit(1)).cast("double").alias("weight"))
     vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(points)
     model = KMeans(k=k, seed=seed, maxIter=iterations, initMode="random", weightCol="weight", featuresCol="features")
     return model.fit(vectors)

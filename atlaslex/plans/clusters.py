@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlaslex.functions.geo import continent, in_world
-from atlaslex.operators.kmeans import assign, fit_kmeans
+from atlaslex.operators.kmeans import assign, fit_kmeans, weighted_points
 from atlaslex.operators.lookup import lookup_join
 from atlaslex.operators.sampling import sample_rows
 from atlaslex.staging import stage
@@ -34,15 +34,16 @@ def cluster_words(
 ) -> DataFrame:
     """Add ``cluster_7`` and ``cluster_<k>`` for each k to a stored table of mappable words.
 
-    Each k is fitted on a sample of rows. Words of an article share one point, so the words of a page are packed into
-    one row (the top words of a page, a small number), the point is assigned once and the words are unpacked: one shuffle, and no
-    join on coordinates, which a third of the pages may share.
+    Each k is fitted on a sample of rows. The words of an article share one point, so they are packed into one row (they
+    are the few top words of a page), the point is assigned once and the words are unpacked: one shuffle, and no join on
+    coordinates, which a third of the pages may share.
     """
-    sample = stage(sample_rows(words, fit_rows, ["page_id", "word"], seed).select("lat", "lon"), "fit-sample")
+    sample = sample_rows(words, fit_rows, ["page_id", "word"], seed)
+    points = stage(weighted_points(sample), "fit-points")
     carried = [c for c in words.columns if c not in ("page_id", "lat", "lon")]
     pages = words.groupBy("page_id", "lat", "lon").agg(F.collect_list(F.struct(*carried)).alias("_words"))
     pages = pages.withColumn("cluster_7", continent(F.col("lat"), F.col("lon")))
     for k in counts:
-        pages = assign(pages, fit_kmeans(sample, k, seed), f"cluster_{k}")
+        pages = assign(pages, fit_kmeans(points, k, seed), f"cluster_{k}")
     names = ["cluster_7", *[f"cluster_{k}" for k in counts]]
     return pages.select("page_id", "lat", "lon", *names, F.inline("_words")).select(*words.columns, *names)

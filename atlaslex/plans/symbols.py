@@ -53,7 +53,12 @@ def first_places(stats: DataFrame, coords: DataFrame) -> DataFrame:
     return coords.select("page_id", "title", "lat", "lon").join(first, "page_id")
 
 
+def usable_first_places(pairs: DataFrame, coords: DataFrame) -> DataFrame:
+    """First places of distinct (symbol, page_id) rows, without those that have no position."""
+    placed = first_places(page_stats(pairs, "symbol"), coords)
+    return placed.filter(F.col("lon").isNotNull() & (F.col("lon") != 0))
+
+
 def symbol_places(pages: DataFrame, coords: DataFrame, symbols: DataFrame, removals: DataFrame) -> DataFrame:
     """(symbol, pagecount, page_id, title, lat, lon) for symbols whose first page has a usable position."""
-    stats = page_stats(symbol_pages(pages, wanted_symbols(symbols, removals)), "symbol")
-    return first_places(stats, coords).filter(F.col("lon").isNotNull() & (F.col("lon") != 0))
+    return usable_first_places(symbol_pages(pages, wanted_symbols(symbols, removals)), coords)

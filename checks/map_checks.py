@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atlaslex.functions.geo import continent, continent_name, in_world, squared_degrees
-from atlaslex.operators.kmeans import assign, center_table, fit_kmeans, minibatch_step, nearest_center
+from atlaslex.operators.kmeans import assign, center_table, fit_kmeans, minibatch_step, nearest_center, weighted_points
 from atlaslex.operators.sampling import sample_rows
 from atlaslex.plans import clusters, labels, places
 from atlaslex.plans.significance import doc_freq, significant_words_of_pages, term_counts
@@ -143,15 +143,15 @@ def _(t):
 @query("m1_fit_kmeans")
 def _(t):
     words = dictionary_words(t)
-    sample = stage(sample_rows(words, clusters.FIT_ROWS, ["page_id", "word"]).select("lat", "lon"), "fit-sample")
-    return center_table(fit_kmeans(sample, 193), words)
+    points = stage(weighted_points(sample_rows(words, clusters.FIT_ROWS, ["page_id", "word"])), "fit-points")
+    return center_table(fit_kmeans(points, 193), words)
 
 
 # Every point must get a center that is as near as any other: no row may differ.
 @query("m2_assign_is_nearest", f"select count(*) as points, cast(0 as bigint) as not_nearest from ({sql.POINTS})")
 def _(t):
     points = customer_points(t)
-    model = fit_kmeans(points, 40)
+    model = fit_kmeans(weighted_points(points), 40)
     centers = center_table(model, points)
     given = assign(points, model, "given").join(
         F.broadcast(centers.select(F.col("cluster").alias("given"), F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"))), "given"
