@@ -16,6 +16,7 @@ import argparse
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from atlaslex.functions.coords import mentions_coord
 from atlaslex.operators.page_lists import page_lists
 from atlaslex.operators.sampling import prefix_share
 from atlaslex.plans import clusters, geo_index, keywords, labels, places, significance, symbols
@@ -43,9 +44,10 @@ def index(spark: SparkSession, folder: str, dump: str, share: float = 1.0) -> No
     Only the page ids of the stored places are joined; the text is scanned once and never shuffled when nothing is
     stored yet.
     """
-    found = geo_index.geo_pages(prefix_share(read_dump(spark, dump), share)).selectExpr(
-        *geo_index.COORD_ROW, "wikitext"
-    )
+    # The words of a template are the same in the XML record: pages without them are not even parsed. A leading share
+    # counts all pages, so there every page is.
+    pages = read_dump(spark, dump, mentions_coord) if share >= 1 else prefix_share(read_dump(spark, dump), share)
+    found = geo_index.geo_pages(pages).selectExpr(*geo_index.COORD_ROW, "wikitext")
     stored = f"{folder}/places"
     if _exists(spark, stored):
         found = found.join(_load(spark, folder, "places").select("page_id"), "page_id", "left_anti").select(found.columns)

@@ -1,30 +1,50 @@
-"""Article dumps in MediaWiki XML."""
+"""Article dumps in MediaWiki XML.
+
+Spark's XML source reads one file in one task, and a dump may be a single file of many gigabytes. The end tag of a page
+cannot occur inside a page (markup in the text is escaped), so the files are read as text records that end at it: plain
+and bzip2 files are then split over all executors. Only records that may be of interest are parsed as XML.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlaslex.functions.links import dump_date, dump_language
 
-# The file is split at page borders, so one large dump is parsed by all executors. Text is kept as it is.
-READ = {"rowTag": "page", "ignoreSurroundingSpaces": "false", "nullValue": "\u0000"}
-PAGE_SCHEMA = """
-    id bigint, title string,
-    revision struct<id: bigint, text: struct<_VALUE: string, `_xml:space`: string>>
-"""
+PAGE_START, PAGE_END = "<page>", "</page>"
+PARSE = {"rowTag": "page", "ignoreSurroundingSpaces": "false", "nullValue": "\u0000"}
+PAGE_SCHEMA = "id bigint, title string, revision struct<text: struct<_VALUE: string>>"
+
 
+def read_dump(
+    spark: SparkSession, path: str, wanted: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """(page_id, title, wikitext, language, dump_date) of the pages in the dump files under ``path``.
 
-def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, title, wikitext, language, dump_date) of every page in the dump files under ``path``."""
-    raw = spark.read.schema(PAGE_SCHEMA).options(**READ).format("xml").load(path)
+    ``wanted`` is a test on the raw page record, made before the record is parsed. A page that cannot be parsed is left
+    out.
+    """
+    records = spark.read.option("lineSep", PAGE_END).text(path)
     source = F.col("_metadata.file_path")
-    return raw.select(
+    raw = F.concat(F.lit(PAGE_START), F.substring_index("value", PAGE_START, -1), F.lit(PAGE_END))
+    pages = records.filter(F.contains("value", F.lit(PAGE_START)))
+    if wanted is not None:
+        pages = pages.filter(wanted(F.col("value")))
+    # One generator row per page: filters further up cannot make Spark parse a page twice.
+    parsed = pages.select(
+        F.inline(F.array(F.from_xml(raw, PAGE_SCHEMA, PARSE))),
+        dump_language(source).alias("language"),
+        dump_date(source).alias("dump_date"),
+    )
+    return parsed.filter(F.col("id").isNotNull()).select(
         F.col("id").alias("page_id"),
         "title",
         F.coalesce("revision.text._VALUE", F.lit("")).alias("wikitext"),
-        dump_language(source).alias("language"),
-        dump_date(source).alias("dump_date"),
+        "language",
+        "dump_date",
     )
 
 

@@ -16,10 +16,10 @@ CSV_TEXT = {"quote": '"', "escape": '"', "multiLine": "true"}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table. A table of fewer files than cores is spread over the cores; larger ones are read as they lie."""
+    """A Parquet table. A table of fewer splits than cores is spread over the cores; larger ones are read as they lie."""
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:

@@ -89,10 +89,14 @@ def _(t):
     return rounded(usable.select("page_id", "lat", "lon"))
 
 
-@query("q7_symbol_places", f"select * from ({FIRST}) where lon <> 0")
+SHOWN_PAIRS = f"select * from ({PAIRS}) where page_id in (select page_id from ({sql.SHOWN}) where display = 'inline,title')"
+SHOWN_FIRST = FIRST.replace(PAIRS, SHOWN_PAIRS)
+
+
+@query("q7_symbol_places", f"select * from ({SHOWN_FIRST}) where lon <> 0")
 def symbol_places(t):
-    pages = wiki_pages(t)
-    coords = geo_index.build_geo_index(pages).coords
+    pages = geo_index.text_pages(wiki_pages(t))
+    coords = geo_index.build_geo_index(wiki_pages(t)).coords
     return rounded(symbols.symbol_places(pages, coords, symbol_set(t), symbol_set(t, SYMBOL_REMOVALS)))
 
 
