@@ -8,6 +8,8 @@ hot key's rows, and every row takes exactly one of the two ways.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,19 +56,20 @@ def lookup_join(
     entries: DataFrame,
     key: str,
     how: str = "inner",
-    hot: DataFrame | None = None,
+    hot: Callable[[], DataFrame] | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``rows`` with ``entries`` (one row per ``key``); ``how`` is inner, left or left_semi.
 
-    ``hot`` may name the heavy keys when their counts are known already. ``rows`` is read twice when the split applies.
+    ``rows`` is read twice when the split applies, so it should be a stored table. ``hot`` may give the heavy keys when
+    their counts are known already; it is asked only then.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(how)
     if estimated_bytes(entries) <= limit:
         return rows.join(F.broadcast(entries), key, how)
-    hot = F.broadcast(hot_keys(rows, key) if hot is None else hot)
-    hot_entries = F.broadcast(entries.join(hot, key, "left_semi"))
-    by_broadcast = rows.join(hot, key, "left_semi").join(hot_entries, key, how)
-    by_shuffle = rows.join(hot, key, "left_anti").join(entries.hint("merge"), key, how)
+    hot_rows = F.broadcast(hot_keys(rows, key) if hot is None else hot())
+    hot_entries = F.broadcast(entries.join(hot_rows, key, "left_semi"))
+    by_broadcast = rows.join(hot_rows, key, "left_semi").join(hot_entries, key, how)
+    by_shuffle = rows.join(hot_rows, key, "left_anti").join(entries.hint("merge"), key, how)
     return by_broadcast.unionByName(by_shuffle)

@@ -43,12 +43,13 @@ def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 def prefix_share(pages: DataFrame, share: float, estimate: int = PAGES_ESTIMATE, order: str = "page_id") -> DataFrame:
     """The leading pages that make up ``share`` of a dump of ``estimate`` pages, plus the one that crosses the mark.
 
-    Only the keys are sorted; the pages themselves are then filtered by the last key, which Parquet can skip on.
+    Only the keys are ranked, range by range; the pages are then filtered by the last key, which Parquet can skip on.
     """
     if share >= 1:
         return pages
     n = int(math.floor(estimate * share)) + 1
-    last = pages.select(order).orderBy(order).limit(n).agg(F.max(order).alias("last")).first()["last"]
+    ranked = number_rows(pages.select(order), order, "_row")
+    last = ranked.filter(F.col("_row") < n).agg(F.max(order).alias("last")).first()["last"]
     return pages.filter(F.col(order) <= F.lit(last))
 
 

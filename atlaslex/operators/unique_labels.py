@@ -14,24 +14,23 @@ from pyspark.sql.window import Window
 
 from atlaslex.staging import stage
 
-ROUNDS_PER_STAGE = 4
+ROUNDS_PER_STAGE = 6
 
 
 def unique_labels(candidates: DataFrame) -> DataFrame:
     """(prio, word) from candidates ``(prio, choice, word)``, ``choice`` counting from 0 without gaps.
 
-    Several rounds are run per stage table; the table is small (one row per cluster and candidate at most), so what a
-    round costs is its job, not its data. The rounds end when no cluster moved; their number is bounded by the
-    number of candidates because every round but the last moves at least one cluster.
+    Several rounds are run per stage table; the table is small (one row per cluster, with its candidates), so what a round
+    costs is its job, not its data. The rounds end when no cluster moved; they do end, because every other round moves
+    at least one cluster to its next candidate and none ever goes back.
     """
     # All candidates of a cluster travel in one row: as many as the caller ranked (six on the map).
     ranked = candidates.groupBy("prio").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("choice", "word"))), lambda c: c["word"]).alias("words")
     )
     state = stage(ranked.withColumn("choice", F.lit(0)), "label-state")
-    bound = state.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"] + 1
     by_word = Window.partitionBy("word")
-    for _ in range(0, bound, ROUNDS_PER_STAGE):
+    while True:
         for _ in range(ROUNDS_PER_STAGE):
             # A window group is at most one row per cluster, and there are no more clusters than centers were fitted.
             proposal = state.withColumn("word", F.get("words", F.col("choice")))
@@ -44,4 +43,3 @@ def unique_labels(candidates: DataFrame) -> DataFrame:
         if state.filter("moved").isEmpty():
             return state.select("prio", F.get("words", F.col("choice")).alias("word"))
         state = state.drop("moved")
-    raise RuntimeError("label rounds did not settle")

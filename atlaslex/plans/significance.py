@@ -45,8 +45,9 @@ def with_doc_freq(
     frequencies themselves tell which words are too heavy to shuffle (df is the number of rows a word has).
     """
     frequent = frequencies.filter(F.col("df") > threshold)
-    hot = heavy_keys(frequent, "word", "df") if limit < BROADCAST_BYTES else None
-    joined = lookup_join(counts, frequent, "word", "left", hot=hot, limit=limit)
+    joined = lookup_join(
+        counts, frequent, "word", "left", hot=lambda: heavy_keys(frequent, "word", "df"), limit=limit
+    )
     return joined.withColumn("df", usable_df(F.col("df"), threshold))
 
 

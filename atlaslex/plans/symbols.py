@@ -20,20 +20,23 @@ def removal_set(spark: SparkSession, characters: str = REMOVALS) -> DataFrame:
     return spark.range(1).select(F.explode(F.split(F.lit(characters), "")).alias("symbol")).distinct()
 
 
+def _single(symbols: DataFrame) -> DataFrame:
+    """Distinct single code points, of which there are 1,114,112 at most: a bound for broadcasts that no data exceeds."""
+    return symbols.filter(F.char_length("symbol") == 1).select("symbol").distinct()
+
+
 def wanted_symbols(symbols: DataFrame, removals: DataFrame) -> DataFrame:
     """Symbols without the removals."""
-    return symbols.select("symbol").distinct().join(F.broadcast(removals.distinct()), "symbol", "left_anti")
+    return _single(symbols).join(F.broadcast(_single(removals)), "symbol", "left_anti")
 
 
 def symbol_pages(pages: DataFrame, symbols: DataFrame) -> DataFrame:
     """Distinct (symbol, page_id) for pages ``(page_id, wikitext)``.
 
-    A page contributes its distinct characters, found within its row. The symbols are single code points, of which there
-    are 1,114,112 at most: a bound for the broadcast that no data can exceed.
+    A page contributes its distinct characters, found within its row.
     """
     characters = pages.select("page_id", F.explode(code_points(F.col("wikitext"))).alias("symbol"))
-    single = symbols.filter(F.char_length("symbol") == 1).select("symbol").distinct()
-    return characters.join(F.broadcast(single), "symbol", "left_semi").select("symbol", "page_id")
+    return characters.join(F.broadcast(_single(symbols)), "symbol", "left_semi").select("symbol", "page_id")
 
 
 def matched_symbols(pairs: DataFrame) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atlaslex.functions.geo import continent, continent_name, in_world, squared_degrees
+from atlaslex.functions.words import words
 from atlaslex.operators.kmeans import assign, center_table, fit_kmeans, minibatch_step, nearest_center, weighted_points
 from atlaslex.operators.sampling import sample_rows
 from atlaslex.plans import clusters, labels, places
-from atlaslex.plans.significance import doc_freq, significant_words_of_pages, term_counts
+from atlaslex.plans.significance import significant_words_of_pages
 from atlaslex.staging import stage
 from checks import sql
 from checks.adapters import GRID, customer_points, fixed_centers
@@ -19,8 +20,8 @@ from checks.text_checks import document_pages
 
 def english_words(t: Tables):
     """Dictionary: every word of an English document."""
-    english = document_pages(t).join(t.documents.filter("lang = 'en'").select(F.col("doc_id").alias("page_id")), "page_id", "left_semi")
-    return doc_freq(term_counts(english)).select("word")
+    english = t.documents.filter("lang = 'en'")
+    return english.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct()
 
 
 def map_words(t: Tables):

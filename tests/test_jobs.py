@@ -91,6 +91,9 @@ def test_stage_folder_is_shared_setting(spark):
 def test_spread_only_small_tables(spark, tmp_path):
     spark.range(100).repartition(1).write.parquet(str(tmp_path / "one"))
     spark.range(100).repartition(9).write.parquet(str(tmp_path / "many"))
+    # One split per file.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
     plans = {n: tables.read_table(spark, str(tmp_path / n))._jdf.queryExecution().toString() for n in ("one", "many")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
     assert "Repartition" in plans["one"] and "Repartition" not in plans["many"]
     assert tables.read_table(spark, str(tmp_path / "one")).agg(F.count(F.lit(1))).first()[0] == 100

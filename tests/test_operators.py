@@ -16,8 +16,10 @@ def test_lookup_join_split_equals_plain(spark, how):
     rows = spark.createDataFrame(list(enumerate(keys)), "i int, key string")
     entries = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 900, 2)], "key string, v int")
     plain = rows.join(entries, "key", how)
-    split = lookup.lookup_join(rows, entries, "key", how, hot=lookup.hot_keys(rows, "key", 10), limit=0)
+    split = lookup.lookup_join(rows, entries, "key", how, hot=lambda: lookup.hot_keys(rows, "key", 10), limit=0)
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+    default = lookup.lookup_join(rows, entries, "key", how, limit=0)
+    assert sorted(map(str, default.collect())) == sorted(map(str, plain.collect()))
     assert [r.key for r in lookup.hot_keys(rows, "key", 10).collect()] == ["hot"]
 
 
