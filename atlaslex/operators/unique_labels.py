@@ -8,13 +8,18 @@ stays with its highest-priority proposer, the others move on to their next candi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from atlaslex.staging import stage
 
-ROUNDS_PER_STAGE = 6
+ROUNDS_PER_STAGE = 4
+# A cluster moves on from a word of one letter, and from a word that a cluster of higher priority proposes too. A window
+# group holds one row per cluster at most, and there are no more clusters than centers were fitted.
+_MOVES = """
+choice < size(words) - 1
+AND (length(get(words, choice)) <= 1 OR min(prio) OVER (PARTITION BY get(words, choice)) <> prio)
+"""
 
 
 def unique_labels(candidates: DataFrame) -> DataFrame:
@@ -28,18 +33,14 @@ def unique_labels(candidates: DataFrame) -> DataFrame:
     ranked = candidates.groupBy("prio").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("choice", "word"))), lambda c: c["word"]).alias("words")
     )
-    state = stage(ranked.withColumn("choice", F.lit(0)), "label-state")
-    by_word = Window.partitionBy("word")
+    state = ranked.withColumn("choice", F.lit(0))
     while True:
         for _ in range(ROUNDS_PER_STAGE):
-            # A window group is at most one row per cluster, and there are no more clusters than centers were fitted.
-            proposal = state.withColumn("word", F.get("words", F.col("choice")))
-            refused = (F.length("word") <= 1) | (F.min("prio").over(by_word) != F.col("prio"))
-            moves = refused & (F.col("choice") < F.size("words") - 1)
-            state = proposal.withColumn("moved", moves).select(
-                "prio", "words", (F.col("choice") + F.col("moved").cast("int")).alias("choice"), "moved"
+            state = state.selectExpr("prio", "words", "choice", f"{_MOVES} AS moved").selectExpr(
+                "prio", "words", "choice + CAST(moved AS INT) AS choice", "moved"
             )
-        state = stage(state, "label-state")
-        if state.filter("moved").isEmpty():
+        # The write itself counts the clusters that moved in its last round.
+        last_round = Observation()
+        state = stage(state.observe(last_round, F.count_if("moved").alias("moves")), "label-state").drop("moved")
+        if last_round.get["moves"] == 0:
             return state.select("prio", F.get("words", F.col("choice")).alias("word"))
-        state = state.drop("moved")
