@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from atlaslex.staging import stage
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 10_000
 HOT_KEY_BYTES = 1024
@@ -38,12 +40,12 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
 def hot_keys(rows: DataFrame, key: str, share: int = HOT_KEYS) -> DataFrame:
     """Keys that hold at least 1/``share`` of the rows; ``share`` keys at most, each of bounded length."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
     return heavy_keys(counts, key, "n", share)
 
 
 def heavy_keys(counts: DataFrame, key: str, weight: str, share: int = HOT_KEYS) -> DataFrame:
-    """As ``hot_keys``, from known row counts per key."""
+    """As ``hot_keys``, from a stored table of row counts per key."""
     total = counts.agg(F.sum(weight).alias("n")).first()["n"] or 0
     hot = (F.col(weight) * share >= total) & F.col(key).isNotNull()
     if counts.schema[key].dataType == T.StringType():
@@ -62,7 +64,7 @@ def lookup_join(
     """Join ``rows`` with ``entries`` (one row per ``key``); ``how`` is inner, left or left_semi.
 
     ``rows`` is read twice when the split applies, so it should be a stored table. ``hot`` may give the heavy keys when
-    their counts are known already; it is asked only then.
+    their counts are known already; it is asked only then. The other columns of ``entries`` must be of fixed size.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(how)
@@ -70,6 +72,10 @@ def lookup_join(
         return rows.join(F.broadcast(entries), key, how)
     hot_rows = F.broadcast(hot_keys(rows, key) if hot is None else hot())
     hot_entries = F.broadcast(entries.join(hot_rows, key, "left_semi"))
-    by_broadcast = rows.join(hot_rows, key, "left_semi").join(hot_entries, key, how)
-    by_shuffle = rows.join(hot_rows, key, "left_anti").join(entries.hint("merge"), key, how)
-    return by_broadcast.unionByName(by_shuffle)
+    # Rows without a key match nothing: a left join keeps them, and they must not meet in one task either.
+    keyless = F.col(key).isNull()
+    stay = rows.join(hot_rows, key, "left_semi")
+    if how == "left":
+        stay = stay.unionByName(rows.filter(keyless))
+    move = rows.filter(~keyless).join(hot_rows, key, "left_anti")
+    return stay.join(hot_entries, key, how).unionByName(move.join(entries.hint("merge"), key, how))

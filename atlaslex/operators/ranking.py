@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from atlaslex.staging import stage
+
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group with their rank from 1.
@@ -29,13 +31,11 @@ def number_rows(df: DataFrame, order: str, name: str) -> DataFrame:
     The keys are range-partitioned and stored with the number of their range; then each range is numbered on its own and
     shifted by the rows of the ranges before it. One task never sees more than one range.
     """
-    from atlaslex.staging import stage
-
     ranged = stage(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition of the range exchange: as many as spark.sql.shuffle.partitions, so a broadcast is bounded.
-    before = sizes.alias("a").join(F.broadcast(sizes.alias("b")), F.col("b._range") < F.col("a._range"), "left")
-    shift = before.groupBy(F.col("a._range").alias("_range")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
+    # One row per partition of the range exchange: a number of rows that spark.sql.shuffle.partitions bounds.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(order))
     return (
         ranged.withColumn("_at", within)
