@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from atlaslex.llm import licenses, mixing, quality, url_filter
+from atlaslex.llm import licenses, mixing, multiset_hash, quality, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -179,3 +180,20 @@ from sized s join rated r on s.source is not distinct from r.source
 @query("op6_mix_sources", MIX_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_multiset_fingerprints")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = multiset_hash.edited(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        multiset_hash.text_form("fingerprint").alias("fingerprint"),
+        multiset_hash.text_form("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
+@query("op10_simhash_groups")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.components(documents(spark, folder)).select(
+        "doc_id", simhash.hex_digits().alias("fingerprint"), "component_id"
+    )
