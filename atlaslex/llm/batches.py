@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, LongType, StructField, StructType
 
 #: Bytes of text that one step of an operator holds, next to the Arrow batch that Spark hands over.
 PIECE_BYTES = 2 << 20
@@ -37,12 +37,18 @@ def cut(sizes: list[int], limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]
         yield start, len(sizes)
 
 
+def arrow_function(fn: Callable[..., pa.Array], kind: DataType):
+    """``fn`` over Arrow arrays as a UDF; not deterministic to Spark, so that it is evaluated once for all that read it."""
+    # Arrow UDFs are told by their annotations, which must be types and not their names.
+    fn.__annotations__ = {name: pa.Array for name in (*fn.__code__.co_varnames[: fn.__code__.co_argcount], "return")}
+    return F.arrow_udf(fn, kind).asNondeterministic()
+
+
 def text_function(schema: DataType, fn: Callable[[list[bytes]], dict[str, Iterable]], piece_bytes: int = PIECE_BYTES):
     """An Arrow UDF from a column of UTF-8 bytes to a struct.
 
     ``fn`` gets the texts of a piece of about ``piece_bytes`` and returns the values of every field, so the memory of a
-    step follows the longest text and not the rows of a batch. The UDF is marked as not deterministic to keep Spark from
-    evaluating it once for every field that is read.
+    step follows the longest text and not the rows of a batch.
     """
     kind = to_arrow_type(schema)
 
@@ -54,13 +60,9 @@ def text_function(schema: DataType, fn: Callable[[list[bytes]], dict[str, Iterab
             done.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
         return pa.concat_arrays(done)
 
-    # The Arrow types must be given as annotations, which are no strings here.
-    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, schema).asNondeterministic()
+    return arrow_function(run, schema)
 
 
 def long_struct(*names: str):
     """A struct of long columns."""
-    from pyspark.sql.types import LongType, StructField, StructType
-
     return StructType([StructField(name, LongType()) for name in names])

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from atlaslex.llm.batches import PIECE_BYTES, cut, text_bytes
+from atlaslex.llm.batches import PIECE_BYTES, arrow_function, cut, text_bytes
 
 #: The pattern of byte-level BPE pre-tokenizers with ``use_regex``; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -253,8 +253,7 @@ def encoder(path: str):
             done.append(encode_texts(texts.slice(start, end - start).to_pylist(), path).cast(done[0].type))
         return pa.concat_arrays(done)
 
-    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, ArrayType(IntegerType())).asNondeterministic()
+    return arrow_function(run, ArrayType(IntegerType()))
 
 
 def decoder(path: str):
@@ -266,8 +265,7 @@ def decoder(path: str):
             done.append(decode_lists(ids.slice(start, end - start), path))
         return pa.concat_arrays(done)
 
-    run.__annotations__ = {"ids": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, StringType()).asNondeterministic()
+    return arrow_function(run, StringType())
 
 
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaslex.llm import bpe, licenses, mixing, multiset_hash, quality, simhash, url_filter
+from atlaslex.llm import bpe, licenses, mixing, multiset_hash, quality, simhash, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -110,6 +110,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder))
 
 
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digests(documents(spark, folder))
+
+
 @query("op4_url_filter", _url_sql())
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(spark.read.parquet(f"{folder}/pages.parquet"))
