@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -100,8 +100,7 @@ class Vocabulary:
         self.held = 0
         self.seen = self.reused = 0
 
-    @property
-    @cache  # noqa: B019  one vocabulary lives as long as its worker
+    @cached_property
     def library(self):
         from tokenizers import Tokenizer
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaslex.llm import bpe, licenses, mixing, multiset_hash, quality, simhash, suffix_dedup, url_filter
+from atlaslex.llm import bpe, language_id, licenses, lm, mixing, multiset_hash, quality, simhash, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -192,6 +192,16 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op7_language_id")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(spark.read.parquet(f"{folder}/pages.parquet"), documents(spark, folder))
+
+
+@query("op8_lm_scores")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(documents(spark, folder))
+
+
 @query("op9_multiset_fingerprints")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     found = multiset_hash.edited(documents(spark, folder))
