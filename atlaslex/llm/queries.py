@@ -54,10 +54,12 @@ w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') ws from documents
 ),
-places as (
-  select doc_id, label, i from (select doc_id, ws, unnest(range(len(ws))) i from w), phrases
-  where ws[i + 1 : i + len(phrase)] = phrase
+spread as (select doc_id, unnest(ws) word, generate_subscripts(ws, 1) - 1 i from w),
+near as (
+  select doc_id, i, [word, lead(word, 1) over o, lead(word, 2) over o, lead(word, 3) over o] ahead
+  from spread window o as (partition by doc_id order by i)
 ),
+places as (select doc_id, label, i from near, phrases where ahead[: len(phrase)] = phrase),
 base as (
   select doc_id, count(*) n_base, min(i) first_word, max(i) last_word, list(distinct label) labels from places group by 1
 ),
@@ -131,10 +133,11 @@ def _quality_sql(where: str = "") -> str:
 with w as (
   select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') ws from documents
 ),
-windows as (
-  select doc_id, i, count(*) over (partition by doc_id, ws[i], ws[i + 1], ws[i + 2]) n
-  from (select doc_id, ws, unnest(range(1, len(ws) - 1)) i from w)
+spread as (select doc_id, unnest(ws) word, generate_subscripts(ws, 1) i from w),
+triples as (
+  select doc_id, i, word a, lead(word, 1) over o b, lead(word, 2) over o c from spread window o as (partition by doc_id order by i)
 ),
+windows as (select doc_id, i, count(*) over (partition by doc_id, a, b, c) n from triples where c is not null),
 repeated as (
   select doc_id, count(distinct p) n_repeat_words from (select doc_id, unnest([i, i + 1, i + 2]) p from windows where n > 1) group by 1
 ),
