@@ -1,6 +1,6 @@
 """Clusters of points on the (lat, lon) plane.
 
-Centers are a table ``(cluster, lat, lon, n)`` of at most ``MAX_CENTERS`` rows.
+Centers are a table ``(cluster, lat, lon, n)`` with as many rows as clusters were asked for.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from atlaslex.functions.geo import squared_degrees
 
-MAX_CENTERS = 50_000
+# Centers for each cell of the grid, on average.
+PER_CELL = 2
 
 
 def weighted_points(rows: DataFrame) -> DataFrame:
@@ -45,27 +46,66 @@ def center_table(model: KMeansModel, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "cluster int, lat double, lon double")
 
 
+def _grid(centers: DataFrame) -> Column:
+    """The centers by cell as one value: origin, cells each way, their sizes, and an array with the centers of every cell."""
+    across = F.greatest(F.lit(1), F.floor(F.sqrt(F.count(F.lit(1)) / PER_CELL))).cast("int")
+    box = centers.agg(
+        across.alias("n"), F.min("lat").alias("lat"), F.min("lon").alias("lon"),
+        F.greatest((F.max("lat") - F.min("lat")) / across, F.lit(1e-9)).alias("height"),
+        F.greatest((F.max("lon") - F.min("lon")) / across, F.lit(1e-9)).alias("width"),
+    ).select(F.struct("n", "lat", "lon", "height", "width")).scalar()
+    placed = centers.withColumn("box", box)
+    key = _cell("lat", "box", "height") * F.col("box.n") + _cell("lon", "box", "width")
+    cells = placed.groupBy("box", key.alias("key")).agg(F.collect_list(F.struct("cluster", "lat", "lon")).alias("centers"))
+    listed = cells.agg(F.first("box").alias("box"), F.map_from_entries(F.collect_list(F.struct("key", "centers"))).alias("m"))
+    every = F.sequence(F.lit(0), F.col("box.n") * F.col("box.n") - 1)
+    dense = F.transform(every, lambda k: F.coalesce(F.try_element_at("m", k), F.slice(F.map_values("m")[0], 1, 0)))
+    return listed.select(F.struct("box", dense.alias("cells"))).scalar()
+
+
+def _cell(axis: str, box: str, size: str) -> Column:
+    """Number of the cell of a coordinate; what lies outside of the box counts to its border."""
+    place = F.floor((F.col(axis) - F.col(f"{box}.{axis}")) / F.col(f"{box}.{size}"))
+    return F.least(F.greatest(place, F.lit(0)), F.col(f"{box}.n") - 1).cast("int")
+
+
 def nearest_center(df: DataFrame, centers: DataFrame, name: str = "cluster") -> DataFrame:
     """Add the nearest center of a table (ties: lowest number) without joining rows with centers.
 
-    The centers, at most ``MAX_CENTERS``, are one array that a scalar subquery hands to every task; each row scans it in
-    place, so rows are neither multiplied nor shuffled.
+    The centers lie in the cells of a grid, which a scalar subquery hands to every task. A row looks into its own cell and
+    then at the rings of cells around it, until the next ring is farther away than the best center so far. Rows are
+    neither multiplied nor shuffled. Without centers, ``name`` is null.
     """
-    if centers.limit(MAX_CENTERS + 1).count() > MAX_CENTERS:
-        raise ValueError(f"more than {MAX_CENTERS} centers")
-    listed = centers.agg(F.collect_list(F.struct("cluster", "lat", "lon")).alias("all")).scalar()
+    n, y, x = F.col("_grid.box.n"), F.col("_y"), F.col("_x")
+
+    def ring_cells(ring: Column) -> Column:
+        """Numbers of the cells at ``ring`` cells from the row's own: two whole rows, and two columns between them."""
+        side = F.sequence(-ring, ring)
+        rows = [F.transform(side, lambda d: F.struct((y - ring).alias("y"), (x + d).alias("x"))),
+                F.transform(side, lambda d: F.struct((y + ring).alias("y"), (x + d).alias("x")))]
+        inner = F.slice(side, F.lit(2), F.greatest(F.size(side) - 2, F.lit(0)))
+        columns = [F.transform(inner, lambda d: F.struct((y + d).alias("y"), (x - ring).alias("x"))),
+                   F.transform(inner, lambda d: F.struct((y + d).alias("y"), (x + ring).alias("x")))]
+        inside = F.filter(F.concat(*rows, *columns), lambda c: c["y"].between(0, n - 1) & c["x"].between(0, n - 1))
+        return F.transform(inside, lambda c: c["y"] * n + c["x"])
 
     def ranked(center: Column) -> Column:
-        return F.struct(
-            squared_degrees(F.col("lat"), F.col("lon"), center["lat"], center["lon"]).alias("d"),
-            center["cluster"].alias("cluster"),
-        )
-
-    return (
-        df.withColumn("_centers", listed)
-        .withColumn(name, F.array_min(F.transform("_centers", ranked))["cluster"])
-        .drop("_centers")
-    )
+        distance = squared_degrees(F.col("lat"), F.col("lon"), center["lat"], center["lon"])
+        return F.struct(distance.alias("d"), center["cluster"].alias("cluster"))
+
+    def look(best: Column, ring: Column) -> Column:
+        # Cells of this ring are at least ring - 1 cells away.
+        nearest = F.pow((ring - 1) * F.least("_grid.box.height", "_grid.box.width"), 2)
+        done = best.isNotNull() & (ring > 0) & (best["d"] < nearest)
+        found = F.flatten(F.transform(ring_cells(ring), lambda cell: F.get("_grid.cells", cell)))
+        here = F.array_min(F.transform(found, ranked))
+        return F.when(done, best).otherwise(F.array_min(F.array_compact(F.array(best, here))))
+
+    kind = f"struct<d:double,cluster:{centers.schema['cluster'].dataType.simpleString()}>"
+    placed = df.withColumn("_grid", _grid(centers))
+    placed = placed.withColumns({"_y": _cell("lat", "_grid.box", "height"), "_x": _cell("lon", "_grid.box", "width")})
+    best = F.aggregate(F.sequence(F.lit(0), F.coalesce(n, F.lit(0))), F.lit(None).cast(kind), look)
+    return placed.withColumn(name, best["cluster"]).drop("_grid", "_y", "_x")
 
 
 def minibatch_step(points: DataFrame, centers: DataFrame) -> DataFrame:

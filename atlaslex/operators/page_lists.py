@@ -9,16 +9,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 RANGE = 1_000_000
 
 
 def page_lists(pairs: DataFrame, key: str, page: str = "page_id", size: int = RANGE) -> DataFrame:
-    """(key, pages_from, pages): sorted page ids of each key per id range. ``pairs`` holds distinct (key, page) rows."""
+    """Sorted page ids of each key per id range, one row for each part of a list.
+
+    (key, pagecount, first_page, part, pages_from, pages): the first two are of the key's whole list, ``part`` counts its
+    rows from 0. ``pairs`` holds distinct (key, page) rows. No row stands for a key: a list has as many parts as ranges.
+    """
     start = F.floor(F.col(page) / F.lit(size)) * F.lit(size)
-    return (
-        pairs.groupBy(key, start.cast("long").alias("pages_from"))
-        .agg(F.sort_array(F.collect_list(page)).alias("pages"))
+    parts = pairs.groupBy(key, start.cast("long").alias("pages_from")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list(page)).alias("pages")
+    )
+    # The rows of a key are as many as ranges of ids.
+    whole = Window.partitionBy(key)
+    return parts.select(
+        key,
+        F.sum("_n").over(whole).alias("pagecount"),
+        F.min(F.get("pages", F.lit(0))).over(whole).alias("first_page"),
+        (F.row_number().over(whole.orderBy("pages_from")) - 1).alias("part"),
+        "pages_from",
+        "pages",
     )
 
 

@@ -34,7 +34,8 @@ def unique_labels(candidates: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("choice", "word"))), lambda c: c["word"]).alias("words")
     )
     state = ranked.withColumn("choice", F.lit(0))
-    while True:
+    # Every other round moves a cluster on, so there are no more rounds than candidates to move to.
+    for _ in range(1 + 2 * (candidates.count() + 1) // ROUNDS_PER_STAGE):
         for _ in range(ROUNDS_PER_STAGE):
             state = state.selectExpr("prio", "words", "choice", f"{_MOVES} AS moved").selectExpr(
                 "prio", "words", "choice + CAST(moved AS INT) AS choice", "moved"
@@ -44,3 +45,4 @@ def unique_labels(candidates: DataFrame) -> DataFrame:
         state = stage(state.observe(last_round, F.count_if("moved").alias("moves")), "label-state").drop("moved")
         if last_round.get["moves"] == 0:
             return state.select("prio", F.get("words", F.col("choice")).alias("word"))
+    raise RuntimeError("labels are not settled: the candidates of a cluster are not numbered without gaps")

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlaslex.functions.geo import continent, in_world
-from atlaslex.operators.kmeans import assign, fit_kmeans, weighted_points
+from atlaslex.operators.kmeans import assign, fit_kmeans, minibatch_step, weighted_points
 from atlaslex.operators.lookup import lookup_join
 from atlaslex.operators.sampling import sample_rows
 from atlaslex.staging import stage
 
-# Clusters per zoom level beside the continents; most rows a fit looks at.
+# Clusters per zoom level beside the continents.
 CLUSTER_COUNTS = (193, 4000, 25_000)
-FIT_ROWS = 100_000
 
 
 def mappable_words(words: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -25,25 +24,38 @@ def kept_share(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One row: rows, rows the dictionary knows, and their percentage."""
     marked = lookup_join(words, dictionary.select("word", F.lit(True).alias("known")), "word", "left")
     return marked.agg(F.count(F.lit(1)).alias("words"), F.count("known").alias("kept")).withColumn(
-        "percent", F.lit(100.0) * F.round(F.col("kept") / F.col("words"), 4)
+        "percent", F.lit(100.0) * F.round(F.try_divide("kept", "words"), 4)
     )
 
 
 def cluster_words(
-    words: DataFrame, counts: tuple[int, ...] = CLUSTER_COUNTS, fit_rows: int = FIT_ROWS, seed: int = 0
+    words: DataFrame, counts: tuple[int, ...] = CLUSTER_COUNTS, fit_rows: int | None = None, seed: int = 0
 ) -> DataFrame:
     """Add ``cluster_7`` and ``cluster_<k>`` for each k to a stored table of mappable words.
 
-    Each k is fitted on a sample of rows. The words of an article share one point, so they are packed into one row (they
-    are the few top words of a page), the point is assigned once and the words are unpacked: one shuffle, and no join on
-    coordinates, which a third of the pages may share.
+    Each k is fitted on all places, equal ones merged to one weighted point, or on a draw of ``fit_rows`` rows if that is
+    given. The words of an article share one place: clusters are assigned to the places, one row per page, and joined to
+    the words by page. There is no join on coordinates, which a third of the pages may share. No words give no rows.
     """
-    sample = sample_rows(words, fit_rows, ["page_id", "word"], seed)
+    sample = words if fit_rows is None else sample_rows(words, fit_rows, ["page_id", "word"], seed)
     points = stage(weighted_points(sample), "fit-points")
-    carried = [c for c in words.columns if c not in ("page_id", "lat", "lon")]
-    pages = words.groupBy("page_id", "lat", "lon").agg(F.collect_list(F.struct(*carried)).alias("_words"))
+    pages = words.select("page_id", "lat", "lon").distinct()
     pages = pages.withColumn("cluster_7", continent(F.col("lat"), F.col("lon")))
+    some = bool(points.head(1))
     for k in counts:
-        pages = assign(pages, fit_kmeans(points, k, seed), f"cluster_{k}")
+        name = f"cluster_{k}"
+        pages = assign(pages, fit_kmeans(points, k, seed), name) if some else pages.withColumn(name, F.lit(0))
     names = ["cluster_7", *[f"cluster_{k}" for k in counts]]
-    return pages.select("page_id", "lat", "lon", *names, F.inline("_words")).select(*words.columns, *names)
+    return words.join(stage(pages, "page-clusters"), ["page_id", "lat", "lon"]).select(*words.columns, *names)
+
+
+def minibatch_clusters(words: DataFrame, start: DataFrame, draws: int = 3, rows: int | None = None, seed: int = 0) -> DataFrame:
+    """Center table ``(cluster, lat, lon, n)`` after ``draws`` mini-batch updates from the centers ``start``.
+
+    Every draw is all rows, or ``rows`` of them drawn with another seed each time.
+    """
+    centers = start
+    for number in range(draws):
+        batch = words if rows is None else sample_rows(words, rows, ["page_id", "word"], seed + number)
+        centers = stage(minibatch_step(batch, centers), "centers")
+    return centers

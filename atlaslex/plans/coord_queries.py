@@ -32,6 +32,5 @@ def after_page(coords: DataFrame, page_id: int) -> DataFrame:
 
 
 def ask(coords: DataFrame, sql: str, name: str = "coords") -> DataFrame:
-    """Any SQL over the coordinate table, registered as ``name``."""
-    coords.createOrReplaceTempView(name)
-    return coords.sparkSession.sql(sql)
+    """Any SQL over the coordinate table, which it calls ``{name}``; the session's views are left alone."""
+    return coords.sparkSession.sql(sql, **{name: coords})

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlaslex.functions.words import code_points
+from atlaslex.operators.lookup import broadcast_if_small
 from atlaslex.operators.page_lists import page_stats
 
 # Characters that are letters, currency or drawing signs in articles rather than symbols.
 REMOVALS = (
     "\n #*-$−=Ἀ°Ῥὸ©ἔἸἀ™Ἄῦἴἱὰ→ἄᾴἰῖἝᾶῶὮὶὔἁῆ€ῷὐ─ἐ₨₽᾽ἡ∼∆₹₱ὄὴὁῴ"
-    "Ἱ≈ῃ∗ἂἾἤὕὨ∟元ἜἘἑἕὼὈ円∀ῥ≥Ἠὺ♂®ὖὲἙἼ≤Ὁῳ¢┌Ἡ℃⋆Ὄ️╫₤ῇ῾Ἁᾷ↓└Ἅ√╡ὦ↔╟῎ᾱ╣│℉¥╦原⋅₳←╨▪Ἦὑ¤↑"
+    "Ἱ≈ῃ∗ἂἾἤὕὨ∟元ἜἘἑἕὼὈ円∀ῥ≥Ἠὺ♂®ὖὲἙἼ≤Ὁῳ¢┌Ἡ℃⋆Ὄ️╫₤ῇ῾Ἁᾷ↓└Ἅ√╡ὦ↔╟῎ᾱ╣│℉¥╦원⋅₳←╨▪Ἦὑ¤↑"
 )
 
 
@@ -51,8 +52,7 @@ def single_page_symbols(stats: DataFrame) -> DataFrame:
 
 def first_places(stats: DataFrame, coords: DataFrame) -> DataFrame:
     """(symbol, pagecount, page_id, title, lat, lon) of the first page of each symbol."""
-    # As many rows as symbols: bounded by the number of code points.
-    first = F.broadcast(stats.withColumnRenamed("first_page", "page_id"))
+    first = broadcast_if_small(stats.withColumnRenamed("first_page", "page_id"))
     return coords.select("page_id", "title", "lat", "lon").join(first, "page_id")
 
 

@@ -32,15 +32,16 @@ def write_labels(labels: DataFrame, path: str) -> None:
 
 
 def write_symbol_table(lists: DataFrame, path: str) -> None:
-    """Symbols, their page lists (as JSON text) and counts as CSV."""
-    lists.select("symbol", "pages_from", F.to_json("pages").alias("pages"), F.size("pages").alias("pagecount")).write.mode(
+    """Page lists of symbols (as JSON text) as CSV, one row per part, with the count of the symbol's whole list."""
+    lists.select("symbol", F.to_json("pages").alias("pages"), "pagecount", "first_page", "part", "pages_from").write.mode(
         "overwrite"
     ).options(header="true", quote='"', escape='"').csv(path)
 
 
 def write_symbol_pages(lists: DataFrame, path: str) -> None:
-    """``{symbol: [pages]}`` JSON objects, one per line and list."""
-    lists.select(F.to_json(F.create_map("symbol", "pages")).alias("value")).write.mode("overwrite").text(path)
+    """``{symbol: [pages]}`` JSON objects, one per line; the parts of a list follow each other in page order."""
+    ordered = lists.repartitionByRange("symbol", "part").sortWithinPartitions("symbol", "part")
+    ordered.select(F.to_json(F.create_map("symbol", "pages")).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_symbol_places(places: DataFrame, path: str) -> None:

@@ -16,10 +16,8 @@ CSV_TEXT = {"quote": '"', "escape": '"', "multiLine": "true"}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table. A table of fewer splits than cores is spread over the cores; larger ones are read as they lie."""
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A Parquet table as it lies; the session's file settings decide on its splits."""
+    return spark.read.parquet(path)
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
@@ -58,6 +56,6 @@ def read_symbol_set(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_symbol_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(symbol, pages) from JSON objects that map symbols to page lists, one object per line."""
+    """(symbol, pages) from JSON objects that map symbols to page lists, one object per line; a long list has several lines."""
     objects = spark.read.text(path).select(F.from_json("value", "map<string,array<bigint>>").alias("m"))
     return objects.select(F.explode("m").alias("symbol", "pages"))

@@ -81,13 +81,27 @@ def _(t):
     return tables.read_symbol_pages(t.spark, path).select("symbol", F.explode("pages").alias("page_id"))
 
 
-@query("k4_symbol_pages_csv", LISTS.format(key="symbol", src=PAIRS))
-def _(t):
+# Ids far apart, so that lists have several parts.
+SPREAD_PAIRS = f"select symbol, page_id * 7919 as page_id from ({PAIRS})"
+
+
+def symbol_table(t: Tables):
+    """The symbol table written as CSV and read back."""
     path = new_location(t.spark, "symbols-csv")
-    files.write_symbol_table(page_lists(pairs(t), "symbol"), path)
-    schema = "symbol string, pages_from bigint, pages string, pagecount int"
-    back = t.spark.read.schema(schema).options(header="true", **tables.CSV_TEXT).csv(path)
-    return back.select("symbol", "pages_from", F.array_join(F.from_json("pages", "array<bigint>"), ",").alias("pages"))
+    spread = pairs(t).withColumn("page_id", F.col("page_id") * 7919)
+    files.write_symbol_table(page_lists(spread, "symbol"), path)
+    schema = "symbol string, pages string, pagecount bigint, first_page bigint, part int, pages_from bigint"
+    return t.spark.read.schema(schema).options(header="true", **tables.CSV_TEXT).csv(path)
+
+
+@query("k4_symbol_pages_csv", LISTS.format(key="symbol", src=SPREAD_PAIRS))
+def _(t):
+    return symbol_table(t).withColumn("pages", F.array_join(F.from_json("pages", "array<bigint>"), ","))
+
+
+@query("p9_single_page_of_file", f"select symbol, count(*) as pagecount, min(page_id) as first_page from ({SPREAD_PAIRS}) group by symbol having count(*) <= 20")
+def _(t):
+    return symbol_table(t).filter("pagecount <= 20 and part = 0").select("symbol", "pagecount", "first_page")
 
 
 @query("k4_symbol_places_json", f"select symbol as title, lat, lon, title as page_name from ({FIRST})")
@@ -99,13 +113,13 @@ def _(t):
     return rounded(back.select("title", "coordsDecimal.lat", "coordsDecimal.lon", "page_name"))
 
 
-WORDS_FILE = "select distinct word from (select unnest(string_split(text, ' ')) as word from documents) where word <> '' and not contains(word, chr(10))"
+WORDS_FILE = "select distinct word from (select unnest(string_split(replace(replace(text, chr(13), chr(10)), chr(10), ' '), ' ')) as word from documents) where word <> ''"
 
 
 @query("s6_word_set", WORDS_FILE)
 def _(t):
     path = new_location(t.spark, "dictionary")
-    pieces = t.documents.select(F.explode(F.split("text", " ")).alias("value")).filter(~F.contains("value", F.lit("\n")))
+    pieces = t.documents.select(F.explode(F.split("text", "[ \n\r]")).alias("value"))
     pieces.write.text(path)
     return tables.read_word_set(t.spark, path)
 

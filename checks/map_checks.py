@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from atlaslex.functions.geo import continent, continent_name, in_world, squared_degrees
 from atlaslex.functions.words import words
 from atlaslex.operators.kmeans import assign, center_table, fit_kmeans, minibatch_step, nearest_center, weighted_points
-from atlaslex.operators.sampling import sample_rows
 from atlaslex.plans import clusters, labels, places
 from atlaslex.plans.significance import significant_words_of_pages
 from atlaslex.staging import stage
@@ -141,10 +140,59 @@ def _(t):
     return moved.select("cluster", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "n")
 
 
+# Many different places: two residues of the order lines.
+PLACES = "select distinct cast(l_orderkey * 1000000 + l_partkey * 10 + l_linenumber as bigint) as page_id, 'w' as word, (l_orderkey * 7919 + l_partkey * 31) % 17999 / 100.0 - 90 as lat, (l_partkey * 104729 + l_linenumber * 7) % 35999 / 100.0 - 180 as lon from lineitem"
+
+
+def line_places(t):
+    """(page_id, word, lat, lon) of the order lines."""
+    return t.lineitem.selectExpr(
+        "l_orderkey * 1000000 + l_partkey * 10 + l_linenumber as page_id", "'w' as word",
+        "cast((l_orderkey * 7919 + l_partkey * 31) % 17999 as double) / 100 - 90 as lat",
+        "cast((l_partkey * 104729 + l_linenumber * 7) % 35999 as double) / 100 - 180 as lon",
+    ).distinct()
+
+
+def nearest_sql(points: str, centers: str) -> str:
+    return f"""select p.*, c.cluster from ({points}) p, ({centers}) c qualify row_number() over
+ (partition by p.page_id order by (p.lat - c.lat) * (p.lat - c.lat) + (p.lon - c.lon) * (p.lon - c.lon), c.cluster) = 1"""
+
+
+def step_sql(points: str, centers: str) -> str:
+    return f"""select c.cluster, case when m is null then c.lat else c.lat + (sum_lat - m * c.lat) / (n + m) end as lat,
+ case when m is null then c.lon else c.lon + (sum_lon - m * c.lon) / (n + m) end as lon, n + coalesce(m, 0) as n
+ from ({centers}) c left join (select cluster, sum(lat) sum_lat, sum(lon) sum_lon, count(*) m from ({nearest_sql(points, centers)}) group by cluster) b using (cluster)"""
+
+
+THREE_STEPS = f"with p as materialized ({PLACES.replace('/ 100.0', '/ 100.0::double')}), c1 as materialized ({step_sql('select * from p', sql.CENTER_ROWS)}), c2 as materialized ({step_sql('select * from p', 'select * from c1')}), c3 as materialized ({step_sql('select * from p', 'select * from c2')})"
+
+
+@query("m1_minibatch_fit", f"{THREE_STEPS} select cluster, round(lat, 6) as lat, round(lon, 6) as lon, n from c3")
+def _(t):
+    fitted = clusters.minibatch_clusters(line_places(t), fixed_centers(t))
+    return fitted.select("cluster", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "n")
+
+
+@query("q5_minibatch_clusters", f"{THREE_STEPS} select page_id, cluster from ({nearest_sql('select * from p', 'select * from c3')})")
+def _(t):
+    points = line_places(t)
+    fitted = clusters.minibatch_clusters(points, fixed_centers(t))
+    return nearest_center(points, fitted).select("page_id", "cluster")
+
+
+# A fit of the whole has no larger cost than its start, and the points of a cluster have their mean near its center.
+@query("m1_fit_lowers_cost", f"select count(*) as points, true as lower_cost from ({PLACES})")
+def _(t):
+    points = stage(weighted_points(line_places(t)), "fit-points")
+    one, many = fit_kmeans(points, 40, iterations=1), fit_kmeans(points, 40, iterations=10)
+    lower = many.summary.trainingCost <= one.summary.trainingCost * (1 + 1e-9)
+    return points.agg(F.sum("weight").cast("bigint").alias("points")).withColumn("lower_cost", F.lit(bool(lower)))
+
+
 @query("m1_fit_kmeans")
 def _(t):
     words = dictionary_words(t)
-    points = stage(weighted_points(sample_rows(words, clusters.FIT_ROWS, ["page_id", "word"])), "fit-points")
+    points = stage(weighted_points(words), "fit-points")
     return center_table(fit_kmeans(points, 193), words)
 
 

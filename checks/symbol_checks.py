@@ -33,6 +33,18 @@ def _(t):
     return symbols.wanted_symbols(found, symbol_set(t, SYMBOL_REMOVALS))
 
 
+# Fixed values of the built-in removals and two symbols that look like one of them, around every document.
+BUILT_IN = f"select 'x' || text || '원原円₩♞' as wikitext, doc_id as page_id from documents"
+BUILT_IN_WANTED = ("原", "♞", "%", "₩")
+
+
+@query("e1_built_in_removals", f"select distinct symbol, page_id from (select page_id, unnest(string_split(wikitext, '')) as symbol from ({BUILT_IN})) where symbol in {BUILT_IN_WANTED}")
+def _(t):
+    pages = t.documents.selectExpr("concat('x', text, '원原円₩♞') as wikitext", "doc_id as page_id")
+    found = symbol_set(t, "원原円₩♞%#*")
+    return symbols.symbol_pages(pages, symbols.wanted_symbols(found, symbols.removal_set(t.spark)))
+
+
 @query("j6_symbols_on_pages", PAIRS)
 def _(t):
     return pairs(t)

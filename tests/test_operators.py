@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from atlaslex.operators import kmeans, lookup, page_lists, ranking, sampling, unique_labels, upsert
 from atlaslex.plans import clusters
+from atlaslex.plans.geo_index import load_statistics
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
@@ -20,13 +22,24 @@ def test_lookup_join_split_equals_plain(spark, how):
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
     default = lookup.lookup_join(rows, entries, "key", how, limit=0)
     assert sorted(map(str, default.collect())) == sorted(map(str, plain.collect()))
-    assert [r.key for r in lookup.hot_keys(rows, "key", 10).collect()] == ["hot"]
+    hot = spark.createDataFrame([("hot",)], "key string").select(F.xxhash64("key")).first()[0]
+    assert [r["_hash"] for r in lookup.hot_keys(rows, "key", 10).collect()] == [hot]
+
+
+def test_long_keys_can_be_hot(spark):
+    long = "x" * 2000
+    rows = spark.createDataFrame([(i, long if i % 2 else f"k{i}") for i in range(2000)], "i int, key string")
+    assert lookup.hot_keys(rows, "key", 10).count() == 1
+    entries = spark.createDataFrame([(long, 1), ("k2", 2)], "key string, v int")
+    assert lookup.lookup_join(rows, entries, "key", hot=lambda: lookup.hot_keys(rows, "key", 10), limit=0).count() == 1001
 
 
 def test_broadcast_is_measured(spark):
     df = spark.range(1000).select(F.repeat(F.lit("x"), 100).alias("t"))
     assert lookup.estimated_bytes(df) >= 100_000
     assert lookup.broadcast_if_small(df, 1000) is df
+    lists = spark.range(10).select(F.array_repeat(F.lit("word"), 10_000).alias("a"), F.struct(F.repeat(F.lit("y"), 500).alias("s")).alias("b"))
+    assert lookup.estimated_bytes(lists) >= 10 * (10_000 * 4 + 500)
 
 
 def test_number_rows(spark):
@@ -60,8 +73,8 @@ def test_prefix_share(spark):
 def test_page_lists(spark):
     pairs = spark.createDataFrame([("a", i) for i in (5, 1, 12, 11, 30)] + [("b", 10)], "s string, page_id long")
     lists = page_lists.page_lists(pairs, "s", size=10)
-    assert sorted((r.s, r.pages_from, r.pages) for r in lists.collect()) == [
-        ("a", 0, [1, 5]), ("a", 10, [11, 12]), ("a", 30, [30]), ("b", 10, [10])
+    assert sorted(tuple(r) for r in lists.select("s", "part", "pagecount", "first_page", "pages_from", "pages").collect()) == [
+        ("a", 0, 5, 1, 0, [1, 5]), ("a", 1, 5, 1, 10, [11, 12]), ("a", 2, 5, 1, 30, [30]), ("b", 0, 1, 10, 10, [10])
     ]
     assert sorted(page_lists.expand_lists(lists, "s").collect()) == sorted(pairs.collect())
     assert sorted(tuple(r) for r in page_lists.page_stats(pairs, "s").collect()) == [("a", 5, 1), ("b", 1, 10)]
@@ -126,6 +139,22 @@ def test_kmeans_and_nearest(spark):
         assert distance(row, row.by_model) == pytest.approx(best)
 
 
+def test_nearest_of_very_many_centers(spark):
+    """More centers than any fixed limit, points outside of their box, ties by number, and no centers at all."""
+    centers = spark.range(60_000).selectExpr("cast(id as int) as cluster", "(id % 300) * 0.4 - 60 as lat", "floor(id / 300) * 0.8 - 80 as lon")
+    rng = random.Random(8)
+    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(300)] + [(300, -60.0 + 0.2, -80.0 + 0.4), (301, 0.0, 0.0)]
+    df = spark.createDataFrame(points, "page_id long, lat double, lon double")
+    table = [(r.cluster, r.lat, r.lon) for r in centers.collect()]
+    lats, lons = (np.array([c[i] for c in table], dtype=float) for i in (1, 2))
+    for row in kmeans.nearest_center(df, centers).collect():
+        d = (lats - row.lat) ** 2 + (lons - row.lon) ** 2
+        assert d[row.cluster] == pytest.approx(d.min(), abs=1e-12)
+    assert {r.cluster for r in kmeans.nearest_center(df, centers.filter("false")).collect()} == {None}
+    three = spark.createDataFrame([(4, 1.0, 1.0), (2, 1.0, 1.0), (3, -1.0, -1.0)], "cluster int, lat double, lon double")
+    assert {r.cluster for r in kmeans.nearest_center(df.filter("page_id = 301"), three).collect()} == {2}
+
+
 def test_minibatch_step(spark):
     points = spark.createDataFrame([(1.0, 1.0), (3.0, 1.0), (50.0, 50.0)], "lat double, lon double")
     centers = spark.createDataFrame([(0, 0.0, 0.0, 2), (1, 60.0, 60.0, 1), (2, -80.0, 0.0, 4)], "cluster int, lat double, lon double, n long")
@@ -133,6 +162,15 @@ def test_minibatch_step(spark):
     assert moved == {0: (1.0, 0.5, 4), 1: (55.0, 55.0, 2), 2: (-80.0, 0.0, 4)}
 
 
+def test_no_words_no_clusters(spark):
+    empty = spark.createDataFrame([], "page_id long, word string, lat double, lon double, tf_idf double")
+    assert clusters.cluster_words(empty, counts=(5,)).collect() == []
+    dictionary = spark.createDataFrame([("w",)], "word string")
+    assert tuple(clusters.kept_share(empty, dictionary).first()) == (0, 0, None)
+    pages = spark.createDataFrame([], "page_id long, wikitext string")
+    assert load_statistics(pages).first().percent is None
+
+
 def test_cluster_words_keeps_rows(spark):
     rng = random.Random(6)
     # A third of the pages share the point (0, 0).
