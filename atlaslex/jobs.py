@@ -7,6 +7,8 @@
     spark-submit -m atlaslex.jobs labels --folder hdfs:///map
     spark-submit -m atlaslex.jobs symbols --folder hdfs:///map --symbols hdfs:///symbols.txt
     spark-submit -m atlaslex.jobs keywords --folder hdfs:///map
+    spark-submit -m atlaslex.jobs links --dump hdfs:///dumps/enwiki --folder hdfs:///map
+    spark-submit -m atlaslex.jobs ask --folder hdfs:///map --sql "select type, count(*) from {coords} group by type"
 """
 
 from __future__ import annotations
@@ -15,15 +17,17 @@ import argparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from atlaslex.functions.coords import mentions_coord
 from atlaslex.operators.page_lists import page_lists
 from atlaslex.operators.sampling import prefix_share
-from atlaslex.plans import clusters, geo_index, keywords, labels, places, significance, symbols
+from atlaslex.plans import clusters, coord_queries, geo_index, keywords, labels, links, places, significance, symbols
 from atlaslex.session import cluster_session
 from atlaslex.sinks import files
-from atlaslex.sources.dump import read_dump
+from atlaslex.sources.dump import page_records, read_dump, rejected_pages
 from atlaslex.sources.tables import read_stage, read_symbol_set, read_word_set
+from atlaslex.staging import remove_stages, stage
 
 
 def _load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -39,21 +43,42 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def index(spark: SparkSession, folder: str, dump: str, share: float = 1.0) -> None:
-    """Places with their text (``places``) and titles. A rerun adds the pages that are not there yet.
+    """Places with their text (``places``), titles, ``rejected`` pages and the load's ``statistics``.
 
-    Only the page ids of the stored places are joined; the text is scanned once and never shuffled when nothing is
-    stored yet.
+    A rerun adds the pages that are not there yet. Of a page that comes twice, the first one loaded counts.
     """
     # The words of a template are the same in the XML record: pages without them are not even parsed. A leading share
     # counts all pages, so there every page is.
     pages = read_dump(spark, dump, mentions_coord) if share >= 1 else prefix_share(read_dump(spark, dump), share)
-    found = geo_index.geo_pages(pages).selectExpr(*geo_index.COORD_ROW, "wikitext")
+    order = geo_index.load_order(pages)
+    found = geo_index.geo_pages(pages, *order).selectExpr(*geo_index.COORD_ROW, "wikitext", *order)
+    found = stage(found, "found-pages")
     stored = f"{folder}/places"
-    if _exists(spark, stored):
-        found = found.join(_load(spark, folder, "places").select("page_id"), "page_id", "left_anti").select(found.columns)
-    found.write.mode("append").parquet(stored)
+    existing = _load(spark, folder, "places") if _exists(spark, stored) else None
+    geo_index.first_loaded(found, existing, order).drop(*order).write.mode("append").parquet(stored)
     shown = geo_index.shown_in_title(_load(spark, folder, "places"))
     files.write_stage(geo_index.title_table(shown.select("title", "page_id")), f"{folder}/titles")
+    files.write_stage(rejected_pages(spark, dump, mentions_coord), f"{folder}/rejected")
+    counted = page_records(spark, dump).agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if(mentions_coord(F.col("value"))).alias("coord_pages")
+    )
+    totals = {"successes": found.count(), "rejected": _load(spark, folder, "rejected").count()}
+    counted = counted.withColumns({name: F.lit(n).cast("long") for name, n in totals.items()})
+    counted = counted.withColumn("failures", F.col("coord_pages") - F.col("successes"))
+    percent = F.round(F.try_divide(F.lit(100.0) * F.col("coord_pages"), "pages"), 2)
+    files.write_stage(counted.withColumn("percent", percent), f"{folder}/statistics")
+
+
+def link_pages(spark: SparkSession, folder: str, dump: str) -> None:
+    """Category lists and language links of all pages of a dump."""
+    pages = read_dump(spark, dump)
+    files.write_stage(links.category_map(pages), f"{folder}/categories")
+    files.write_stage(links.language_pages(pages), f"{folder}/language_links")
+
+
+def ask(spark: SparkSession, folder: str, sql: str, output: str = "answer") -> None:
+    """A SQL question about the places, which it calls ``{coords}``. The answer is a table of the folder."""
+    files.write_stage(coord_queries.ask(_load(spark, folder, "places"), sql), f"{folder}/{output}")
 
 
 def words(spark: SparkSession, folder: str, top: int = significance.TOP_WORDS) -> None:
@@ -104,12 +129,14 @@ def profile_keywords(spark: SparkSession, folder: str) -> None:
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="atlaslex.jobs")
-    parser.add_argument("stage", choices=["index", "words", "places", "clusters", "labels", "symbols", "keywords"])
+    names = ["index", "words", "places", "clusters", "labels", "symbols", "keywords", "links", "ask"]
+    parser.add_argument("stage", choices=names)
     parser.add_argument("--folder", required=True)
     parser.add_argument("--dump")
     parser.add_argument("--share", type=float, default=1.0)
     parser.add_argument("--dictionary")
     parser.add_argument("--symbols")
+    parser.add_argument("--sql")
     parser.add_argument("--top", type=int, default=significance.TOP_WORDS)
     given = parser.parse_args(arguments)
     spark = cluster_session(f"atlaslex-{given.stage}")
@@ -125,8 +152,13 @@ def main(arguments: list[str] | None = None) -> None:
         label(spark, given.folder)
     elif given.stage == "symbols":
         find_symbols(spark, given.folder, given.symbols)
+    elif given.stage == "links":
+        link_pages(spark, given.folder, given.dump)
+    elif given.stage == "ask":
+        ask(spark, given.folder, given.sql)
     else:
         profile_keywords(spark, given.folder)
+    remove_stages(spark)
 
 
 if __name__ == "__main__":

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlaslex.functions.coords import KEYWORD_COLUMNS, decode_coord, keyword_map, mentions_coord, page_coord
+from atlaslex.operators.lookup import broadcast_if_small
 from atlaslex.operators.ranking import first_per_key
-from atlaslex.operators.upsert import insert_if_absent
+from atlaslex.staging import stage
 
 # Fixed value: how the template says that the coordinate belongs to the article itself.
 SHOWN_IN_TITLE = "inline,title"
@@ -56,10 +57,10 @@ def explode_keywords(tags: DataFrame) -> DataFrame:
     return tags.select("page_id", "title", _once(F.col("coords"))).selectExpr(*COORD_ROW)
 
 
-def geo_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, title, wikitext, coords, _position, _keywords) of the pages with a coordinate template."""
+def geo_pages(pages: DataFrame, *others: str) -> DataFrame:
+    """(page_id, title, wikitext, coords, _position, _keywords) and other columns of the pages with a coordinate template."""
     mentioning = pages.filter(mentions_coord(F.col("wikitext")))
-    return mentioning.select("page_id", "title", "wikitext", _once(page_coord(F.col("wikitext"))))
+    return mentioning.select("page_id", "title", "wikitext", *others, _once(page_coord(F.col("wikitext"))))
 
 
 def shown_in_title(coords: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def shown_in_title(coords: DataFrame) -> DataFrame:
 
 
 def selected_pages(pages: DataFrame, coords: DataFrame) -> DataFrame:
-    """Pages of the selected places, by page id."""
+    """Pages of the selected places, by page id: for places stored without text. ``text_pages`` needs no join."""
     return pages.join(shown_in_title(coords).select("page_id"), "page_id", "left_semi")
 
 
@@ -83,14 +84,39 @@ def title_table(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("title").isNotNull()).groupBy("title").agg(F.min("page_id").alias("page_id"))
 
 
+def load_order(pages: DataFrame) -> list[str]:
+    """Columns that tell which of two pages was loaded first: file and position where the dump gives them."""
+    return [c for c in ("dump_file", "dump_position") if c in pages.columns]
+
+
+def first_loaded(found: DataFrame, existing: DataFrame | None, order: list[str]) -> DataFrame:
+    """The first loaded page of every id that ``existing`` does not hold, with all columns; ``found`` is a stored table.
+
+    Ties of the load order go by template and title. Rows of ids that come once, as nearly all do, are not shuffled: only
+    the repeated ids are, and the rows that have one.
+    """
+    found = found.filter(F.col("page_id").isNotNull())
+    if existing is not None:
+        found = found.join(existing.select("page_id"), "page_id", "left_anti")
+    counts = found.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = broadcast_if_small(stage(counts.filter("n > 1").select("page_id"), "repeated-ids"))
+    once = found.join(repeated, "page_id", "left_anti")
+    several = found.join(repeated, "page_id", "left_semi")
+    return once.unionByName(first_per_key(several, "page_id", [F.col(c) for c in (*order, "coords", "title")]))
+
+
 def build_geo_index(pages: DataFrame, existing: DataFrame | None = None) -> GeoIndex:
-    """Index of a dump; with ``existing`` coordinate rows, pages already present keep their row."""
-    found = geo_pages(pages)
+    """Index of a dump. Of a page id that comes several times, the first loaded page counts, in all three tables.
+
+    With ``existing`` coordinate rows, pages already present keep their row and are not among ``pages``. The scan is
+    stored once, without texts, and feeds all three tables.
+    """
+    order = load_order(pages)
+    found = stage(geo_pages(pages, *order).drop("wikitext"), "geo-pages")
+    found = first_loaded(found, existing, order).drop(*order)
     coords = found.selectExpr(*COORD_ROW)
-    if existing is None:
-        coords = first_per_key(coords, "page_id", [F.col("coords")])
-    else:
-        coords = insert_if_absent(existing, coords, "page_id", [F.col("coords")])
+    if existing is not None:
+        coords = existing.unionByName(coords)
     titles = title_table(shown_in_title(coords).select("title", "page_id"))
     return GeoIndex(found.select("page_id", "title", "coords"), coords, titles)
 
@@ -106,10 +132,21 @@ def load_statistics(pages: DataFrame) -> DataFrame:
         mentions.alias("coord_pages"),
         F.count_if(F.col("mention") & F.col("tag")).alias("successes"),
         F.count_if(F.col("mention") & ~F.col("tag")).alias("failures"),
-        F.round(F.lit(100.0) * mentions / count, 2).alias("percent"),
+        F.round(F.try_divide(F.lit(100.0) * mentions, count), 2).alias("percent"),
     )
 
 
 def page_index_of_title(wanted: DataFrame, titles: DataFrame) -> DataFrame:
     """(title, page_id) for asked titles; -1 when there is no such page."""
     return wanted.select("title").join(titles, "title", "left").withColumn("page_id", F.coalesce("page_id", F.lit(-1)))
+
+
+def page_of_title(wanted: DataFrame, titles: DataFrame, pages: DataFrame) -> DataFrame:
+    """(title, page_id, wikitext) for asked titles; -1 and null when there is no such page.
+
+    Titles and ids are joined first, so of ``pages`` only the asked ones go beyond the join by id.
+    """
+    found = page_index_of_title(wanted, titles)
+    asked = found.filter("page_id >= 0").select("page_id").distinct()
+    texts = pages.select("page_id", "wikitext").join(asked, "page_id", "left_semi")
+    return found.join(texts, "page_id", "left").select("title", "page_id", "wikitext")

@@ -15,7 +15,7 @@ def category_pages(pages: DataFrame) -> DataFrame:
 
 
 def category_map(pages: DataFrame) -> DataFrame:
-    """(category, pages_from, pages): page lists in page order."""
+    """Page lists in page order, one row for each part of a list."""
     return page_lists(category_pages(pages), "category")
 
 

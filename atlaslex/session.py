@@ -18,8 +18,12 @@ SETTINGS = {
 }
 
 
-def cluster_session(app_name: str = "atlaslex", **settings: str) -> SparkSession:
-    """Session for ``spark-submit``: master, memory and ``spark.checkpoint.dir`` come from the cluster."""
+def cluster_session(app_name: str = "atlaslex", partitions: int = 4096, **settings: str) -> SparkSession:
+    """Session for ``spark-submit``: master, memory and ``spark.checkpoint.dir`` come from the cluster.
+
+    ``partitions`` is what shuffles start from; Spark merges small ones at run time.
+    """
+    settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)} | settings
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)

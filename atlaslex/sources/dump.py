@@ -22,29 +22,49 @@ PAGE_SCHEMA = "id bigint, title string, revision struct<text: struct<_VALUE: str
 def read_dump(
     spark: SparkSession, path: str, wanted: Callable[[Column], Column] | None = None
 ) -> DataFrame:
-    """(page_id, title, wikitext, language, dump_date) of the pages in the dump files under ``path``.
+    """(page_id, title, wikitext, language, dump_date, dump_file, dump_position) of the pages in the dump files under ``path``.
 
-    ``wanted`` is a test on the raw page record, made before the record is parsed. A page that cannot be parsed is left
-    out.
+    ``wanted`` is a test on the raw page record, made before the record is parsed. ``dump_position`` grows with the page's
+    place in its file. Pages that cannot be parsed are in ``rejected_pages``.
     """
+    parsed = _parsed(spark, path, wanted)
+    return parsed.filter(F.col("id").isNotNull()).select(
+        F.col("id").alias("page_id"),
+        "title",
+        F.coalesce("revision.text._VALUE", F.lit("")).alias("wikitext"),
+        "language",
+        "dump_date",
+        "dump_file",
+        "dump_position",
+    )
+
+
+def rejected_pages(spark: SparkSession, path: str, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(record, dump_file, dump_position) of the page records that are no XML or have no id."""
+    return _parsed(spark, path, wanted).filter(F.col("id").isNull()).select("record", "dump_file", "dump_position")
+
+
+def page_records(spark: SparkSession, path: str) -> DataFrame:
+    """(value) of every page record of the dump files, not parsed."""
     records = spark.read.option("lineSep", PAGE_END).text(path)
+    return records.filter(F.contains("value", F.lit(PAGE_START)))
+
+
+def _parsed(spark: SparkSession, path: str, wanted: Callable[[Column], Column] | None) -> DataFrame:
     source = F.col("_metadata.file_path")
     raw = F.concat(F.lit(PAGE_START), F.substring_index("value", PAGE_START, -1), F.lit(PAGE_END))
-    pages = records.filter(F.contains("value", F.lit(PAGE_START)))
+    pages = page_records(spark, path)
     if wanted is not None:
         pages = pages.filter(wanted(F.col("value")))
     # One generator row per page: filters further up cannot make Spark parse a page twice.
-    parsed = pages.select(
+    return pages.select(
         F.inline(F.array(F.from_xml(raw, PAGE_SCHEMA, PARSE))),
         dump_language(source).alias("language"),
         dump_date(source).alias("dump_date"),
-    )
-    return parsed.filter(F.col("id").isNotNull()).select(
-        F.col("id").alias("page_id"),
-        "title",
-        F.coalesce("revision.text._VALUE", F.lit("")).alias("wikitext"),
-        "language",
-        "dump_date",
+        source.alias("dump_file"),
+        # Splits of a file in order, and rows of a split in order.
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("dump_position"),
+        raw.alias("record"),
     )
 
 

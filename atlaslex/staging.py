@@ -30,6 +30,12 @@ def stage_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def remove_stages(spark: SparkSession) -> None:
+    """Remove all stage tables of this application: for jobs, which end with their results written elsewhere."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def new_location(spark: SparkSession, name: str) -> str:
     """A fresh path under the stage folder; nothing is ever overwritten."""
     return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -147,7 +147,7 @@ def _(t):
 def _(t):
     return coord_queries.ask(
         coord_table(t),
-        "select type, count(*) as places, round(min(lat), 6) as south, round(max(lat), 6) as north from coords where lon < 0 group by type",
+        "select type, count(*) as places, round(min(lat), 6) as south, round(max(lat), 6) as north from {coords} where lon < 0 group by type",
     )
 
 
@@ -232,6 +232,17 @@ def _(t):
     return new_rows(rows, existing, "title", [F.col("page_id")]).select("title", "page_id")
 
 
+# Every third page comes twice, the second time with another template; the first one loaded counts.
+@query("k5_first_loaded_wins", f"select page_id, title, coords from ({sql.TAGS}) where page_id % 2 = 1")
+def _(t):
+    rows = tags(t).select("page_id", "title", "coords")
+    order = {"dump_file": F.lit("file_a"), "dump_position": F.lit(2)}
+    again = rows.filter("page_id % 3 = 0").withColumn("coords", F.lit("A template that sorts first"))
+    both = rows.withColumns(order).unionByName(again.withColumns(order | {"dump_position": F.lit(5)}))
+    existing = rows.filter("page_id % 2 = 0")
+    return geo_index.first_loaded(both, existing, ["dump_file", "dump_position"]).select("page_id", "title", "coords")
+
+
 @query("k6_defaults", "select item_id, text, '' as display, cast(0.0 as double) as lat, coalesce(nullif(text, text), '') as notes from benchmark")
 def _(t):
     table = t.benchmark.withColumn("notes", F.lit(None).cast("string"))
@@ -259,6 +270,16 @@ def _(t):
     return geo_index.page_index_of_title(asked, geo_index.title_table(german))
 
 
+@query("j3_page_text", f"""select distinct source as title, coalesce(first, -1) as page_id, text as wikitext from documents d
+ left join (select source as s, min(doc_id) as first from documents where lang = 'de' group by source) on s = source
+ left join (select doc_id, text from documents) x on x.doc_id = first""".replace("text as wikitext", "x.text as wikitext"))
+def _(t):
+    german = t.documents.filter("lang = 'de'").select(F.col("source").alias("title"), F.col("doc_id").alias("page_id"))
+    asked = t.documents.select(F.col("source").alias("title")).distinct()
+    pages = t.documents.select(F.col("doc_id").alias("page_id"), F.col("text").alias("wikitext"))
+    return geo_index.page_of_title(asked, geo_index.title_table(german), pages)
+
+
 @query("a10_counts", f"select count(*) as rows, count(*) filter (where display <> '') as with_display, max(page_id) as last_page from ({sql.COORD_TABLE})")
 def _(t):
     return coord_table(t).agg(
@@ -281,6 +302,13 @@ def _(t):
     return rounded(geo_index.build_geo_index(wiki_pages(t)).coords)
 
 
+@query("q1_geo_pages", f"select page_id, title, coords from ({sql.TAGS})")
+def _(t):
+    pages = wiki_pages(t)
+    twice = pages.unionByName(pages.filter("page_id % 5 = 0"))
+    return geo_index.build_geo_index(twice).pages
+
+
 @query("q1_geo_titles", f"select title, page_id from ({sql.COORD_TABLE}) where display = 'inline,title'")
 def _(t):
     return geo_index.build_geo_index(wiki_pages(t)).titles
@@ -307,7 +335,10 @@ def _(t):
     return members.join(t.labels.select(F.col("doc_id").alias("page_id"), "quality"), "page_id")
 
 
-LISTS = "select {key}, cast(page_id // 1000000 * 1000000 as bigint) as pages_from, string_agg(cast(page_id as varchar), ',' order by page_id) as pages from ({src}) group by all"
+LISTS = """select {key}, cast(sum(n) over (partition by {key}) as bigint) as pagecount, min(first) over (partition by {key}) as first_page,
+ cast(row_number() over (partition by {key} order by pages_from) - 1 as integer) as part, pages_from, pages
+ from (select {key}, cast(page_id // 1000000 * 1000000 as bigint) as pages_from, count(*) as n, min(page_id) as first,
+  string_agg(cast(page_id as varchar), ',' order by page_id) as pages from ({src}) group by {key}, pages_from)"""
 
 
 @query("a14_category_pages", LISTS.format(key="category", src=f"select page_id, source as category from ({sql.WIKI_PAGES})"))

@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from atlaslex import jobs
 from atlaslex.plans.coord_queries import title_is
 from atlaslex.sources import dump, tables
@@ -88,12 +86,48 @@ def test_stage_folder_is_shared_setting(spark):
     assert new_location(spark, "x") != new_location(spark, "x")
 
 
-def test_spread_only_small_tables(spark, tmp_path):
-    spark.range(100).repartition(1).write.parquet(str(tmp_path / "one"))
-    spark.range(100).repartition(9).write.parquet(str(tmp_path / "many"))
-    # One split per file.
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
-    plans = {n: tables.read_table(spark, str(tmp_path / n))._jdf.queryExecution().toString() for n in ("one", "many")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
-    assert "Repartition" in plans["one"] and "Repartition" not in plans["many"]
-    assert tables.read_table(spark, str(tmp_path / "one")).agg(F.count(F.lit(1))).first()[0] == 100
+def test_malformed_and_repeated_pages(spark, tmp_path):
+    folder, source = str(tmp_path / "map"), tmp_path / "dump"
+    first = (5, "Twice", "{{Coord|9|2|display=inline,title}}")
+    second = (5, "Twice again", "{{Coord|1|2|display=inline,title}}")
+    write_dump(source, [first, article(6), second, (7, "Bad & title", "{{Coord|1|2}}"), (8, "Plain", "text")])
+    for _ in range(2):
+        jobs.index(spark, folder, str(source))
+        rows = {(r.page_id, r.title, r.lat) for r in tables.read_stage(spark, f"{folder}/places").collect()}
+        assert rows == {(5, "Twice", 9.0), (6, "Town 6", 6.0)}
+        rejected = tables.read_stage(spark, f"{folder}/rejected").collect()
+        assert len(rejected) == 1 and "Bad & title" in rejected[0].record
+        statistics = tables.read_stage(spark, f"{folder}/statistics").first()
+        assert (statistics.pages, statistics.coord_pages, statistics.successes, statistics.rejected) == (5, 4, 3, 1)
+
+
+def test_dump_in_many_splits_plain_and_bzip2(spark, tmp_path):
+    import bz2
+
+    pages = [article(i) for i in range(1, 400)]
+    write_dump(tmp_path / "plain", pages)
+    (tmp_path / "packed").mkdir()
+    raw = next((tmp_path / "plain").iterdir()).read_bytes()
+    (tmp_path / "packed" / "xxwiki-20200101.xml.bz2").write_bytes(bz2.compress(raw, 1))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        for kind in ("plain", "packed"):
+            read = dump.read_dump(spark, str(tmp_path / kind))
+            assert sorted(r.page_id for r in read.collect()) == list(range(1, 400))
+            ordered = read.orderBy("dump_file", "dump_position").collect()
+            assert [r.page_id for r in ordered] == list(range(1, 400))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_link_jobs_and_questions(spark, tmp_path):
+    folder, source = str(tmp_path / "map"), tmp_path / "dump"
+    write_dump(source, [article(i) for i in range(1, 6)] + [(9, "Else", "[[de:Anders]] [[Category:Other|x]]")])
+    jobs.index(spark, folder, str(source))
+    jobs.link_pages(spark, folder, str(source))
+    lists = {r.category: (r.pagecount, r.pages) for r in tables.read_stage(spark, f"{folder}/categories").collect()}
+    assert lists == {"Towns": (5, [1, 2, 3, 4, 5]), "Other": (1, [9])}
+    assert [tuple(r) for r in tables.read_stage(spark, f"{folder}/language_links").collect()] == [(9, "de", "Anders")]
+    jobs.ask(spark, folder, "select count(*) as n from {coords} where lat > 2")
+    assert tables.read_stage(spark, f"{folder}/answer").first().n == 3
