@@ -9,13 +9,23 @@ from pyspark.sql.window import Window
 
 from atlaslex.staging import stage
 
+# spark.sql.optimizer.windowGroupLimitThreshold as Spark ships it; parts of a group that are ranked by themselves.
+CUT_BY_SPARK = 1000
+PARTS = 256
+
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group with their rank from 1.
 
     ``order`` must be total, so that the result is the same on every run. Spark cuts each group to ``n`` rows before
-    the shuffle (WindowGroupLimit), hence a group that holds most of the table still sends few rows to its task.
+    the shuffle (WindowGroupLimit), hence a group that holds most of the table still sends few rows to its task. Spark
+    does so for small ``n`` only; above ``CUT_BY_SPARK`` the rows are first ranked within ``PARTS`` parts of each group.
     """
+    if n > CUT_BY_SPARK:
+        part = F.pmod(F.xxhash64(*(F.col(c) for c in df.columns if c not in group)), F.lit(PARTS))
+        within = Window.partitionBy(*group, "_part").orderBy(*order)
+        parts = df.withColumn("_part", part).withColumn("_in_part", F.row_number().over(within))
+        df = parts.filter(F.col("_in_part") <= n).drop("_part", "_in_part")
     numbered = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return numbered.filter(F.col(rank) <= n)
 
@@ -28,18 +38,16 @@ def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
 def number_rows(df: DataFrame, order: str, name: str) -> DataFrame:
     """Global row number from 0 in the order of a unique, non-null key.
 
-    The keys are range-partitioned and stored with the number of their range; then each range is numbered on its own and
-    shifted by the rows of the ranges before it. One task never sees more than one range.
+    The rows are range-partitioned, sorted and stored with their range and place in it, then shifted by the rows of the
+    ranges before. One exchange; one task never sees more than one range.
     """
-    ranged = stage(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges")
+    ranges = df.repartitionByRange(order).sortWithinPartitions(order)
+    # The lower 33 bits of this id count the rows of a partition in the order in which they lie.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = stage(ranges.withColumns({"_range": F.spark_partition_id(), "_at": place}), "ranges")
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition of the range exchange: a number of rows that spark.sql.shuffle.partitions bounds.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(order))
-    return (
-        ranged.withColumn("_at", within)
-        .join(F.broadcast(shift), "_range")
-        .withColumn(name, (F.col("_before") + F.col("_at") - 1).cast(T.LongType()))
-        .drop("_range", "_at", "_before")
-    )
+    numbered = ranged.join(F.broadcast(shift), "_range").withColumn(name, (F.col("_before") + F.col("_at")).cast(T.LongType()))
+    return numbered.drop("_range", "_at", "_before")

@@ -54,9 +54,13 @@ def prefix_share(pages: DataFrame, share: float, estimate: int = PAGES_ESTIMATE,
 
 
 def contiguous_slice(df: DataFrame, begin: int, n: int, order: str) -> DataFrame:
-    """Rows ``begin`` .. ``begin + n - 1`` (from 0) in the order of a unique key."""
-    numbered = number_rows(df, order, "_row")
-    return numbered.filter(F.col("_row").between(begin, begin + n - 1)).drop("_row")
+    """Rows ``begin`` .. ``begin + n - 1`` (from 0) in the order of a unique key.
+
+    Only the keys are ranked; the rows are filtered by the first and the last key of the slice.
+    """
+    ranked = number_rows(df.select(order), order, "_row").filter(F.col("_row").between(begin, begin + n - 1))
+    ends = ranked.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
+    return df.filter(F.col(order).between(F.lit(ends["low"]), F.lit(ends["high"])))
 
 
 def random_slice(df: DataFrame, n: int, order: str, seed: int = 0) -> DataFrame:

@@ -52,6 +52,17 @@ def test_number_rows(spark):
     assert sampling.random_slice(df, 10, "id", seed=5).count() == 10
 
 
+def test_top_of_many_rows(spark):
+    df = spark.range(20_000).selectExpr("id % 2 as g", "id", "(id * 7919) % 20011 as v")
+    for n in (3, 1500):
+        got = {(r.g, r.id, r.rank) for r in ranking.top_per_group(df, ["g"], [F.col("v").desc(), F.col("id")], n).collect()}
+        expected = set()
+        for g in (0, 1):
+            best = sorted(((i * 7919) % 20011, -i) for i in range(g, 20_000, 2))[::-1][:n]
+            expected |= {(g, -i, k + 1) for k, (_, i) in enumerate(best)}
+        assert got == expected
+
+
 def test_sample_rows(spark):
     df = spark.range(10_000)
     one = sampling.sample_rows(df, 300, ["id"], seed=1)
