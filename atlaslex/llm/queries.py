@@ -12,6 +12,7 @@ from atlaslex.llm import bpe, language_id, licenses, lm, mixing, multiset_hash,
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, folder) -> DataFrame`` and its SQL."""
 
@@ -23,9 +24,11 @@ def query(name: str, sql: str | None = None):
 
     return register
 
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
+
 def _license_sql() -> str:
     """Phrases by position in the list of words, notices by regular expressions over the joined words."""
 
@@ -74,10 +77,12 @@ select doc_id, len(ws)::bigint n_words, coalesce(n_base, 0)::bigint n_base, firs
 from w left join base using (doc_id) left join whole using (doc_id)
 """
 
+
 @query("op1_license_scan", _license_sql())
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.find_notices(documents(spark, folder)))
 
+
 def _url_sql() -> str:
     rules = ", ".join(f"('{r}', '{r[: r.index('/')]}', '{r[r.index('/') :]}', '{v}')" for r, v in url_filter.RULES.items())
     terms = ", ".join(f"('{t}', {w})" for t, w in url_filter.VOCABULARY.items())
@@ -107,12 +112,31 @@ select page_id, host, path, rule, coalesce(says, case when strict_hits > 0 or so
 from split left join hits using (page_id) left join fitting using (page_id)
 """
 
+
 @query("op2_bpe_round_trip")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder))
 
 
-@query("op3_suffix_dedup")
+#: Every string of 100 bytes, as hex digits, with all its places; what is not first is removed.
+REPEATS_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) h, octet_length(encode(coalesce(text, ''))) n from documents),
+places as (select doc_id, i, substr(h, 2 * i + 1, 200) w from (select doc_id, h, unnest(range(greatest(n - 99, 0))) i from d)),
+later as (select doc_id, i from places qualify row_number() over (partition by w order by doc_id, i) > 1),
+marked as (select doc_id, i, coalesce(i > lag(i) over o + 100, true) fresh from later window o as (partition by doc_id order by i)),
+runs as (select doc_id, i, sum(fresh::int) over (partition by doc_id order by i) run from marked),
+spans as (select doc_id, min(i) a, max(i) + 100 b from runs group by doc_id, run),
+gaps as (
+  select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) a, a b from spans
+  union all select doc_id, coalesce(e, 0), n from d left join (select doc_id, max(b) e from spans group by 1) using (doc_id)
+),
+kept as (select doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' order by a) k from gaps join d using (doc_id) group by 1)
+select doc_id, n::bigint n_bytes, coalesce(removed, 0)::bigint n_removed, coalesce(runs, 0)::bigint n_spans, sha256(unhex(k)) kept_sha256
+from d join kept using (doc_id) left join (select doc_id, sum(b - a) removed, count(*) runs from spans group by 1) using (doc_id)
+"""
+
+
+@query("op3_suffix_dedup", REPEATS_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digests(documents(spark, folder))
 
@@ -121,6 +145,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(spark.read.parquet(f"{folder}/pages.parquet"))
 
+
 def _quality_sql(where: str = "") -> str:
     def fails(rule: tuple) -> str:
         value, factor, limit, other = rule
@@ -157,6 +182,7 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from m {where}
 """
 
+
 @query("op5_quality_rules", _quality_sql())
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.ledger(documents(spark, folder))
@@ -165,6 +191,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         (~quality.passes("failed_bits", "base")).alias("base_failed"), quality.passes("failed_bits", "v2").alias("kept"),
     )
 
+
 MIX_SQL = rf"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,
@@ -190,6 +217,7 @@ select doc_id, size, source_size, target, (size * (floor(rate) + (draw < rate -
 from sized s join rated r on s.source is not distinct from r.source
 """
 
+
 @query("op6_mix_sources", MIX_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
