@@ -142,7 +142,7 @@ def repeated_bits(docs: DataFrame) -> bytes:
     twice = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     bit = F.col("key").bitwiseAND(F.lit(BITMAP_BITS - 1).cast("long"))
     block, place = F.shiftright(bit, 15), bit.bitwiseAND(F.lit((1 << 15) - 1).cast("long"))
-    blocks = twice.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    blocks = stage(twice.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(place).alias("bits")), "bitmap")
     whole = np.zeros(BITMAP_BITS // 8, dtype=np.uint8)
     for row in blocks.toLocalIterator():
         whole[row["block"] << 12 : (row["block"] + 1) << 12] = np.frombuffer(row["bits"], dtype=np.uint8)
@@ -195,51 +195,65 @@ def maximal_repeats(contexts: list[bytes], least: int = LENGTH):
 REPEATS = "repeat long, length long, doc_id long, tie long, start long, first boolean"
 
 
-def _repeats_of_sorted(batches):
+def _repeats_of_sorted(merged: bool):
     """Repeats of rows that come sorted by key; whole keys are taken together up to ``SORT_BYTES``."""
-    rows: list[dict] = []
-    held, last = 0, None
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["key"] != last and held >= SORT_BYTES:
-                yield _repeat_rows(rows)
-                rows, held = [], 0
-            rows.append(row)
-            held += len(row["context"])
-            last = row["key"]
-    if rows:
-        yield _repeat_rows(rows)
-
-
-def _repeat_rows(rows: list[dict]) -> pa.RecordBatch:
-    out = {name: [] for name in ("repeat", "length", "doc_id", "tie", "start", "first")}
+
+    def run(batches):
+        rows: list[dict] = []
+        held, last = 0, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["key"] != last and held >= SORT_BYTES:
+                    yield _repeat_rows(rows, merged)
+                    rows, held = [], 0
+                rows.append(row)
+                held += len(row["context"])
+                last = row["key"]
+        if rows:
+            yield _repeat_rows(rows, merged)
+
+    return run
+
+
+def _repeat_rows(rows: list[dict], merged: bool) -> pa.RecordBatch:
+    """Occurrences as columns; if ``merged``, only what is to be removed, and overlapping repeats of a context as one."""
+    found: list[tuple] = []
     # Contexts longer than usual would widen all rows of the sort: they are sorted by themselves.
     for wide in (False, True):
         some = [row for row in rows if (len(row["context"]) > 2 * LENGTH) == wide]
         if some:
-            _add_repeats(out, some)
+            found += _merged(_occurrences(some)) if merged else _occurrences(some)
     kinds = [pa.int64()] * 5 + [pa.bool_()]
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=list(out))
+    columns = list(zip(*found, strict=True)) or [()] * len(kinds)
+    names = ["repeat", "length", "doc_id", "tie", "start", "first"]
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def _add_repeats(out: dict, rows: list[dict]) -> None:
+def _occurrences(rows: list[dict]):
     from xxhash import xxh64_intdigest
 
     contexts = [row["context"] for row in rows]
     for length, found in maximal_repeats(contexts):
         context, at = found[0]
-        name = xxh64_intdigest(contexts[context][at : at + length])
+        name = xxh64_intdigest(contexts[context][at : at + length]) - (1 << 63)
         places = [
             (rows[i]["doc_id"] is not None, rows[i]["doc_id"] or 0, rows[i]["tie"], rows[i]["start"] + at) for i, at in found
         ]
         earliest = min(places)
         for (i, _), place in zip(found, places, strict=True):
-            out["repeat"].append(name - (1 << 63))
-            out["length"].append(length)
-            out["doc_id"].append(rows[i]["doc_id"])
-            out["tie"].append(place[2])
-            out["start"].append(place[3])
-            out["first"].append(place == earliest)
+            yield name, length, rows[i]["doc_id"], place[2], place[3], place == earliest
+
+
+def _merged(found):
+    """Unions of the occurrences to remove, by document."""
+    ranges = sorted(((doc is not None, doc or 0, tie, start, start + length) for _, length, doc, tie, start, first in found if not first))
+    done: list[list] = []
+    for *document, start, end in ranges:
+        if done and done[-1][0] == document and start <= done[-1][2]:
+            done[-1][2] = max(done[-1][2], end)
+        else:
+            done.append([document, start, end])
+    return [(0, end - start, d[1] if d[0] else None, d[2], start, False) for d, start, end in done]
 
 
 def _split_by_window(crowded: DataFrame) -> DataFrame:
@@ -257,8 +271,11 @@ def _split_by_window(crowded: DataFrame) -> DataFrame:
     )
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """All maximal repeats within contexts, one row for each occurrence: ``repeat``, ``length``, document, ``start``, ``first``."""
+def repeats(docs: DataFrame, merged: bool = False) -> DataFrame:
+    """All maximal repeats within contexts, one row for each occurrence: ``repeat``, ``length``, document, ``start``, ``first``.
+
+    If ``merged``, tasks give the union of what is to be removed instead of every occurrence of nested repeats.
+    """
     spark = docs.sparkSession
     bitmap = spark.sparkContext.broadcast(repeated_bits(docs))
     found = named(docs).withColumn("c", F.explode(_contexts(bitmap)(F.col("bytes"))))
@@ -276,7 +293,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     usual = sizes.where((F.col("classes") > 1) & (F.col("classes") <= CLASSES)).drop("classes")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = usual.repartition(parts, "key").sortWithinPartitions("key")
-    trees = dealt.mapInArrow(_repeats_of_sorted, REPEATS)
+    trees = dealt.mapInArrow(_repeats_of_sorted(merged), REPEATS)
     # The other occurrences of a class: every byte of their context stands at the first one as well.
     several = stage(classes.where("n > 1").select("key", "class", F.col("place").alias("earliest")), "several")
     members = occurrences.select("key", "class", "length", "doc_id", "tie", "start").join(several, ["key", "class"])
@@ -290,7 +307,7 @@ def repeats(docs: DataFrame) -> DataFrame:
 def spans(found: DataFrame) -> DataFrame:
     """``doc_id``, ``tie`` and the sorted ``spans`` (start, end) to remove; what overlaps or touches is one span."""
     ranges = found.where("not first").select(*NAME, F.struct("start", (F.col("start") + F.col("length")).alias("end")).alias("s"))
-    listed = ranges.distinct().groupBy(*NAME).agg(F.sort_array(F.collect_list("s")).alias("s"))
+    listed = ranges.groupBy(*NAME).agg(F.sort_array(F.collect_list("s")).alias("s"))
     return listed.select(*NAME, joined("s").alias("spans"))
 
 
@@ -327,7 +344,7 @@ kept_bytes = arrow_function(_kept, BinaryType())
 
 def removals(docs: DataFrame, *others: str) -> DataFrame:
     """Every document with its ``bytes``, ``spans`` (null: none) and the other columns; texts are shuffled once, by name."""
-    listed = stage(spans(repeats(docs)).withColumnRenamed("doc_id", "of"), "spans")
+    listed = stage(spans(repeats(docs, merged=True)).withColumnRenamed("doc_id", "of"), "spans")
     rows = named(docs, *others)
     return rows.join(listed, (rows["tie"] == listed["tie"]) & F.col("doc_id").eqNullSafe(F.col("of")), "left").drop(listed["tie"]).drop("of")
 
