@@ -135,7 +135,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = stage(components(docs), "components")
     named = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
     staying = stage(named, "staying")
-    single = docs.join(staying.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    # The ids that stay grow with the documents: they are never broadcast, whatever their size.
+    single = docs.join(staying.where("rows = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     several = docs.join(staying.where("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     nameless = found.where("doc_id is null and component_id is null").select(F.col("fp").alias("_fp")).distinct()
     without = docs.where("doc_id is null").withColumn("_f", fingerprint_of(text_bytes()))
