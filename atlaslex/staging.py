@@ -59,5 +59,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a stage table and return it read back."""
     path = new_location(df.sparkSession, name)
     with shuffles_removed(df.sparkSession):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
