@@ -43,7 +43,9 @@ SMOOTH = 0.5
 MOST_LANGUAGES = 500
 
 HIDDEN = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", re.DOTALL | re.IGNORECASE)
-DECLARED = re.compile(rb"<html\b[^>]*?\slang\s*=\s*[\"']?\s*([A-Za-z]+)", re.IGNORECASE)
+#: The tag, and what stands in it: neither goes back over what it has read, so a page of any length is read once.
+HTML_TAG = re.compile(rb"<html\b[^>]*+", re.IGNORECASE)
+DECLARED = re.compile(rb"\slang\s*+=\s*+[\"']?+\s*+([A-Za-z]+)", re.IGNORECASE)
 
 
 def grams(text: bytes) -> np.ndarray:
@@ -55,6 +57,14 @@ def grams(text: bytes) -> np.ndarray:
     return (whole * np.uint32(2654435761)) >> np.uint32(32 - GRAM_BITS)
 
 
+def declared_language(html: bytes) -> str:
+    """The language of the first ``<html>`` tag that declares one, wherever it stands; empty if none does."""
+    for tag in HTML_TAG.finditer(html):
+        if found := DECLARED.search(tag[0]):
+            return found[1].decode().lower()
+    return ""
+
+
 def _count(batches):
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
@@ -100,9 +110,8 @@ def _evidence(shared):
             html = html.as_py()
             host, _ = split_url(url.as_py().decode())
             labels = host.rsplit(".", 2)
-            declared = DECLARED.search(html[:4096])
             found = grams(HIDDEN.sub(b" ", html))
-            values = (host, ".".join(labels[-2:]), labels[-1], declared[1].decode().lower() if declared else "")
+            values = (host, ".".join(labels[-2:]), labels[-1], declared_language(html))
             for name, value in zip(out, values, strict=False):
                 out[name].append(value)
             out["likelihood"].append((TEMPER * model[:, found].sum(axis=1, dtype=np.float64)).tolist())
