@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaslex.llm import bpe, language_id, licenses, lm, mixing, multiset_hash, quality, simhash, suffix_dedup, url_filter
+from atlaslex.llm import bpe, language_id, licenses, lm, mixing, multiset_hash, quality, simhash, spelling, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -248,3 +248,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.components(documents(spark, folder)).select(
         "doc_id", simhash.hex_digits().alias("fingerprint"), "component_id"
     )
+
+
+#: Of the words of a document about one in 31 loses a code point.
+SLIPS = 31
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.groups(spelling.vocabulary(documents(spark, folder), slips=SLIPS))
