@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, LongType, StructField, StructType
@@ -66,3 +66,14 @@ def text_function(schema: DataType, fn: Callable[[list[bytes]], dict[str, Iterab
 def long_struct(*names: str):
     """A struct of long columns."""
     return StructType([StructField(name, LongType()) for name in names])
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front of each until the table has no such column; Spark does not tell cases apart."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
 
 from atlaslex.llm.batches import PIECE_BYTES, arrow_function, cut, text_bytes
 
@@ -45,6 +45,9 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 #: Bytes of chunks that one worker keeps; when they are reached the kept ids are forgotten and collected anew.
 CACHE_BYTES = 48 << 20
 
+#: Bytes after which a text that is only counted is cut at the next place of agreement.
+COUNTED = 1 << 16
+
 AGREEMENT = re.compile(rb"[!-~](?=[ \n])")
 RARE = re.compile(rb"[\xd4-\xff]")
 
@@ -180,6 +183,21 @@ class Vocabulary:
             start = end
         return done
 
+    def count(self, text: bytes) -> int:
+        """How many ids a text has; pieces end at places of agreement, so no list of all ids is made."""
+        total = 0
+        for part in self.split.split(text) if self.split else [text]:
+            if part in self.added:
+                total += 1
+                continue
+            start = 0
+            while start < len(part):
+                end = AGREEMENT.search(part, start + COUNTED)
+                end = end.end() if end else len(part)
+                total += len(self.encode_piece(part[start:end]))
+                start = end
+        return total
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of a run of ids, and how many each id has."""
         unknown = len(self.sizes) - 1
@@ -243,6 +261,16 @@ def decode_lists(ids: pa.ListArray, path: str) -> pa.StringArray:
     return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(after, after[1:], strict=False)], pa.string())
 
 
+def token_counter(path: str):
+    """UTF-8 bytes -> how many ids they have."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        known = vocabulary(path)
+        return pa.array([known.count(text.as_py()) for text in texts], pa.int64())
+
+    return arrow_function(run, LongType())
+
+
 def encoder(path: str):
     """UTF-8 bytes -> ids."""
 

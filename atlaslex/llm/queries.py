@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atlaslex.llm import bpe, language_id, licenses, lm, mixing, multiset_hash, quality, simhash, spelling, suffix_dedup, url_filter
+from atlaslex.llm import bpe, chat, fill_middle, language_id, licenses, lm, mixing, multiset_hash, quality, simhash, spelling, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -257,3 +257,38 @@ SLIPS = 31
 @query("op11_spelling_variants")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.groups(spelling.vocabulary(documents(spark, folder), slips=SLIPS))
+
+
+FILL_MIDDLE_SQL = """
+with d as (
+  select doc_id, coalesce(text, '') t, length(coalesce(text, ''))::bigint n, sha256('1:' || coalesce(doc_id::varchar, '')) h from documents
+),
+drawn as (
+  select *, ('0x' || substr(h, 1, 8))::bigint % (n + 1) h1, ('0x' || substr(h, 9, 8))::bigint % (n + 1) h2,
+    ('0x' || substr(h, 17, 8))::bigint % 100 h3, ('0x' || substr(h, 25, 8))::bigint % 100 h4 from d
+),
+cut as (
+  select *, least(h1, h2) a, greatest(h1, h2) b,
+    case when n = 0 or h3 >= 90 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') then 'plain'
+      when h4 < 20 then 'spm' else 'psm' end form from drawn
+),
+pieces as (select *, substr(t, 1, a) p, substr(t, a + 1, b - a) m, substr(t, b + 1) s from cut)
+select doc_id, n, form, case when form <> 'plain' then a end prefix_chars, case when form <> 'plain' then b - a end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256,
+  sha256(t) restored_sha256
+from pieces
+"""
+
+
+@query("op12_fill_middle", FILL_MIDDLE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(documents(spark, folder))
+
+
+@query("op13_chat_windows")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    marked = F.lit("\\### Assistant: </turn> ok")
+    role = F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant"))
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), marked.alias("text"))
+    return chat.digests(turns.unionByName(added))
