@@ -2,7 +2,8 @@
 
 A rolling hash over the last ``WINDOW`` bytes cuts texts into chunks of about ``CHUNK`` bytes. Cuts depend on nearby bytes only,
 so copies and shared passages give the same chunks wherever they stand, and a chunk is encoded once: each Python worker
-keeps the ids of its chunks. No text is shuffled for it, and a chunk that very many documents share is no hot key.
+keeps the ids of its chunks, up to a bound, those that come again longest. No text is shuffled for it, and a chunk that
+very many documents share is no hot key.
 
 Chunks do not end where tokens end, so the joins are repaired. The pre-tokenizer's pattern never puts an ASCII character that is
 no space and a following blank or line break into one piece, whatever stands around them: at such a place the encoding of a chunk
@@ -25,16 +26,18 @@ from __future__ import annotations
 
 import json
 import re
+from codecs import getincrementaldecoder
 from functools import cache, cached_property
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from atlaslex.llm.batches import PIECE_BYTES, arrow_function, cut, text_bytes
+from atlaslex.llm.batches import PIECE_BYTES, arrow_function, cut, text_bytes, text_function
 
 #: The pattern of byte-level BPE pre-tokenizers with ``use_regex``; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -42,14 +45,18 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 WINDOW, CHUNK = 16, 512
 MULTIPLIER = 0x9E3779B97F4A7C15
 
-#: Bytes of chunks that one worker keeps; when they are reached the kept ids are forgotten and collected anew.
-CACHE_BYTES = 48 << 20
+#: Bytes of one generation of kept chunks, objects and table included. A worker holds two of them.
+CACHE_BYTES = 12 << 20
+#: What an entry takes beside the bytes of text and ids: two objects, a tuple and its place in the table.
+ENTRY_BYTES = 400
 
 #: Bytes after which a text that is only counted is cut at the next place of agreement.
 COUNTED = 1 << 16
 
 AGREEMENT = re.compile(rb"[!-~](?=[ \n])")
 RARE = re.compile(rb"[\xd4-\xff]")
+#: Blanks in a run that is left to the library: the other one's pattern goes back over a run, and its stack has an end.
+BLANKS = re.compile(rb"(?:[\t-\r\x1c-\x20]|\xc2[\x85\xa0]){4096}")
 
 NO_IDS = np.array([], dtype=np.int32)
 
@@ -68,6 +75,35 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Kept:
+    """Values by text in two generations: when the young one is full it becomes the old one, which is then forgotten.
+
+    What is met again moves to the young one, so texts that keep coming stay, and memory never exceeds two generations.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.held = limit, 0
+        self.young: dict[bytes, tuple] = {}
+        self.old: dict[bytes, tuple] = {}
+
+    def get(self, text: bytes):
+        found = self.young.get(text)
+        if found is None:
+            found = self.old.get(text)
+            if found is not None:
+                self.put(text, *found)
+        return None if found is None else found[0]
+
+    def put(self, text: bytes, value, size: int) -> None:
+        whole = len(text) + size + ENTRY_BYTES
+        if whole > self.limit:
+            return
+        if self.held + whole > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
+        self.young[text] = value, size
+        self.held += whole
+
+
 class Vocabulary:
     """One ``tokenizer.json``: merges through ranks, pieces with rare characters through its own library."""
 
@@ -98,9 +134,7 @@ class Vocabulary:
         self.sizes = np.array(sizes, dtype=np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(len(sizes) - 1)), dtype=np.uint8)
-        self.chunks: dict[bytes, tuple[int, int, np.ndarray]] = {}
-        self.joins: dict[bytes, np.ndarray] = {}
-        self.held = 0
+        self.chunks, self.joins = Kept(CACHE_BYTES), Kept(CACHE_BYTES // 4)
         self.seen = self.reused = 0
 
     @cached_property
@@ -113,7 +147,7 @@ class Vocabulary:
         """Ids of a text without added tokens, without reuse."""
         if not text:
             return NO_IDS
-        if RARE.search(text):
+        if RARE.search(text) or (len(text) > 4096 and BLANKS.search(text)):
             return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, dtype=np.int32)
         return np.array(self.ranks.encode_ordinary(text.decode()), dtype=np.int32)
 
@@ -135,12 +169,7 @@ class Vocabulary:
                 for match in AGREEMENT.finditer(text, start):
                     end = match.end()
             found = (start, end, self.encode_piece(text[start:end]))
-        self.held += 2 * len(text)
-        if self.held > CACHE_BYTES:
-            self.chunks.clear()
-            self.joins.clear()
-            self.held = len(text)
-        self.chunks[text] = found
+        self.chunks.put(text, found, found[2].nbytes)
         return found
 
     def join(self, text: bytes) -> np.ndarray:
@@ -149,24 +178,22 @@ class Vocabulary:
         if found is None:
             found = self.encode_piece(text)
             if len(text) < 64:
-                self.held += 2 * len(text) + 128
-                self.joins[text] = found
+                self.joins.put(text, found, found.nbytes)
         return found
 
     def encode_segment(self, text: bytes, cuts: list[int]) -> list[np.ndarray]:
         """Ids of a text without added tokens, from its chunks."""
-        done, open_join, start = [], b"", 0
+        done, open_join, start = [], [], 0
         for end in [*cuts, len(text)]:
             piece = text[start:end]
             start = end
             first, last, ids = self.chunk(piece)
             if first < 0:
-                open_join += piece
+                open_join.append(piece)
                 continue
-            done.append(self.join(open_join + piece[:first]))
-            done.append(ids)
-            open_join = piece[last:]
-        done.append(self.join(open_join))
+            done += (self.join(b"".join([*open_join, piece[:first]])), ids)
+            open_join = [piece[last:]]
+        done.append(self.join(b"".join(open_join)))
         return done
 
     def encode(self, text: bytes, cuts: list[int]) -> list[np.ndarray]:
@@ -305,11 +332,34 @@ def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", text: str
     return rows.withColumn(text, decoder(path or default_path())(F.col(ids)))
 
 
+DIGESTS = StructType([StructField("n", LongType()), StructField("ids", StringType()), StructField("text", StringType())])
+
+
+def digest(text: bytes, cuts: list[int], known: Vocabulary) -> tuple[int, str, str]:
+    """Number of ids, and the SHA-256 of the ids in decimal and of the text decoded from them, run by run."""
+    ids, decoded, reader = sha256(), sha256(), getincrementaldecoder("utf-8")("replace")
+    n = 0
+    for run in known.encode(text, cuts):
+        if len(run):
+            ids.update(b"," * bool(n) + ",".join(map(str, run.tolist())).encode())
+            decoded.update(reader.decode(known.decode(run)[0].tobytes()).encode())
+            n += len(run)
+    decoded.update(reader.decode(b"", True).encode())
+    return n, ids.hexdigest(), decoded.hexdigest()
+
+
+def digester(path: str):
+    """UTF-8 bytes -> digests, without a column of ids: one worker, one vocabulary, and never more than one text's runs."""
+
+    def run(texts: list[bytes]) -> dict:
+        known = vocabulary(path)
+        rows = [digest(text, cuts, known) for text, cuts in zip(texts, chunk_ends(texts), strict=True)]
+        return dict(zip(DIGESTS.names, zip(*rows, strict=True), strict=True))
+
+    return text_function(DIGESTS, run)
+
+
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and the SHA-256 of the ids in decimal and of the decoded text."""
-    both = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
-    return both.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """``doc_id``, ``n_tokens`` and the SHA-256 of the ids in decimal and of the text decoded from them."""
+    found = docs.select("doc_id", digester(path or default_path())(text_bytes()).alias("d"))
+    return found.select("doc_id", F.col("d.n").alias("n_tokens"), F.col("d.ids").alias("ids_sha256"), F.col("d.text").alias("decoded_sha256"))

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from atlaslex.llm.batches import unused
 from atlaslex.staging import stage
 
 SHARE, MOST, SEED = 1.5, 2.0, 7
@@ -97,7 +98,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     """The mixed corpus: every document as often as its copies say, with the columns it had. No text is shuffled."""
     sizes = docs.groupBy("source").agg(F.sum(n_words()).alias("source_size"))
     rates = targets(ordered_weights(sizes, weights), share, most)
-    rates = stage(rates.select(F.struct(F.col("source").alias("of"), "rate").alias("_mix")), "rates")
-    joined = docs.join(rates, F.col("source").eqNullSafe(F.col("_mix.of")), "left").withColumn("_draw", draw(seed))
-    number = copies("_mix.rate", "_draw")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), number))).drop("_mix", "_draw", "_copy")
+    of, drawn, copy = unused(docs, "of", "drawn", "copy")
+    rates = stage(rates.select(F.struct("source", "rate").alias(of)), "rates")
+    joined = docs.join(rates, docs["source"].eqNullSafe(rates[f"{of}.source"]), "left").withColumn(drawn, draw(seed))
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies(f"{of}.rate", drawn)))).drop(of, drawn, copy)

@@ -16,7 +16,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atlaslex.llm.batches import SPACES, UPPER, long_struct, text_bytes, text_function
+from atlaslex.llm.batches import SPACES, UPPER, long_struct, text_bytes, text_function, unused
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_marks", "n_upper",
@@ -111,8 +111,9 @@ def passes(bits: str | Column, policy: str) -> Column:
 
 def keep(docs: DataFrame, policy: str = "v2") -> DataFrame:
     """The documents that a policy keeps, with the columns they had. Rows do not move between tasks."""
-    found = docs.withColumn("_measures", measures(text_bytes()))
-    return found.where(passes(_failed_bits("_measures"), policy)).drop("_measures")
+    (name,) = unused(docs, "measures")
+    found = docs.withColumn(name, measures(text_bytes()))
+    return found.where(passes(_failed_bits(name), policy)).drop(name)
 
 
 def ablations(rows: DataFrame, policy: str) -> DataFrame:

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atlaslex.llm.batches import LOWER_CASE, long_struct, text_bytes, text_function
+from atlaslex.llm.batches import LOWER_CASE, long_struct, text_bytes, text_function, unused
 from atlaslex.llm.components import connected_components
 from atlaslex.staging import stage
 
@@ -110,15 +110,20 @@ def links(different: DataFrame, most: int = POSTINGS) -> DataFrame:
     return short.unionByName(long)
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` of every document."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two stored tables: ``doc_id`` and ``fp`` of every document; ``fp``, ``root`` and ``component_id`` of every fingerprint."""
     found = stage(fingerprints(docs), "fingerprints")
     different = stage(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "different")
     roots = connected_components(links(different)).withColumnRenamed("node", "fp")
     rooted = stage(different.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = stage(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
-    return found.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return found, stage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "classes")
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id`` of every document."""
+    found, classes = _classes(docs)
+    return found.join(classes.drop("root"), "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp: str = "fp") -> Column:
@@ -127,18 +132,27 @@ def hex_digits(fp: str = "fp") -> Column:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of every component, with the columns it had.
+    """Exactly one row of every component, with the columns it had: the one with the smallest id, then fingerprint.
 
-    Where all ids of a component are null, or the smallest id stands in several rows, one of those rows stays. Texts are
-    shuffled once, by ``doc_id``, against the narrow table of those that stay.
+    A row with a null id stays only where the component has no other. Texts are shuffled once, by ``doc_id``, against the narrow
+    table of the ids that stay. Only where an id stands in several rows is their fingerprint told again.
     """
-    found = stage(components(docs), "components")
-    named = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
-    staying = stage(named, "staying")
+    found, classes = _classes(docs)
+    # A null id is last.
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "fp"))
+    least = found.groupBy("fp").agg(order.alias("f")).join(classes, "fp").groupBy("root").agg(F.min("f").alias("f"))
+    first = stage(least.select("f.doc_id", "f.fp"), "firsts")
+    named = first.where("doc_id is not null")
+    repeated = stage(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    staying = named.join(repeated, "doc_id", "left_anti").select("doc_id")
+    several = stage(named.join(repeated, "doc_id", "left_semi"), "several")
     # The ids that stay grow with the documents: they are never broadcast, whatever their size.
-    single = docs.join(staying.where("rows = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
-    several = docs.join(staying.where("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = found.where("doc_id is null and component_id is null").select(F.col("fp").alias("_fp")).distinct()
-    without = docs.where("doc_id is null").withColumn("_f", fingerprint_of(text_bytes()))
-    one_each = without.join(nameless, F.col("_f.fp") == F.col("_fp"), "left_semi").withColumn("_fp", F.col("_f.fp"))
-    return single.unionByName(several).unionByName(one_each.dropDuplicates(["_fp"]).drop("_f", "_fp"))
+    single = docs.join(staying.hint("merge"), "doc_id", "left_semi")
+    fp, of, value = unused(docs, "fp", "of", "value")
+    told = docs.join(several.select("doc_id").distinct(), "doc_id", "left_semi").withColumn(fp, fingerprint_of(text_bytes())["fp"])
+    pairs = several.select(F.col("doc_id").alias(of), F.col("fp").alias(value))
+    one_each = told.join(pairs, (told["doc_id"] == pairs[of]) & (told[fp] == pairs[value]), "left_semi").dropDuplicates(["doc_id", fp])
+    nameless = first.where("doc_id is null").select(F.col("fp").alias(value))
+    without = docs.where("doc_id is null").withColumn(fp, fingerprint_of(text_bytes())["fp"])
+    rest = without.join(nameless, without[fp] == nameless[value], "left_semi").dropDuplicates([fp])
+    return single.unionByName(one_each.drop(fp)).unionByName(rest.drop(fp))

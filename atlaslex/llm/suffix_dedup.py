@@ -346,6 +346,8 @@ def removals(docs: DataFrame, *others: str) -> DataFrame:
     """Every document with its ``bytes``, ``spans`` (null: none) and the other columns; texts are shuffled once, by name."""
     listed = stage(spans(repeats(docs, merged=True)).withColumnRenamed("doc_id", "of"), "spans")
     rows = named(docs, *others)
+    # The spans grow with the documents: they are joined by shuffle at every size.
+    listed = listed.hint("merge")
     return rows.join(listed, (rows["tie"] == listed["tie"]) & F.col("doc_id").eqNullSafe(F.col("of")), "left").drop(listed["tie"]).drop("of")
 
 

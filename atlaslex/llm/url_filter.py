@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from atlaslex.llm.batches import LOWER_CASE, text_bytes, text_function
+from atlaslex.llm.batches import LOWER_CASE, text_bytes, text_function, unused
 
 #: Host and path as one text -> verdict.
 RULES = {
@@ -120,5 +120,6 @@ def judge_urls(pages: DataFrame) -> DataFrame:
 
 def keep(pages: DataFrame) -> DataFrame:
     """The pages whose address is allowed, with the columns they had."""
-    found = pages.withColumn("_judged", judge(text_bytes("url")))
-    return found.where(F.col("_judged.verdict") == "allow").drop("_judged")
+    (name,) = unused(pages, "judged")
+    found = pages.withColumn(name, judge(text_bytes("url")))
+    return found.where(F.col(f"{name}.verdict") == "allow").drop(name)

@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 #: Columns that operators use inside: tables may have them too.
-CLASHING = ("fp", "key", "class", "n", "u", "v", "root", "row", "tie", "bytes", "spans", "size", "weight", "rate", "start", "word", "m")
+CLASHING = ("fp", "key", "class", "n", "u", "v", "root", "row", "tie", "bytes", "spans", "size", "weight", "rate", "start", "word", "m",
+            "_measures", "measures", "_mix", "of", "_draw", "drawn", "_copy", "copy", "_c", "_judged", "judged", "value", "_fp", "_f", "_rest", "_text",
+            "units", "rows", "first", "left", "removed")
 
 LONG = "lorem ipsum dolor sit amet " * 4000
 

@@ -74,6 +74,22 @@ def test_chunks_of_shared_text_are_reused():
     assert known.reused - before >= len(cuts[1]) - 2
 
 
+def test_kept_chunks_are_bounded():
+    known = bpe.Vocabulary(bpe.default_path())
+    known.chunks = bpe.Kept(50_000)
+    random.seed(11)
+    often = " ".join(f"v{random.randint(0, 10**6)}" for _ in range(600)).encode()
+    for _ in range(300):
+        text = " ".join(f"w{random.randint(0, 10**6)}" for _ in range(300)).encode() + often
+        known.encode(text, bpe.chunk_ends([text])[0])
+        kept = known.chunks
+        size = sum(len(t) + n + bpe.ENTRY_BYTES for t, (_, n) in kept.young.items())
+        assert size == kept.held <= kept.limit
+    assert known.reused >= 200
+    kept.put(b"x" * 60_000, 1, 0)
+    assert kept.get(b"x" * 60_000) is None
+
+
 def test_round_trip_of_messy_rows(messy, nothing, library):
     rows = bpe.digests(messy).collect()
     texts = Counter((r.doc_id, r.text or "") for r in messy.collect())
@@ -212,13 +228,32 @@ def test_simhash_on_messy_rows(messy, nothing):
     empty = [r for r in rows if r.fp == 0]
     assert {r.component_id for r in empty} == {1} and {r.doc_id for r in empty} == {1, 2, 3, None}
     kept = simhash.keep_one(messy)
-    # 5 stands for two different texts, both of which are first of their group: one row per id stays.
-    assert kept.columns == messy.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 4, 5, 7, 8]
+    # 5 stands for two different texts, both of which are first of their group: both stay.
+    assert kept.columns == messy.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 4, 5, 5, 7, 8]
     only = simhash.keep_one(messy.where("doc_id is null")).collect()
     assert sorted(str(r.text) for r in only) == ["None", "no id"]
     assert simhash.components(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
 
 
+def test_one_row_of_every_group_stays(spark):
+    """Also where ids repeat: one id in several groups, in one group twice, and as the first of another group."""
+    base = [f"w{i}" for i in range(6000)]
+    near = [*base[:-1], "changed"]
+    other = [f"v{i}" for i in range(300)]
+    texts = {"a": base, "b": near, "c": other, "d": [f"u{i}" for i in range(50)]}
+    rows = [(1, "b"), (1, "a"), (1, "c"), (2, "a"), (2, "d"), (3, "c"), (None, "d"), (4, "c"), (1, "c"), (None, "c")]
+    docs = spark.createDataFrame([(i, " ".join(texts[t]), t) for i, t in rows], "doc_id long, text string, name string")
+    prints = {t: brute_simhash(" ".join(words)) for t, words in texts.items()}
+    groups = roots(prints, [(a, b) for a, b in combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 2])
+    assert len(set(groups.values())) < 4
+    signed = {t: v - (1 << 64) if v >> 63 else v for t, v in prints.items()}
+    expected = {}
+    for i, t in rows:
+        expected.setdefault(groups[t], []).append((i is None, i, signed[t], t))
+    expected = sorted((min(g)[1], min(g)[3]) for g in expected.values())
+    assert sorted((r.doc_id, r.name) for r in simhash.keep_one(docs).collect()) == expected
+
+
 def test_multiset_fingerprints(spark, documents):
     rows = {r.doc_id: r for r in queries.QUERIES["op9_multiset_fingerprints"](spark, FOLDER).collect()}
     for place, (doc, text) in enumerate(documents):
