@@ -3,13 +3,17 @@
 Each stage takes (spark, docs, folder of the tables) and gives the documents that it keeps, with the columns of ``documents``;
 the last one gives ids. ``run`` writes every stage's result as a table in the shared folder and reads it back, so a lost
 executor never costs more than the stage at hand.
+
+Defined cases, in all stages: a null text is an empty one (the quality rules reject it); texts may have any length; repeated
+rows are judged as often as they stand there; of rows without ``doc_id`` one of each group of near copies stays; a null source is one of
+its own; other columns, whatever their names, come out of the first four stages as they went in; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atlaslex.llm import bpe, mixing, near_copies, quality, suffix_dedup
+from atlaslex.llm import bpe, mixing, quality, simhash, suffix_dedup
 from atlaslex.staging import stage as staged
 
 
@@ -19,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked at a similarity of 0.8 or more of five-word shingles: the one with the smallest id."""
-    return near_copies.keep_one(docs)
+    """One document of every group of SimHash fingerprints that links of at most two differing bits connect."""
+    return simhash.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
