@@ -131,8 +131,15 @@ def hex_digits(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _one_each(rows: DataFrame, columns: list[str], *keys: str) -> DataFrame:
+    """Of all rows with the same keys the one whose text has the smallest hash."""
+    row = F.min_by(F.struct(*columns), F.xxhash64(text_bytes()))
+    return rows.groupBy(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys))).agg(row.alias("row")).select("row.*")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Exactly one row of every component, with the columns it had: the one with the smallest id, then fingerprint.
+    """Exactly one row of every component, with the columns it had: the one with the smallest id, then fingerprint, then
+    hash of the text.
 
     A row with a null id stays only where the component has no other. Texts are shuffled once, by ``doc_id``, against the narrow
     table of the ids that stay. Only where an id stands in several rows is their fingerprint told again.
@@ -151,8 +158,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     fp, of, value = unused(docs, "fp", "of", "value")
     told = docs.join(several.select("doc_id").distinct(), "doc_id", "left_semi").withColumn(fp, fingerprint_of(text_bytes())["fp"])
     pairs = several.select(F.col("doc_id").alias(of), F.col("fp").alias(value))
-    one_each = told.join(pairs, (told["doc_id"] == pairs[of]) & (told[fp] == pairs[value]), "left_semi").dropDuplicates(["doc_id", fp])
+    one_each = _one_each(told.join(pairs, (told["doc_id"] == pairs[of]) & (told[fp] == pairs[value]), "left_semi"), docs.columns, "doc_id", fp)
     nameless = first.where("doc_id is null").select(F.col("fp").alias(value))
     without = docs.where("doc_id is null").withColumn(fp, fingerprint_of(text_bytes())["fp"])
-    rest = without.join(nameless, without[fp] == nameless[value], "left_semi").dropDuplicates([fp])
-    return single.unionByName(one_each.drop(fp)).unionByName(rest.drop(fp))
+    rest = _one_each(without.join(nameless, without[fp] == nameless[value], "left_semi"), docs.columns, fp)
+    return single.unionByName(one_each).unionByName(rest)

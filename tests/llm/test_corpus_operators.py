@@ -238,7 +238,8 @@ def test_simhash_on_messy_rows(messy, nothing):
 def test_one_row_of_every_group_stays(spark):
     """Also where ids repeat: one id in several groups, in one group twice, and as the first of another group."""
     base = [f"w{i}" for i in range(6000)]
-    near = [*base[:-1], "changed"]
+    edits = ([*base[:-n], *(f"x{i}" for i in range(n))] for n in range(1, 400, 5))
+    near = next(e for e in edits if brute_simhash(" ".join(e)) != brute_simhash(" ".join(base)))
     other = [f"v{i}" for i in range(300)]
     texts = {"a": base, "b": near, "c": other, "d": [f"u{i}" for i in range(50)]}
     rows = [(1, "b"), (1, "a"), (1, "c"), (2, "a"), (2, "d"), (3, "c"), (None, "d"), (4, "c"), (1, "c"), (None, "c")]
