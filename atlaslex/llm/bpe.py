@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from codecs import getincrementaldecoder
 from functools import cache, cached_property
 from hashlib import sha256
@@ -50,6 +51,9 @@ CACHE_BYTES = 12 << 20
 #: What an entry takes beside the bytes of text and ids: two objects, a tuple and its place in the table.
 ENTRY_BYTES = 400
 
+#: Ids that are written and decoded at once.
+DIGESTED = 1 << 16
+
 #: Bytes after which a text that is only counted is cut at the next place of agreement.
 COUNTED = 1 << 16
 
@@ -335,15 +339,26 @@ def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", text: str
 DIGESTS = StructType([StructField("n", LongType()), StructField("ids", StringType()), StructField("text", StringType())])
 
 
+def _blocks(runs: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The same ids in blocks of about ``DIGESTED``."""
+    start, held = 0, 0
+    for i, run in enumerate(runs):
+        held += len(run)
+        if held >= DIGESTED:
+            yield np.concatenate(runs[start : i + 1])
+            start, held = i + 1, 0
+    if held:
+        yield np.concatenate(runs[start:])
+
+
 def digest(text: bytes, cuts: list[int], known: Vocabulary) -> tuple[int, str, str]:
-    """Number of ids, and the SHA-256 of the ids in decimal and of the text decoded from them, run by run."""
+    """Number of ids, and the SHA-256 of the ids in decimal and of the text decoded from them, block by block."""
     ids, decoded, reader = sha256(), sha256(), getincrementaldecoder("utf-8")("replace")
     n = 0
-    for run in known.encode(text, cuts):
-        if len(run):
-            ids.update(b"," * bool(n) + ",".join(map(str, run.tolist())).encode())
-            decoded.update(reader.decode(known.decode(run)[0].tobytes()).encode())
-            n += len(run)
+    for block in _blocks(known.encode(text, cuts)):
+        ids.update(b"," * bool(n) + ",".join(map(str, block.tolist())).encode())
+        decoded.update(reader.decode(known.decode(block)[0].tobytes()).encode())
+        n += len(block)
     decoded.update(reader.decode(b"", True).encode())
     return n, ids.hexdigest(), decoded.hexdigest()
 
