@@ -97,11 +97,13 @@ def place_words(spark: SparkSession, folder: str) -> None:
     files.write_stage(placed, f"{folder}/geo_words")
 
 
-def cluster(spark: SparkSession, folder: str, dictionary: str, counts: tuple[int, ...] = clusters.CLUSTER_COUNTS) -> None:
-    """Dictionary words within the world, with their clusters."""
+def cluster(
+    spark: SparkSession, folder: str, dictionary: str, counts: tuple[int, ...] = clusters.CLUSTER_COUNTS, batches: bool = False
+) -> None:
+    """Dictionary words within the world, with their clusters, fitted on all places or on three draws of them."""
     known = read_word_set(spark, dictionary)
     files.write_stage(clusters.mappable_words(_load(spark, folder, "geo_words"), known), f"{folder}/mappable")
-    files.write_stage(clusters.cluster_words(_load(spark, folder, "mappable"), counts), f"{folder}/clusters")
+    files.write_stage(clusters.cluster_words(_load(spark, folder, "mappable"), counts, batches=batches), f"{folder}/clusters")
 
 
 def label(spark: SparkSession, folder: str, zooms: tuple[str, ...] = labels.ZOOMS) -> None:
@@ -135,6 +137,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--dump")
     parser.add_argument("--share", type=float, default=1.0)
     parser.add_argument("--dictionary")
+    parser.add_argument("--batches", action="store_true", help="clusters: mini-batch fit")
     parser.add_argument("--symbols")
     parser.add_argument("--sql")
     parser.add_argument("--top", type=int, default=significance.TOP_WORDS)
@@ -147,7 +150,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif given.stage == "places":
         place_words(spark, given.folder)
     elif given.stage == "clusters":
-        cluster(spark, given.folder, given.dictionary)
+        cluster(spark, given.folder, given.dictionary, batches=given.batches)
     elif given.stage == "labels":
         label(spark, given.folder)
     elif given.stage == "symbols":

@@ -1,20 +1,35 @@
 """Clusters of points on the (lat, lon) plane.
 
-Centers are a table ``(cluster, lat, lon, n)`` with as many rows as clusters were asked for.
+Centers are a table ``(cluster, lat, lon)`` or ``(cluster, lat, lon, n)`` with as many rows as clusters were asked for; points are a stored
+table ``(lat, lon, weight)`` of different places. Nearest centers are found through ``cells``.
+
+* ``fit_kmeans``: Lloyd's rounds with distance bounds. A point keeps an upper bound of the distance to its own center and a lower
+  bound of that to any other; both are shifted by how far centers moved, and only points whose bounds meet look at a
+  list of candidates again. Every round is a stage table, so a lost executor costs a round at most.
+* ``spread_seeds``: k-means||, which draws far points with a higher chance, some times in parallel.
+* ``minibatch_step``: one update of mini-batch k-means.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Transformer
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atlaslex.functions.geo import squared_degrees
+from atlaslex.operators.cells import PLACED, Centers, candidate_lists, gaps, nearest
+from atlaslex.operators.sampling import sample_rows, score
+from atlaslex.staging import stage
 
-# Centers for each cell of the grid, on average.
-PER_CELL = 2
+# Bounds that are nearer to each other than this, in degrees, count as meeting: rounding never decides.
+MARGIN = 1e-9
+# Rounds of k-means||, and candidates that one of them draws for each center asked for.
+SEED_ROUNDS, DRAWN = 4, 0.5
+# Lloyd's rounds over the drawn candidates, which are few.
+SEED_ITERATIONS = 5
+# A place as two whole numbers, which all engines write alike.
+PLACE = ("cast(round(lat * 1000000) as bigint)", "cast(round(lon * 1000000) as bigint)")
 
 
 def weighted_points(rows: DataFrame) -> DataFrame:
@@ -22,90 +37,169 @@ def weighted_points(rows: DataFrame) -> DataFrame:
     return rows.groupBy("lat", "lon").agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
-def fit_kmeans(points: DataFrame, k: int, seed: int = 0, iterations: int = 10) -> KMeansModel:
-    """K-means on weighted points ``(lat, lon, weight)``.
+def _table(spark: SparkSession, centers: Centers, **others: np.ndarray) -> DataFrame:
+    columns = {"cluster": pa.array(centers.cluster, pa.int32()), "lat": centers.lat, "lon": centers.lon, **others}
+    return spark.createDataFrame(pa.table(columns), "cluster int, lat double, lon double" + "".join(f", {n} double" for n in others))
+
+
+def _numbered(rows: DataFrame) -> Centers:
+    """Centers from rows in order."""
+    found = rows.select("lat", "lon").toArrow()
+    return Centers(np.arange(found.num_rows), found["lat"].to_numpy(), found["lon"].to_numpy())
 
-    Fewer than ``k`` centers come back when there are fewer than ``k`` distinct points. Random starts are used because
-    the default seeding would rank tens of thousands of candidate centers on the driver.
-    """
-    vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(points)
-    model = KMeans(k=k, seed=seed, maxIter=iterations, initMode="random", weightCol="weight", featuresCol="features")
-    return model.fit(vectors)
 
+def drawn_starts(points: DataFrame, k: int, seed: int = 0) -> Centers:
+    """Up to ``k`` different places drawn by a hash of place and seed, numbered in the order of their draw."""
+    keyed = points.where(PLACED).selectExpr("lat", "lon", f"{PLACE[0]} as y", f"{PLACE[1]} as x")
+    drawn = sample_rows(keyed, k, ["y", "x"], seed)
+    return _numbered(drawn.orderBy(score(["y", "x"], seed), "lat", "lon"))
 
-def assign(df: DataFrame, model: KMeansModel, name: str) -> DataFrame:
-    """Add the number of the nearest center as column ``name``."""
-    vectors: Transformer = VectorAssembler(inputCols=["lat", "lon"], outputCol="_point")
-    model = model.copy().setFeaturesCol("_point").setPredictionCol(name)
-    return model.transform(vectors.transform(df)).drop("_point")
 
+def nearest_center(df: DataFrame, centers: DataFrame, name: str = "cluster") -> DataFrame:
+    """Add the nearest center of a table (ties: lowest number); null for rows without a place, and where there are no centers.
+
+    Rows are neither multiplied nor shuffled while the candidate lists fit a broadcast.
+    """
+    kind = centers.schema["cluster"].dataType
+    found = Centers.of(centers)
+    if not len(found):
+        return df.withColumn(name, F.lit(None).cast(kind))
+    return nearest(df, found, candidate_lists(found)).withColumn(name, F.col("_best")[0]["cluster"].cast(kind)).drop("_best")
+
+
+def _bounds(df: DataFrame, centers: Centers, lists) -> DataFrame:
+    """(lat, lon, weight, cluster, upper, lower) by looking at the candidates."""
+    found = nearest(df, centers, lists, 2)
+    best = F.col("_best")
+    lower = F.coalesce(F.sqrt(F.get(best, F.lit(1))["d"]), F.lit(float("inf")))
+    return found.select("lat", "lon", "weight", best[0]["cluster"].cast("int").alias("cluster"), F.sqrt(best[0]["d"]).alias("upper"), lower.alias("lower"))
+
+
+def _means(state: DataFrame, centers: Centers) -> Centers:
+    """Every center at the mean of its points; one without points stays."""
+    weighted = [F.sum(F.col("weight") * F.col(axis)).alias(axis) for axis in ("lat", "lon")]
+    sums = state.groupBy("cluster").agg(*weighted, F.sum("weight").alias("weight")).toArrow()
+    of, weight = sums["cluster"].to_numpy(), sums["weight"].to_numpy()
+    moved = Centers(centers.cluster, centers.lat.copy(), centers.lon.copy())
+    moved.lat[of], moved.lon[of] = sums["lat"].to_numpy() / weight, sums["lon"].to_numpy() / weight
+    return moved
+
+
+def _shifted(state: DataFrame, before: Centers, centers: Centers) -> DataFrame:
+    """The state after centers moved: bounds shifted, and those points looked at again whose bounds meet."""
+    lists = candidate_lists(centers, 2)
+    drift = np.hypot(centers.lat - before.lat, centers.lon - before.lon)
+    moves = _table(state.sparkSession, centers, drift=drift, half=gaps(centers, lists) / 2)
+    moves = moves.withColumnsRenamed({"lat": "to_lat", "lon": "to_lon"})
+    judged = state.join(F.broadcast(moves), "cluster")
+    lower = F.col("lower") - float(drift.max())
+    bound = F.greatest(lower, F.col("half"))
+    upper = F.col("upper") + F.col("drift")
+    own = F.sqrt(squared_degrees(F.col("lat"), F.col("lon"), F.col("to_lat"), F.col("to_lon")))
+    tight = F.when(upper + MARGIN >= bound, own).otherwise(upper)
+    judged = judged.select("lat", "lon", "weight", "cluster", tight.alias("upper"), lower.alias("lower"), (tight + MARGIN >= bound).alias("meet"))
+    stay = judged.where("not meet").drop("meet")
+    return stay.unionByName(_bounds(judged.where("meet").select("lat", "lon", "weight"), centers, lists))
+
+
+def lloyd(points: DataFrame, starts: Centers, iterations: int = 10) -> tuple[Centers, DataFrame]:
+    """Centers after ``iterations`` rounds from ``starts``, and the stored points with their ``cluster`` among these.
+
+    The result is that of the plain method, which compares every point with every center in every round. Points without a
+    place are left out. Ends early when no center moves.
+    """
+    placed = points.where(PLACED)
+    state, centers = stage(_bounds(placed, starts, candidate_lists(starts, 2)), "bounds"), starts
+    for _ in range(iterations):
+        before, centers = centers, _means(state, centers)
+        if np.array_equal(before.lat, centers.lat) and np.array_equal(before.lon, centers.lon):
+            break
+        state = stage(_shifted(state, before, centers), "bounds")
+    return centers, state
 
-def center_table(model: KMeansModel, df: DataFrame) -> DataFrame:
-    """Centers of a fitted model as a table; their number is bounded by ``k``."""
-    rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())]
-    return df.sparkSession.createDataFrame(rows, "cluster int, lat double, lon double")
 
+def fit_kmeans(points: DataFrame, k: int, seed: int = 0, iterations: int = 10) -> DataFrame:
+    """Centers ``(cluster, lat, lon)`` of k-means on weighted points, from starts drawn by hash.
 
-def _grid(centers: DataFrame) -> Column:
-    """The centers by cell as one value: origin, cells each way, their sizes, and an array with the centers of every cell."""
-    across = F.greatest(F.lit(1), F.floor(F.sqrt(F.count(F.lit(1)) / PER_CELL))).cast("int")
-    box = centers.agg(
-        across.alias("n"), F.min("lat").alias("lat"), F.min("lon").alias("lon"),
-        F.greatest((F.max("lat") - F.min("lat")) / across, F.lit(1e-9)).alias("height"),
-        F.greatest((F.max("lon") - F.min("lon")) / across, F.lit(1e-9)).alias("width"),
-    ).select(F.struct("n", "lat", "lon", "height", "width")).scalar()
-    placed = centers.withColumn("box", box)
-    key = _cell("lat", "box", "height") * F.col("box.n") + _cell("lon", "box", "width")
-    cells = placed.groupBy("box", key.alias("key")).agg(F.collect_list(F.struct("cluster", "lat", "lon")).alias("centers"))
-    listed = cells.agg(F.first("box").alias("box"), F.map_from_entries(F.collect_list(F.struct("key", "centers"))).alias("m"))
-    every = F.sequence(F.lit(0), F.col("box.n") * F.col("box.n") - 1)
-    dense = F.transform(every, lambda k: F.coalesce(F.try_element_at("m", k), F.slice(F.map_values("m")[0], 1, 0)))
-    return listed.select(F.struct("box", dense.alias("cells"))).scalar()
+    Fewer than ``k`` centers come back when there are fewer different points; no points give no centers.
+    """
+    starts = drawn_starts(points, k, seed)
+    centers = lloyd(points, starts, iterations)[0] if len(starts) else starts
+    return _table(points.sparkSession, centers)
 
 
-def _cell(axis: str, box: str, size: str) -> Column:
-    """Number of the cell of a coordinate; what lies outside of the box counts to its border."""
-    place = F.floor((F.col(axis) - F.col(f"{box}.{axis}")) / F.col(f"{box}.{size}"))
-    return F.least(F.greatest(place, F.lit(0)), F.col(f"{box}.n") - 1).cast("int")
+def cost(points: DataFrame, centers: DataFrame) -> float:
+    """Weighted sum of squared distances to the nearest centers."""
+    found = Centers.of(centers)
+    rows = nearest(points, found, candidate_lists(found))
+    return rows.agg(F.sum(F.col("weight") * F.col("_best")[0]["d"])).first()[0] or 0.0
 
 
-def nearest_center(df: DataFrame, centers: DataFrame, name: str = "cluster") -> DataFrame:
-    """Add the nearest center of a table (ties: lowest number) without joining rows with centers.
+def drawn_candidates(points: DataFrame, k: int, seed: int = 0, rounds: int = SEED_ROUNDS, drawn: float = DRAWN) -> Centers:
+    """Candidates of k-means||: one drawn place, then ``rounds`` times about ``drawn * k`` places.
 
-    The centers lie in the cells of a grid, which a scalar subquery hands to every task. A row looks into its own cell and
-    then at the rings of cells around it, until the next ring is farther away than the best center so far. Rows are
-    neither multiplied nor shuffled. Without centers, ``name`` is null.
+    A place is drawn if a number from a hash of place, seed and round is below ``drawn * k`` times its share of the cost. Costs are
+    kept in a stage table and compared with the candidates of the last round only. About ``rounds * drawn * k`` candidates
+    come to the driver.
+    """
+    candidates = latest = drawn_starts(points, 1, seed)
+    if not len(candidates):
+        return candidates
+    away = points.where(PLACED).withColumn("d", F.lit(float("inf")))
+    for number in range(rounds):
+        found = nearest(away, latest, candidate_lists(latest))
+        away = stage(found.withColumn("d", F.least("d", F.col("_best")[0]["d"])).drop("_best"), "distances")
+        total = away.agg(F.sum(F.col("weight") * F.col("d"))).first()[0]
+        if not total:
+            break
+        chance = F.col("weight") * F.col("d") * (drawn * k) / total
+        places = [F.expr(p) for p in PLACE]
+        chosen = away.where(score(places, seed + 1 + number) < chance).select("lat", "lon").orderBy("lat", "lon")
+        latest = _numbered(chosen)
+        if not len(latest):
+            break
+        latest.cluster = latest.cluster + len(candidates)
+        candidates = candidates.joined(latest)
+    if len(candidates) >= k:
+        return candidates
+    # So few places are far that chance left too few: the first drawn ones fill up.
+    more, known = drawn_starts(points, 2 * k, seed), set(zip(candidates.lat, candidates.lon, strict=True))
+    new = np.array([place not in known for place in zip(more.lat, more.lon, strict=True)], dtype=bool)
+    new &= np.cumsum(new) <= k - len(candidates)
+    return candidates.joined(Centers(len(candidates) + np.arange(new.sum()), more.lat[new], more.lon[new]))
+
+
+def _spread(lat: np.ndarray, lon: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
+    """Numbers of up to ``k`` candidates: the heaviest one, then always the one with the largest weight times squared distance to the others chosen."""
+    chosen = [int(weight.argmax())] if len(weight) else []
+    away = np.full(len(weight), np.inf)
+    while len(chosen) < min(k, len(weight)):
+        last = chosen[-1]
+        away = np.minimum(away, (lat - lat[last]) * (lat - lat[last]) + (lon - lon[last]) * (lon - lon[last]))
+        mass = weight * away
+        if not mass.max() > 0:
+            break
+        chosen.append(int(mass.argmax()))
+    return np.array(chosen, dtype=np.int64)
+
+
+def spread_seeds(points: DataFrame, k: int, seed: int = 0) -> DataFrame:
+    """``k`` starting centers ``(cluster, lat, lon, n)`` with ``n`` 0: k-means|| and Lloyd's rounds over its weighted candidates.
+
+    Each candidate weighs as much as the points it is nearest to. The rounds start from candidates that are heavy and far apart (ties: by
+    place), so that small groups far from all others get a center. Fewer come back only where there are fewer different points.
     """
-    n, y, x = F.col("_grid.box.n"), F.col("_y"), F.col("_x")
-
-    def ring_cells(ring: Column) -> Column:
-        """Numbers of the cells at ``ring`` cells from the row's own: two whole rows, and two columns between them."""
-        side = F.sequence(-ring, ring)
-        rows = [F.transform(side, lambda d: F.struct((y - ring).alias("y"), (x + d).alias("x"))),
-                F.transform(side, lambda d: F.struct((y + ring).alias("y"), (x + d).alias("x")))]
-        inner = F.slice(side, F.lit(2), F.greatest(F.size(side) - 2, F.lit(0)))
-        columns = [F.transform(inner, lambda d: F.struct((y + d).alias("y"), (x - ring).alias("x"))),
-                   F.transform(inner, lambda d: F.struct((y + d).alias("y"), (x + ring).alias("x")))]
-        inside = F.filter(F.concat(*rows, *columns), lambda c: c["y"].between(0, n - 1) & c["x"].between(0, n - 1))
-        return F.transform(inside, lambda c: c["y"] * n + c["x"])
-
-    def ranked(center: Column) -> Column:
-        distance = squared_degrees(F.col("lat"), F.col("lon"), center["lat"], center["lon"])
-        return F.struct(distance.alias("d"), center["cluster"].alias("cluster"))
-
-    def look(best: Column, ring: Column) -> Column:
-        # Cells of this ring are at least ring - 1 cells away.
-        nearest = F.pow((ring - 1) * F.least("_grid.box.height", "_grid.box.width"), 2)
-        done = best.isNotNull() & (ring > 0) & (best["d"] < nearest)
-        found = F.flatten(F.transform(ring_cells(ring), lambda cell: F.get("_grid.cells", cell)))
-        here = F.array_min(F.transform(found, ranked))
-        return F.when(done, best).otherwise(F.array_min(F.array_compact(F.array(best, here))))
-
-    kind = f"struct<d:double,cluster:{centers.schema['cluster'].dataType.simpleString()}>"
-    placed = df.withColumn("_grid", _grid(centers))
-    placed = placed.withColumns({"_y": _cell("lat", "_grid.box", "height"), "_x": _cell("lon", "_grid.box", "width")})
-    best = F.aggregate(F.sequence(F.lit(0), F.coalesce(n, F.lit(0))), F.lit(None).cast(kind), look)
-    return placed.withColumn(name, best["cluster"]).drop("_grid", "_y", "_x")
+    candidates = drawn_candidates(points, k, seed)
+    spark = points.sparkSession
+    if len(candidates):
+        found = nearest(points, candidates, candidate_lists(candidates)).groupBy(F.col("_best")[0]["cluster"].alias("cluster")).agg(F.sum("weight").alias("weight"))
+        weighted = stage(_table(spark, candidates).join(found, "cluster").select("lat", "lon", "weight"), "candidates")
+        # Some candidates for each center asked for: the driver and one task hold them.
+        rows = weighted.orderBy("lat", "lon").toArrow()
+        lat, lon, weight = (rows[c].to_numpy() for c in ("lat", "lon", "weight"))
+        of = _spread(lat, lon, weight, k)
+        candidates = lloyd(weighted, Centers(np.arange(len(of)), lat[of], lon[of]), SEED_ITERATIONS)[0]
+    return _table(spark, candidates).withColumn("n", F.lit(0).cast("long"))
 
 
 def minibatch_step(points: DataFrame, centers: DataFrame) -> DataFrame:

@@ -8,31 +8,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlaslex.operators.ranking import number_rows
+from atlaslex.staging import stage
 
 # Fixed value: the number of pages a whole dump is taken to have when a share of it is asked for.
 PAGES_ESTIMATE = 21_000_000
 
 
-def _score(keys: list[str], seed: int) -> Column:
-    """A number in [0, 1) that depends on the row's key and the seed only."""
-    hashed = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return F.shiftrightunsigned(hashed, 11).cast("double") / float(1 << 53)
+def score(keys: list[str | Column], seed: int) -> Column:
+    """A number in [0, 1) that depends on the row's key and the seed only: 52 bits of an MD5, which other engines compute alike."""
+    texts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *texts).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / float(1 << 52)
 
 
 def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = 0) -> DataFrame:
     """Exactly min(n, count) rows drawn without replacement; the same rows on every run.
 
-    The n smallest hash scores win. All but about n rows are dropped by their score before the sort, so the sort handles
-    a sample and not the table; the cut is widened in the rare case that it left fewer than n rows.
+    The n smallest hash scores win. After a count, for which a stored table is not read, one scan stores the rows below a cut
+    that leaves about n of them; the sort handles these and not the table. The cut is widened, with another scan,
+    in the rare case that it left fewer than n rows (six standard deviations).
     """
     total = df.count()
     if total <= n:
         return df
-    scored = df.withColumn("_score", _score(keys, seed))
+    (name,) = [f"{'_' * i}score" for i in range(1, 9) if f"{'_' * i}score" not in df.columns][:1]
+    scored = df.withColumn(name, score(keys, seed))
     cut = (n + 6 * math.sqrt(n) + 10) / total
-    while cut < 1 and scored.filter(F.col("_score") < cut).count() < n:
+    drawn = stage(scored.filter(F.col(name) < cut), "drawn")
+    while cut < 1 and drawn.count() < n:
         cut *= 2
-    return scored.filter(F.col("_score") < cut).orderBy("_score", *keys).limit(n).drop("_score")
+        drawn = stage(scored.filter(F.col(name) < cut), "drawn")
+    return drawn.orderBy(name, *keys).limit(n).drop(name)
 
 
 def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atlaslex.functions.geo import continent, in_world
-from atlaslex.operators.kmeans import assign, fit_kmeans, minibatch_step, weighted_points
+from atlaslex.operators.kmeans import fit_kmeans, minibatch_step, nearest_center, spread_seeds, weighted_points
 from atlaslex.operators.lookup import lookup_join
 from atlaslex.operators.sampling import sample_rows
 from atlaslex.staging import stage
 
 # Clusters per zoom level beside the continents.
 CLUSTER_COUNTS = (193, 4000, 25_000)
+# How often a mini-batch fit draws, and how many rows.
+DRAWS, DRAWN_ROWS = 3, 100_000
 
 
 def mappable_words(words: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -28,28 +30,32 @@ def kept_share(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
+def fitted_centers(words: DataFrame, points: DataFrame, k: int, seed: int = 0, batches: bool = False) -> DataFrame:
+    """Centers ``(cluster, lat, lon)`` for words with the stored weighted places ``points``, by Lloyd's rounds or by mini-batches."""
+    return minibatch_fit(words, k, seed=seed) if batches else fit_kmeans(points, k, seed)
+
+
 def cluster_words(
-    words: DataFrame, counts: tuple[int, ...] = CLUSTER_COUNTS, fit_rows: int | None = None, seed: int = 0
+    words: DataFrame, counts: tuple[int, ...] = CLUSTER_COUNTS, fit_rows: int | None = None, seed: int = 0, batches: bool = False
 ) -> DataFrame:
     """Add ``cluster_7`` and ``cluster_<k>`` for each k to a stored table of mappable words.
 
     Each k is fitted on all places, equal ones merged to one weighted point, or on a draw of ``fit_rows`` rows if that is
-    given. The words of an article share one place: clusters are assigned to the places, one row per page, and joined to
-    the words by page. There is no join on coordinates, which a third of the pages may share. No words give no rows.
+    given, or on three draws by mini-batches. The words of an article share one place: clusters are assigned to the places,
+    one row per page, and joined to the words by page. There is no join on coordinates, which a third of the pages may
+    share. No words give no rows.
     """
     sample = words if fit_rows is None else sample_rows(words, fit_rows, ["page_id", "word"], seed)
     points = stage(weighted_points(sample), "fit-points")
     pages = words.select("page_id", "lat", "lon").distinct()
     pages = pages.withColumn("cluster_7", continent(F.col("lat"), F.col("lon")))
-    some = bool(points.head(1))
     for k in counts:
-        name = f"cluster_{k}"
-        pages = assign(pages, fit_kmeans(points, k, seed), name) if some else pages.withColumn(name, F.lit(0))
+        pages = nearest_center(pages, fitted_centers(sample, points, k, seed, batches), f"cluster_{k}")
     names = ["cluster_7", *[f"cluster_{k}" for k in counts]]
     return words.join(stage(pages, "page-clusters"), ["page_id", "lat", "lon"]).select(*words.columns, *names)
 
 
-def minibatch_clusters(words: DataFrame, start: DataFrame, draws: int = 3, rows: int | None = None, seed: int = 0) -> DataFrame:
+def minibatch_clusters(words: DataFrame, start: DataFrame, draws: int = DRAWS, rows: int | None = None, seed: int = 0) -> DataFrame:
     """Center table ``(cluster, lat, lon, n)`` after ``draws`` mini-batch updates from the centers ``start``.
 
     Every draw is all rows, or ``rows`` of them drawn with another seed each time.
@@ -59,3 +65,14 @@ def minibatch_clusters(words: DataFrame, start: DataFrame, draws: int = 3, rows:
         batch = words if rows is None else sample_rows(words, rows, ["page_id", "word"], seed + number)
         centers = stage(minibatch_step(batch, centers), "centers")
     return centers
+
+
+def minibatch_fit(words: DataFrame, k: int, draws: int = DRAWS, rows: int = DRAWN_ROWS, seed: int = 0) -> DataFrame:
+    """Center table ``(cluster, lat, lon, n)`` of a mini-batch fit that finds its own start.
+
+    ``draws`` times ``rows`` rows are drawn, each time with another seed; the first draw gives the starting centers too, by
+    k-means||. Without words there are no centers.
+    """
+    first = sample_rows(words, rows, ["page_id", "word"], seed)
+    seeds = spread_seeds(stage(weighted_points(first), "seed-points"), k, seed)
+    return minibatch_clusters(words, seeds, draws, rows, seed)

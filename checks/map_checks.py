@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from atlaslex.functions.geo import continent, continent_name, in_world, squared_degrees
 from atlaslex.functions.words import words
-from atlaslex.operators.kmeans import assign, center_table, fit_kmeans, minibatch_step, nearest_center, weighted_points
+from atlaslex.operators.kmeans import cost, drawn_starts, fit_kmeans, lloyd, minibatch_step, nearest_center, weighted_points
+from atlaslex.operators.sampling import sample_rows
 from atlaslex.plans import clusters, labels, places
 from atlaslex.plans.significance import significant_words_of_pages
 from atlaslex.staging import stage
@@ -41,6 +42,11 @@ def gridded_words(t: Tables):
 WORD_COLUMNS = "page_id, word, tf, article, cast(df as bigint) as df, round(tf_idf, 9) as tf_idf, round(lat, 9) as lat, round(lon, 9) as lon"
 
 
+def rounded_places(df):
+    """Centers at six digits."""
+    return df.withColumns({c: F.round(F.col(c) + 1e-8, 6) for c in ("lat", "lon")})
+
+
 def rounded(df, *columns: str):
     """Doubles at nine digits."""
     return df.withColumns({c: F.round(c, 9) for c in columns})
@@ -169,56 +175,181 @@ THREE_STEPS = f"with p as materialized ({PLACES.replace('/ 100.0', '/ 100.0::dou
 
 @query("m1_minibatch_fit", f"{THREE_STEPS} select cluster, round(lat, 6) as lat, round(lon, 6) as lon, n from c3")
 def _(t):
-    fitted = clusters.minibatch_clusters(line_places(t), fixed_centers(t))
+    fitted = clusters.minibatch_clusters(stage(line_places(t), "lines"), fixed_centers(t))
     return fitted.select("cluster", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "n")
 
 
 @query("q5_minibatch_clusters", f"{THREE_STEPS} select page_id, cluster from ({nearest_sql('select * from p', 'select * from c3')})")
 def _(t):
-    points = line_places(t)
+    points = stage(line_places(t), "lines")
     fitted = clusters.minibatch_clusters(points, fixed_centers(t))
     return nearest_center(points, fitted).select("page_id", "cluster")
 
 
-# A fit of the whole has no larger cost than its start, and the points of a cluster have their mean near its center.
-@query("m1_fit_lowers_cost", f"select count(*) as points, true as lower_cost from ({PLACES})")
+def score_sql(seed: int, *keys: str) -> str:
+    """The number in [0, 1) by which rows are drawn."""
+    return f"('0x' || substr(md5(concat_ws(':', '{seed}', {', '.join(keys)})), 1, 13))::bigint / 4503599627370496.0"
+
+
+def place_score_sql(seed: int) -> str:
+    return score_sql(seed, "cast(round(lat * 1000000) as bigint)", "cast(round(lon * 1000000) as bigint)")
+
+
+def weighted_sql(rows: str) -> str:
+    return f"select lat, lon, cast(count(*) as double) as weight from ({rows}) group by lat, lon"
+
+
+def assigned_sql(points: str, centers: str) -> str:
+    """Every point with its nearest center, after comparing all of them."""
+    return f"""select p.lat, p.lon, p.weight, min(struct_pack(d := (p.lat - c.lat) * (p.lat - c.lat) + (p.lon - c.lon) * (p.lon - c.lon), cluster := c.cluster)) as best
+ from {points} p, {centers} c group by p.lat, p.lon, p.weight"""
+
+
+def moved_sql(points: str, centers: str) -> str:
+    """Centers at the means of their points."""
+    return f"""select c.cluster, coalesce(m.lat, c.lat) as lat, coalesce(m.lon, c.lon) as lon from {centers} c left join
+ (select best.cluster as cluster, sum(weight * lat) / sum(weight) as lat, sum(weight * lon) / sum(weight) as lon from ({assigned_sql(points, centers)}) group by 1) m using (cluster)"""
+
+
+def lloyd_ctes(name: str, points: str, starts: str, rounds: int) -> str:
+    """Steps ``<name>0`` to ``<name><rounds>`` from the query ``starts``."""
+    steps = [f"{name}0 as materialized ({starts})"]
+    steps += [f"{name}{i + 1} as materialized ({moved_sql(points, f'{name}{i}')})" for i in range(rounds)]
+    return ", ".join(steps)
+
+
+def starts_sql(points: str, k: int, seed: int = 0) -> str:
+    return f"select cast(row_number() over (order by {place_score_sql(seed)}, lat, lon) - 1 as integer) as cluster, lat, lon from {points} qualify cluster < {k}"
+
+
+MAP_POINTS = f"p as materialized ({weighted_sql(f'select lat, lon from ({sql.MAPPABLE})')})"
+LINE_POINTS = f"p as materialized ({weighted_sql(PLACES.replace('/ 100.0', '/ 100.0::double'))})"
+# Means of hundredths may end in exactly half a digit: they are shifted off it before they are rounded.
+CENTER_COLUMNS = "cluster, round(lat + 1e-8, 6) as lat, round(lon + 1e-8, 6) as lon"
+
+
+def line_points(t):
+    return stage(weighted_points(line_places(t)), "fit-points")
+
+
+@query("m1_fit_kmeans", f"with {MAP_POINTS}, {lloyd_ctes('c', 'p', starts_sql('p', 193), 10)} select {CENTER_COLUMNS} from c10")
+def _(t):
+    return rounded_places(fit_kmeans(stage(weighted_points(dictionary_words(t)), "fit-points"), 193))
+
+
+# Many different places, and the sums of what each cluster holds after the last round.
+@query(
+    "m1_fit_many_places",
+    f"""with {LINE_POINTS}, {lloyd_ctes('c', 'p', starts_sql('p', 193, 4), 4)}
+ select best.cluster as cluster, sum(weight) as weight, round(sum(weight * lat), 2) as lat, round(sum(weight * lon), 2) as lon
+ from ({assigned_sql('p', 'c4')}) group by 1""",
+)
+def _(t):
+    points = line_points(t)
+    _, state = lloyd(points, drawn_starts(points, 193, seed=4), iterations=4)
+    sums = [F.round(F.sum(F.col("weight") * F.col(c)), 2).alias(c) for c in ("lat", "lon")]
+    return state.groupBy("cluster").agg(F.sum("weight").alias("weight"), *sums)
+
+
+# Thousands of centers: one round, whose assignment and means SQL follows.
+@query("m1_fit_thousands", f"with {LINE_POINTS}, {lloyd_ctes('c', 'p', starts_sql('p', 4000), 1)} select {CENTER_COLUMNS} from c1")
 def _(t):
-    points = stage(weighted_points(line_places(t)), "fit-points")
-    one, many = fit_kmeans(points, 40, iterations=1), fit_kmeans(points, 40, iterations=10)
-    lower = many.summary.trainingCost <= one.summary.trainingCost * (1 + 1e-9)
-    return points.agg(F.sum("weight").cast("bigint").alias("points")).withColumn("lower_cost", F.lit(bool(lower)))
+    return rounded_places(fit_kmeans(line_points(t), 4000, iterations=1))
 
 
-@query("m1_fit_kmeans")
+# The largest fit: no point has a center that is nearer than its own, and the last round lowers the cost.
+@query("m1_fit_lowers_cost", f"select count(*) as points, true as lower_cost from ({PLACES})")
 def _(t):
-    words = dictionary_words(t)
-    points = stage(weighted_points(words), "fit-points")
-    return center_table(fit_kmeans(points, 193), words)
+    points = line_points(t)
+    costs = [cost(points, fit_kmeans(points, 4000, iterations=n)) for n in (1, 3)]
+    return points.agg(F.sum("weight").cast("bigint").alias("points")).withColumn("lower_cost", F.lit(bool(costs[1] < costs[0])))
 
 
 # Every point must get a center that is as near as any other: no row may differ.
 @query("m2_assign_is_nearest", f"select count(*) as points, cast(0 as bigint) as not_nearest from ({sql.POINTS})")
 def _(t):
     points = customer_points(t)
-    model = fit_kmeans(weighted_points(points), 40)
-    centers = center_table(model, points)
-    given = assign(points, model, "given").join(
-        F.broadcast(centers.select(F.col("cluster").alias("given"), F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"))), "given"
-    )
-    both = nearest_center(given, centers, "best").join(
-        F.broadcast(centers.select(F.col("cluster").alias("best"), F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"))), "best"
-    )
-    gap = squared_degrees(F.col("lat"), F.col("lon"), F.col("to_lat"), F.col("to_lon")) - squared_degrees(
-        F.col("lat"), F.col("lon"), F.col("b_lat"), F.col("b_lon")
-    )
-    return both.agg(F.count(F.lit(1)).alias("points"), F.count_if(gap > 1e-6).alias("not_nearest"))
+    centers = fit_kmeans(stage(weighted_points(points), "fit-points"), 40)
+    near = nearest_center(points, centers, "best").select("point_id", "lat", "lon", "best")
+    # A stated set of 40 centers against all rows.
+    every = centers.agg(F.collect_list(F.struct("cluster", "lat", "lon"))).scalar()
+    both = near.withColumn("centers", every)
+    distance = F.transform("centers", lambda c: F.struct(squared_degrees(F.col("lat"), F.col("lon"), c["lat"], c["lon"]).alias("d"), c["cluster"].alias("c")))
+    least = both.withColumn("least", F.array_min(distance))
+    return least.agg(F.count(F.lit(1)).alias("points"), F.count_if(F.col("least.c") != F.col("best")).alias("not_nearest"))
+
+
+def cluster_columns(k: int) -> str:
+    """Rows (lat, lon, cluster) of a fit of k clusters on the map's places."""
+    name = f"k{k}_"
+    found = f"{name}a as (select lat, lon, best.cluster as cluster_{k} from ({assigned_sql('p', f'{name}10')}))"
+    return f"{lloyd_ctes(name, 'p', starts_sql('p', k), 10)}, {found}"
+
+
+@query(
+    "q5_cluster",
+    f"""with {MAP_POINTS}, {', '.join(cluster_columns(k) for k in clusters.CLUSTER_COUNTS)}
+ select page_id, word, {sql.CONTINENT} as cluster_7, cluster_193, cluster_4000, cluster_25000
+ from ({sql.MAPPABLE}) join k193_a using (lat, lon) join k4000_a using (lat, lon) join k25000_a using (lat, lon)""",
+)
+def _(t):
+    found = cluster_document_words(t)
+    return found.select("page_id", "word", "cluster_7", "cluster_193", "cluster_4000", "cluster_25000")
 
 
-@query("q5_cluster")
 def cluster_document_words(t):
     return clusters.cluster_words(dictionary_words(t))
 
 
+SEEDED, SEEDED_ROWS, SEEDED_ROUNDS = 12, 20_000, 4
+
+
+def seeded_ctes() -> str:
+    """k-means|| on the first draw, Lloyd's rounds over its candidates, and three mini-batch steps."""
+    share = SEEDED * 0.5
+    rows = f"select * from lines qualify row_number() over (order by {score_sql(0, 'page_id', 'word')}, page_id, word) <= {SEEDED_ROWS}"
+    parts = [
+        f"lines as materialized ({PLACES.replace('/ 100.0', '/ 100.0::double')})",
+        f"p as materialized ({weighted_sql(rows)})",
+        f"f0 as materialized ({starts_sql('p', 1)})",
+        "d0 as (select *, 'infinity'::double as d from p)",
+    ]
+    for i in range(SEEDED_ROUNDS):
+        parts.append(
+            f"""d{i + 1} as materialized (select x.lat, x.lon, x.weight, least(x.d, min((x.lat - c.lat) * (x.lat - c.lat) + (x.lon - c.lon) * (x.lon - c.lon))) as d
+ from d{i} x, f{i} c group by x.lat, x.lon, x.weight, x.d)"""
+        )
+        parts.append(f"f{i + 1} as materialized (select lat, lon from d{i + 1} where {place_score_sql(1 + i)} < weight * d * {share} / (select sum(weight * d) from d{i + 1}))")
+    every = " union all ".join([f"select {i} as r, lat, lon from f{i}" for i in range(SEEDED_ROUNDS + 1)])
+    parts.append(f"g as materialized (select cast(row_number() over (order by r, lat, lon) - 1 as integer) as cluster, lat, lon from ({every}))")
+    parts.append(f"""h as materialized (select g.lat, g.lon, w.weight from g join
+ (select best.cluster as cluster, sum(weight) as weight from ({assigned_sql('p', 'g')}) group by 1) w using (cluster))""")
+    parts.append("e0 as materialized (select lat, lon, weight, 'infinity'::double as away from h)")
+    parts.append("t0 as materialized (select 0 as cluster, lat, lon from e0 order by weight desc, lat, lon limit 1)")
+    for i in range(1, SEEDED):
+        parts.append(f"""e{i} as materialized (select x.lat, x.lon, x.weight, least(x.away, (x.lat - c.lat) * (x.lat - c.lat) + (x.lon - c.lon) * (x.lon - c.lon)) as away
+ from e{i - 1} x, t{i - 1} c)""")
+        parts.append(f"t{i} as materialized (select {i} as cluster, lat, lon from e{i} where away > 0 order by weight * away desc, lat, lon limit 1)")
+    starts = " union all ".join(f"select * from t{i}" for i in range(SEEDED))
+    parts.append(lloyd_ctes("s", "h", starts, 5))
+    parts.append("m0 as materialized (select cluster, lat, lon, cast(0 as bigint) as n from s5)")
+    for i in range(3):
+        drawn = f"select * from lines qualify row_number() over (order by {score_sql(i, 'page_id', 'word')}, page_id, word) <= {SEEDED_ROWS}"
+        parts.append(f"m{i + 1} as materialized ({step_sql(drawn, f'select * from m{i}')})")
+    return ", ".join(parts)
+
+
+@query("m1_seeded_minibatch", f"with {seeded_ctes()} select {CENTER_COLUMNS}, n from m3")
+def _(t):
+    lines = stage(line_places(t), "lines")
+    return rounded_places(clusters.minibatch_fit(lines, SEEDED, rows=SEEDED_ROWS))
+
+
+@query("t6_drawn_rows", f"select page_id, word from ({PLACES}) qualify row_number() over (order by {score_sql(9, 'page_id', 'word')}, page_id, word) <= 1000")
+def _(t):
+    return sample_rows(line_places(t), 1000, ["page_id", "word"], seed=9).select("page_id", "word")
+
+
 @query("q5_cluster_keeps_words", f"select page_id, word, {sql.CONTINENT} as cluster_7 from ({sql.MAPPABLE})")
 def _(t):
     return cluster_document_words(t).select("page_id", "word", "cluster_7")

@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from atlaslex.operators import kmeans, lookup, page_lists, ranking, sampling, unique_labels, upsert
+from atlaslex.operators import cells, kmeans, lookup, page_lists, ranking, sampling, unique_labels, upsert
 from atlaslex.plans import clusters
 from atlaslex.plans.geo_index import load_statistics
+from atlaslex.staging import stage
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
@@ -133,21 +134,120 @@ def test_unique_labels_random(spark):
     assert run_labels(spark, chain) == greedy(chain)
 
 
-def test_kmeans_and_nearest(spark):
-    rng = random.Random(5)
-    points = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(400)]
-    df = spark.createDataFrame(points, "page_id long, lat double, lon double")
-    model = kmeans.fit_kmeans(kmeans.weighted_points(df), 15)
-    centers = [tuple(c) for c in model.clusterCenters()]
-    given = kmeans.nearest_center(kmeans.assign(df, model, "by_model"), kmeans.center_table(model, df), "by_table")
-
-    def distance(row, c):
-        return (row.lat - centers[c][0]) ** 2 + (row.lon - centers[c][1]) ** 2
-
-    for row in given.collect():
-        best = min(distance(row, c) for c in range(len(centers)))
-        assert distance(row, row.by_table) == pytest.approx(best)
-        assert distance(row, row.by_model) == pytest.approx(best)
+def plain_lloyd(points, starts, rounds):
+    """Every point against every center in every round."""
+    at, weight, centers = points[:, :2], points[:, 2], starts.copy()
+
+    def nearest():
+        d = (at[:, :1] - centers[:, 0]) ** 2 + (at[:, 1:] - centers[:, 1]) ** 2
+        return d.argmin(axis=1), d
+
+    for _ in range(rounds):
+        of, _ = nearest()
+        total = np.bincount(of, weight, len(centers))
+        for axis in (0, 1):
+            centers[:, axis] = np.where(total > 0, np.bincount(of, weight * at[:, axis], len(centers)) / np.maximum(total, 1e-300), centers[:, axis])
+    return centers, *nearest()
+
+
+def made_points(rng, n, kind):
+    """Places: spread evenly, in dense towns, or on a lattice full of ties."""
+    if kind == "even":
+        at = np.column_stack([rng.uniform(-90, 90, n), rng.uniform(-180, 180, n)])
+    elif kind == "towns":
+        town = rng.uniform((-60, -150), (60, 150), (12, 2))
+        at = town[rng.integers(0, 12, n)] + rng.normal(0, 0.3, (n, 2)) * rng.exponential(1, (n, 1))
+    else:
+        at = np.column_stack([rng.integers(-20, 20, n) * 1.0, rng.integers(-20, 20, n) * 1.0])
+    at = np.unique(at, axis=0)
+    return np.column_stack([at, rng.integers(1, 9, len(at))])
+
+
+def table_of(spark, points):
+    return stage(spark.createDataFrame(points.tolist(), "lat double, lon double, weight double"), "points")
+
+
+@pytest.mark.parametrize(("kind", "n", "k"), [("even", 1500, 1), ("even", 1500, 25), ("towns", 4000, 300), ("lattice", 1500, 90), ("even", 200, 500)])
+def test_bounded_rounds_are_plain_lloyd(spark, kind, n, k):
+    points = made_points(np.random.default_rng(k), n, kind)
+    table = table_of(spark, points)
+    starts = kmeans.drawn_starts(table, k, seed=3)
+    assert len(starts) == min(k, len(points)) == len(set(zip(starts.lat, starts.lon, strict=True)))
+    centers, state = kmeans.lloyd(table, starts, 6)
+    expected, of, d = plain_lloyd(points, np.column_stack([starts.lat, starts.lon]), 6)
+    assert np.allclose(np.column_stack([centers.lat, centers.lon]), expected, atol=1e-9)
+    given = {(r.lat, r.lon): r.cluster for r in state.collect()}
+    assert len(given) == len(points)
+    for i, (lat, lon, _) in enumerate(points):
+        # Rounding may tell between centers that are as near as each other.
+        assert given[lat, lon] == of[i] or abs(d[i, given[lat, lon]] - d[i, of[i]]) < 1e-9
+    fitted = kmeans.fit_kmeans(table, k, seed=3, iterations=6)
+    assert kmeans.cost(table, fitted) == pytest.approx((points[:, 2] * d.min(axis=1)).sum(), abs=1e-6)
+
+
+def test_settled_points_are_not_looked_at_again(spark, monkeypatch):
+    points = made_points(np.random.default_rng(1), 6000, "towns")
+    table, looked, before = table_of(spark, points), [], kmeans._bounds
+
+    def counted(df, centers, lists):
+        looked.append(df.count())
+        return before(df, centers, lists)
+
+    monkeypatch.setattr(kmeans, "_bounds", counted)
+    kmeans.lloyd(table, kmeans.drawn_starts(table, 60), 8)
+    assert looked[0] == len(points) and min(looked[-3:]) < len(points) / 3
+
+
+def test_candidate_lists_hold_the_nearest():
+    rng = np.random.default_rng(2)
+    for kind in ("even", "towns", "lattice"):
+        at = made_points(rng, 3000, kind)
+        centers = cells.Centers(np.arange(len(at)), at[:, 0].copy(), at[:, 1].copy())
+        lists = cells.candidate_lists(centers, 2)
+        listed = lists.key >= 0
+        assert listed.sum() < 60 * len(at)
+        d = np.hypot(at[:, :1] - at[:, 0], at[:, 1:2] - at[:, 1])
+        np.fill_diagonal(d, np.inf)
+        assert np.allclose(cells.gaps(centers, lists), d.min(axis=1))
+
+
+def test_spread_seeds(spark):
+    """Far groups of very different weight all get a center, which a plain draw would not give them."""
+    rng = np.random.default_rng(3)
+    groups = [(0, 0, 3000), (50, 100, 12), (-50, 120, 12), (60, -140, 12), (-60, -120, 12)]
+    points = np.vstack([np.column_stack([rng.normal((lat, lon), 0.5, (n, 2)), np.ones(n)]) for lat, lon, n in groups])
+    table = table_of(spark, points)
+    seeds = [(r.lat, r.lon) for r in kmeans.spread_seeds(table, 10, seed=1).collect()]
+    assert 5 <= len(seeds) <= 10
+    assert all(min(np.hypot(a - lat, b - lon) for a, b in seeds) < 3 for lat, lon, _ in groups)
+    few = table_of(spark, np.array([[1.0, 2.0, 1.0], [3.0, 4.0, 1.0], [5.0, 6.0, 9.0]]))
+    assert kmeans.spread_seeds(few, 3).count() == 3 and kmeans.spread_seeds(few, 7).count() == 3
+    none = few.where("false")
+    assert kmeans.spread_seeds(none, 3).count() == 0 and kmeans.fit_kmeans(none, 3).count() == 0
+
+
+def test_points_without_a_place(spark):
+    rows = [(1.0, 2.0, 1.0), (None, 2.0, 1.0), (1.0, float("nan"), 1.0), (200.0, 400.0, 1.0)]
+    table = stage(spark.createDataFrame(rows, "lat double, lon double, weight double"), "points")
+    centers = kmeans.fit_kmeans(table, 5)
+    assert sorted((r.lat, r.lon) for r in centers.collect()) == [(1.0, 2.0), (200.0, 400.0)]
+    found = kmeans.nearest_center(table, centers.where("lat < 100")).collect()
+    number = centers.where("lat < 100").first().cluster
+    assert sorted(str(r.cluster) for r in found) == sorted([str(number)] * 2 + ["None"] * 2)
+
+
+def test_minibatch_fit(spark):
+    rng = np.random.default_rng(4)
+    town = rng.uniform((-60, -150), (60, 150), (8, 2))
+    at = town[rng.integers(0, 8, 3000)] + rng.normal(0, 0.4, (3000, 2))
+    words = spark.createDataFrame([(i, f"w{i % 7}", *p) for i, p in enumerate(at.tolist())], "page_id long, word string, lat double, lon double")
+    words = stage(words, "words")
+    one = clusters.minibatch_fit(words, 8, rows=1000, seed=2).collect()
+    assert sum(r.n for r in one) == 3000 and len(one) == 8
+    assert sorted(one) == sorted(clusters.minibatch_fit(words, 8, rows=1000, seed=2).collect())
+    assert all(min(np.hypot(r.lat - a, r.lon - b) for r in one) < 1 for a, b in town)
+    named = clusters.cluster_words(words.withColumn("tf_idf", F.lit(0.5)), (8,), batches=True)
+    assert named.count() == 3000 and named.select("cluster_8").distinct().count() == 8
 
 
 def test_nearest_of_very_many_centers(spark):
