@@ -8,6 +8,7 @@
     spark-submit -m atlaslex.jobs symbols --folder hdfs:///map --symbols hdfs:///symbols.txt
     spark-submit -m atlaslex.jobs keywords --folder hdfs:///map
     spark-submit -m atlaslex.jobs links --dump hdfs:///dumps/enwiki --folder hdfs:///map
+    spark-submit -m atlaslex.jobs box --folder hdfs:///map --box 47,5,55,15
     spark-submit -m atlaslex.jobs ask --folder hdfs:///map --sql "select type, count(*) from {coords} group by type"
 """
 
@@ -15,58 +16,58 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from atlaslex.functions.coords import mentions_coord
 from atlaslex.operators.page_lists import page_lists
-from atlaslex.operators.sampling import prefix_share
+from atlaslex.operators.sampling import prefix_rows
 from atlaslex.plans import clusters, coord_queries, geo_index, keywords, labels, links, places, significance, symbols
 from atlaslex.session import cluster_session
 from atlaslex.sinks import files
-from atlaslex.sources.dump import page_records, read_dump, rejected_pages
+from atlaslex.sources.dump import leading_records, page_records, parsed_records, read_dump
 from atlaslex.sources.tables import read_stage, read_symbol_set, read_word_set
-from atlaslex.staging import remove_stages, stage
+from atlaslex.staging import path_exists, remove_stages, stage
 
 
 def _load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return read_stage(spark, f"{folder}/{table}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-    except AnalysisException:
-        return False
-    return True
-
-
 def index(spark: SparkSession, folder: str, dump: str, share: float = 1.0) -> None:
-    """Places with their text (``places``), titles, ``rejected`` pages and the load's ``statistics``.
+    """Places with their text (``places``), titles, ``rejected`` pages, places by their position (``map``) and the load's ``statistics``.
 
-    A rerun adds the pages that are not there yet. Of a page that comes twice, the first one loaded counts.
+    A rerun adds the pages that are not there yet. Of a page that comes twice, the first one loaded counts. The dump is
+    scanned once: counts are observed on the way to one stored table, from which all others are made. With a ``share``, file
+    splits are counted first and only the leading pages are parsed; the statistics are those of these pages.
     """
-    # The words of a template are the same in the XML record: pages without them are not even parsed. A leading share
-    # counts all pages, so there every page is.
-    pages = read_dump(spark, dump, mentions_coord) if share >= 1 else prefix_share(read_dump(spark, dump), share)
-    order = geo_index.load_order(pages)
-    found = geo_index.geo_pages(pages, *order).selectExpr(*geo_index.COORD_ROW, "wikitext", *order)
-    found = stage(found, "found-pages")
+    records = page_records(spark, dump)
+    if share < 1:
+        records = leading_records(records, prefix_rows(share))
+    seen = Observation("load")
+    mentions = mentions_coord(F.col("value"))
+    # The words of a template are the same in the XML record: pages without them are not even parsed.
+    counted = records.observe(seen, F.count(F.lit(1)).alias("pages"), F.count_if(mentions).alias("coord_pages"))
+    order = ["dump_file", "dump_position"]
+    loaded = stage(geo_index.loaded_pages(parsed_records(counted.filter(mentions)), *order), "loaded")
+    found = loaded.filter(F.col("state") == geo_index.FOUND).drop("state", "record")
     stored = f"{folder}/places"
-    existing = _load(spark, folder, "places") if _exists(spark, stored) else None
+    existing = _load(spark, folder, "places") if path_exists(spark, stored) else None
     geo_index.first_loaded(found, existing, order).drop(*order).write.mode("append").parquet(stored)
-    shown = geo_index.shown_in_title(_load(spark, folder, "places"))
+    places = _load(spark, folder, "places")
+    shown = geo_index.shown_in_title(places)
     files.write_stage(geo_index.title_table(shown.select("title", "page_id")), f"{folder}/titles")
-    files.write_stage(rejected_pages(spark, dump, mentions_coord), f"{folder}/rejected")
-    counted = page_records(spark, dump).agg(
-        F.count(F.lit(1)).alias("pages"), F.count_if(mentions_coord(F.col("value"))).alias("coord_pages")
-    )
-    totals = {"successes": found.count(), "rejected": _load(spark, folder, "rejected").count()}
-    counted = counted.withColumns({name: F.lit(n).cast("long") for name, n in totals.items()})
-    counted = counted.withColumn("failures", F.col("coord_pages") - F.col("successes"))
-    percent = F.round(F.try_divide(F.lit(100.0) * F.col("coord_pages"), "pages"), 2)
-    files.write_stage(counted.withColumn("percent", percent), f"{folder}/statistics")
+    files.write_placed(places.select("page_id", "title", "type", "display", "lat", "lon"), f"{folder}/map")
+    rejected = loaded.filter(F.col("state") == geo_index.REJECTED)
+    files.write_stage(rejected.select("record", *order), f"{folder}/rejected")
+    read = seen.get
+    files.write_stage(geo_index.loaded_statistics(loaded, read["pages"], read["coord_pages"]), f"{folder}/statistics")
+
+
+def find_in_box(spark: SparkSession, folder: str, box: tuple[float, float, float, float], output: str = "answer") -> None:
+    """Places within a box (south, west, north, east), borders included. The answer is a table of the folder."""
+    south, west, north, east = box
+    files.write_stage(coord_queries.placed_in_box(_load(spark, folder, "map"), (south, north), (west, east)), f"{folder}/{output}")
 
 
 def link_pages(spark: SparkSession, folder: str, dump: str) -> None:
@@ -131,7 +132,7 @@ def profile_keywords(spark: SparkSession, folder: str) -> None:
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="atlaslex.jobs")
-    names = ["index", "words", "places", "clusters", "labels", "symbols", "keywords", "links", "ask"]
+    names = ["index", "words", "places", "clusters", "labels", "symbols", "keywords", "links", "ask", "box"]
     parser.add_argument("stage", choices=names)
     parser.add_argument("--folder", required=True)
     parser.add_argument("--dump")
@@ -140,6 +141,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--batches", action="store_true", help="clusters: mini-batch fit")
     parser.add_argument("--symbols")
     parser.add_argument("--sql")
+    parser.add_argument("--box", help="south,west,north,east")
     parser.add_argument("--top", type=int, default=significance.TOP_WORDS)
     given = parser.parse_args(arguments)
     spark = cluster_session(f"atlaslex-{given.stage}")
@@ -157,6 +159,8 @@ def main(arguments: list[str] | None = None) -> None:
         find_symbols(spark, given.folder, given.symbols)
     elif given.stage == "links":
         link_pages(spark, given.folder, given.dump)
+    elif given.stage == "box":
+        find_in_box(spark, given.folder, tuple(float(v) for v in given.box.split(",")))
     elif given.stage == "ask":
         ask(spark, given.folder, given.sql)
     else:

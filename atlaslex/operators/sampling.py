@@ -46,6 +46,11 @@ def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def prefix_rows(share: float, estimate: int = PAGES_ESTIMATE) -> int:
+    """Pages that make up ``share`` of a dump of ``estimate`` pages, and the one that crosses the mark."""
+    return int(math.floor(estimate * share)) + 1
+
+
 def prefix_share(pages: DataFrame, share: float, estimate: int = PAGES_ESTIMATE, order: str = "page_id") -> DataFrame:
     """The leading pages that make up ``share`` of a dump of ``estimate`` pages, plus the one that crosses the mark.
 
@@ -53,7 +58,7 @@ def prefix_share(pages: DataFrame, share: float, estimate: int = PAGES_ESTIMATE,
     """
     if share >= 1:
         return pages
-    n = int(math.floor(estimate * share)) + 1
+    n = prefix_rows(share, estimate)
     ranked = number_rows(pages.select(order), order, "_row")
     last = ranked.filter(F.col("_row") < n).agg(F.max(order).alias("last")).first()["last"]
     return pages.filter(F.col(order) <= F.lit(last))

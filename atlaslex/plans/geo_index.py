@@ -36,11 +36,14 @@ def _once(coord: Column) -> Column:
     A generator is where the optimizer stops: a filter on ``display`` is not pushed below it, so that the template is
     found once per page and not once per predicate.
     """
-    return F.inline(
-        F.transform(
-            F.filter(F.array(coord), lambda c: c.isNotNull() & (c != "")),
-            lambda c: F.struct(c.alias("coords"), decode_coord(c).alias("_position"), keyword_map(c).alias("_keywords")),
-        )
+    return F.inline(_found(coord))
+
+
+def _found(coord: Column) -> Column:
+    """Template, position and keywords as an array of one entry, or of none."""
+    return F.transform(
+        F.filter(F.array(coord), lambda c: c.isNotNull() & (c != "")),
+        lambda c: F.struct(c.alias("coords"), decode_coord(c).alias("_position"), keyword_map(c).alias("_keywords")),
     )
 
 
@@ -63,6 +66,30 @@ def geo_pages(pages: DataFrame, *others: str) -> DataFrame:
     return mentioning.select("page_id", "title", "wikitext", *others, _once(page_coord(F.col("wikitext"))))
 
 
+FOUND, MISSING, REJECTED = "found", "missing", "rejected"
+
+
+def loaded_pages(parsed: DataFrame, *others: str) -> DataFrame:
+    """All parsed records of pages that mention a coordinate, each with its ``state``: found, template missing, or rejected by the parser.
+
+    Found pages have the columns of the coordinate table and their text, rejected ones their record.
+    """
+    rows = parsed.select("page_id", "title", "wikitext", "record", *others, F.inline_outer(_found(page_coord(F.col("wikitext")))))
+    state = F.when(F.col("page_id").isNull(), F.lit(REJECTED)).when(F.col("coords").isNull(), F.lit(MISSING)).otherwise(F.lit(FOUND))
+    rows = rows.withColumn("state", state)
+    return rows.selectExpr(
+        "state", *COORD_ROW, f"if(state = '{FOUND}', wikitext, null) as wikitext", f"if(state = '{REJECTED}', record, null) as record", *others
+    )
+
+
+def loaded_statistics(loaded: DataFrame, pages: int, coord_pages: int) -> DataFrame:
+    """One row on a load: all pages it read, those mentioning a coordinate, what became of them, and the share mentioning one."""
+    counted = loaded.agg(F.count_if(F.col("state") == FOUND).alias("successes"), F.count_if(F.col("state") == REJECTED).alias("rejected"))
+    read = counted.select(F.lit(pages).cast("long").alias("pages"), F.lit(coord_pages).cast("long").alias("coord_pages"), "successes", "rejected")
+    percent = F.round(F.try_divide(F.lit(100.0) * F.col("coord_pages"), "pages"), 2)
+    return read.withColumns({"failures": F.col("coord_pages") - F.col("successes"), "percent": percent})
+
+
 def shown_in_title(coords: DataFrame) -> DataFrame:
     """Places whose coordinate is shown both inline and in the title: the input of every text stage."""
     return coords.filter(F.col("display") == SHOWN_IN_TITLE)

@@ -8,12 +8,15 @@ from pyspark.sql import types as T
 
 from atlaslex.functions.words import capitalized
 from atlaslex.operators.ranking import top_per_group
+from atlaslex.operators.sampling import score
 from atlaslex.operators.unique_labels import unique_labels
 from atlaslex.staging import stage
 
 # Zoom levels in the order in which they choose labels; candidates looked at per cluster.
 ZOOMS = ("7", "193", "4000", "25000")
 CANDIDATES = 6
+# Fixed value: words of a cluster whose mean is its center, where centers are sampled.
+SAMPLE = 1000
 # Sums of doubles depend on their order: rounded scores keep the ranks the same on every run.
 SCORE_DIGITS = 9
 
@@ -54,6 +57,22 @@ def centers(stats: DataFrame) -> DataFrame:
     )
 
 
+def cluster_samples(clustered: DataFrame, n: int = SAMPLE, seed: int = 0, zooms: tuple[str, ...] = ZOOMS) -> DataFrame:
+    """(zoom, cluster, page_id, word, lat, lon): up to ``n`` words of every cluster, those with the smallest hash of page, word and seed.
+
+    A cluster of up to ``n`` words comes whole. Every task sends at most ``n`` words of a cluster on.
+    """
+    pairs = F.array(*[F.struct(F.lit(z).alias("zoom"), F.col(f"cluster_{z}").cast("int").alias("cluster")) for z in zooms])
+    drawn = clustered.withColumn("score", score(["page_id", "word"], seed))
+    rows = drawn.select(F.inline(pairs), "page_id", "word", "lat", "lon", "score").filter(F.col("cluster").isNotNull())
+    return top_per_group(rows, ["zoom", "cluster"], [F.col("score"), F.col("page_id"), F.col("word")], n).drop("score", "rank")
+
+
+def sampled_centers(samples: DataFrame) -> DataFrame:
+    """(zoom, cluster, lat, lon): mean position of the sample of each cluster."""
+    return samples.groupBy("zoom", "cluster").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+
+
 def priority(zooms: tuple[str, ...] = ZOOMS):
     """A number that orders clusters by zoom level, then cluster."""
     level = F.array_position(F.array(*[F.lit(z) for z in zooms]), F.col("zoom"))
@@ -77,8 +96,9 @@ def label_table(labels: DataFrame, middle: DataFrame) -> DataFrame:
     )
 
 
-def label_clusters(clustered: DataFrame, zooms: tuple[str, ...] = ZOOMS) -> DataFrame:
-    """The map labels of clustered words."""
+def label_clusters(clustered: DataFrame, zooms: tuple[str, ...] = ZOOMS, sample: int | None = None) -> DataFrame:
+    """The map labels of clustered words, at the mean of all words of a cluster or of a ``sample`` of them."""
     stats = stage(word_stats(by_zoom(clustered, zooms)), "word-stats")
     ranked = stage(ranked_words(stats), "label-candidates")
-    return label_table(chosen_labels(ranked, zooms), centers(stats))
+    middle = centers(stats) if sample is None else sampled_centers(cluster_samples(clustered, sample, zooms=zooms))
+    return label_table(chosen_labels(ranked, zooms), middle)

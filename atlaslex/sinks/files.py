@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from atlaslex.functions.geo import place_key
+
 # Significant words of this many pages per file, fifty words each, as a batch size for exports.
 ROWS_PER_FILE = 500_000
+# Bytes of a row group of places, so that one is a small region.
+PLACED_GROUP_BYTES = 4 << 20
 
 
 def write_stage(df: DataFrame, path: str) -> None:
@@ -14,6 +18,15 @@ def write_stage(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_placed(places: DataFrame, path: str, group_bytes: int = PLACED_GROUP_BYTES) -> None:
+    """Places in the order of their place key, in small row groups: a box is a few ranges of keys, and so a few groups."""
+    keyed = places.withColumn("place_key", place_key(F.col("lat"), F.col("lon")))
+    # Places of one key, such as (0, 0), are dealt over several files too.
+    order = ("place_key", *(F.xxhash64(c) for c in places.columns[:1]))
+    ranged = keyed.repartitionByRange(*order).sortWithinPartitions("place_key")
+    ranged.write.mode("overwrite").option("parquet.block.size", str(group_bytes)).parquet(path)
+
+
 def write_word_file(words: DataFrame, path: str) -> None:
     """Significant words as CSV with header; the first column repeats the word as the index."""
     words.select(F.col("word").alias("idx"), "word", "tf", "article", "df", "tf_idf").write.mode("overwrite").options(

@@ -30,10 +30,22 @@ def stage_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def _path(spark: SparkSession, path: str):
+    """A path and the file system that has it."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder."""
+    found, system = _path(spark, path)
+    return system.exists(found)
+
+
 def remove_stages(spark: SparkSession) -> None:
     """Remove all stage tables of this application: for jobs, which end with their results written elsewhere."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+    root, system = _path(spark, stage_root(spark))
+    system.delete(root, True)
 
 
 def new_location(spark: SparkSession, name: str) -> str:
@@ -55,9 +67,26 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[None]:
+    """Stage tables written within it are removed at its end, but for the lasting ones: for work whose result is stored by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            found, system = _path(spark, path)
+            system.delete(found, True)
+
+
+def stage(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` as a stage table and return it read back."""
     path = new_location(df.sparkSession, name)
+    if _OPEN and not lasting:
+        _OPEN[-1].append(path)
     with shuffles_removed(df.sparkSession):
         df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

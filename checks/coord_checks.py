@@ -9,9 +9,12 @@ from atlaslex.functions.coords import (
     allowed_keywords, coord_tags, decode_coord, keyword_map, mentions_coord, page_coord, position_items, preferred_tag,
 )
 from atlaslex.operators import sampling
+from atlaslex.operators.store import KeyedStore
 from atlaslex.operators.page_lists import page_lists
 from atlaslex.operators.upsert import insert_if_absent, new_rows, update_by_key, with_defaults
 from atlaslex.plans import coord_queries, geo_index, keywords, links
+from atlaslex.sinks import files
+from atlaslex.staging import new_location
 from checks import sql
 from checks.adapters import coord_pages, wiki_pages
 from checks.registry import Tables, query
@@ -211,12 +214,47 @@ def _(t):
     )
 
 
+# A box of places that lie in the order of their place key.
+@query("p5_placed_box", f"select page_id, title, round(lat, 9) as lat, round(lon, 9) as lon from ({sql.COORD_TABLE}) where lat between 20 and 60 and lon between -120.5 and -10")
+def _(t):
+    path = new_location(t.spark, "map")
+    files.write_placed(coord_table(t).select("page_id", "title", "lat", "lon"), path, group_bytes=1 << 14)
+    return rounded(coord_queries.placed_in_box(t.spark.read.parquet(path), (20, 60), (-120.5, -10)))
+
+
 @query("s2_prefix_share", "select doc_id as page_id, text from documents order by doc_id limit (select cast(floor(count(*) * 0.25) + 1 as bigint) from documents)")
 def _(t):
     pages = t.documents.select(F.col("doc_id").alias("page_id"), "text")
     return sampling.prefix_share(pages, 0.25, estimate=pages.count())
 
 
+# Half of the pages is in the store, by folders of 50 ids; all come again, then the labelled ones change, some of them twice.
+STORED = "select doc_id as page_id, case when doc_id % 2 = 0 then 'first' else 'second' end as title, lang from documents"
+
+
+def half_stored(t: Tables) -> KeyedStore:
+    store = KeyedStore(t.spark, new_location(t.spark, "store"), "page_id", span=50)
+    rows = t.documents.select(F.col("doc_id").alias("page_id"), F.lit("first").alias("title"), "lang")
+    store.insert(rows.filter("page_id % 2 = 0"), [F.col("title")])
+    store.insert(rows.withColumn("title", F.lit("second")), [F.col("title")])
+    return store
+
+
+@query("k5_store_insert", STORED)
+def _(t):
+    return half_stored(t).read()
+
+
+@query("k7_store_update", f"select page_id, case when quality is not null and doc_id % 3 = 0 then 'better' when quality is not null then 'quality ' || quality else title end as title, lang from ({STORED}) left join labels on doc_id = page_id")
+def _(t):
+    store = half_stored(t)
+    changes = t.labels.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("quality "), "quality").alias("title"), F.lit(1).alias("at"))
+    twice = changes.filter("page_id % 3 = 0").withColumns({"title": F.lit("better"), "at": F.lit(2)})
+    unknown = changes.withColumn("page_id", -F.col("page_id") - 1)
+    store.update(changes.unionByName(twice).unionByName(unknown), ["title"], [F.col("at").desc()])
+    return store.read()
+
+
 # Coordinates of English documents are loaded already; the whole table comes in again.
 @query("k5_insert_if_absent", f"select page_id, title, case when lang = 'en' then 'old' else coords end as coords from ({sql.TAGS})")
 def _(t):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from atlaslex import jobs
+from atlaslex.operators import sampling
 from atlaslex.operators.page_lists import page_lists
 from atlaslex.plans import labels, significance
 from atlaslex.sinks import files
@@ -26,6 +28,37 @@ def _(t: Tables):
     return dump.read_dump(t.spark, path).select("page_id", "title", "wikitext")
 
 
+# A dump in the order of its pages, of which the first 120 make up the share; some pages have no template left.
+SHARE_OF_DUMP = 119.5 / sampling.PAGES_ESTIMATE
+BROKEN = "if(page_id % 7 = 0, replace(wikitext, '}}', ''), if(page_id % 11 = 0, 'no place', wikitext))"
+BROKEN_PAGES = f"select page_id, title, case when page_id % 7 = 0 then replace(wikitext, '}}}}', '') when page_id % 11 = 0 then 'no place' else wikitext end as wikitext from ({sql.WIKI_PAGES})"
+LEADING = f"select * from ({BROKEN_PAGES}) order by page_id limit 120"
+
+
+def written_dump(t: Tables) -> str:
+    path = new_location(t.spark, "dump")
+    files.write_dump(wiki_pages(t).withColumn("wikitext", F.expr(BROKEN)).orderBy("page_id"), path)
+    return path
+
+
+@query("s2_leading_pages", f"select page_id, title, wikitext from ({LEADING})")
+def _(t):
+    records = dump.leading_records(dump.page_records(t.spark, written_dump(t)), sampling.prefix_rows(SHARE_OF_DUMP))
+    return dump.parsed_records(records).select("page_id", "title", "wikitext")
+
+
+@query(
+    "a13_statistics_of_share",
+    f"""select count(*) as pages, count(*) filter (where m) as coord_pages, count(*) filter (where g) as successes, cast(0 as bigint) as rejected,
+ count(*) filter (where m) - count(*) filter (where g) as failures, cast(round(100.0 * count(*) filter (where m) / count(*), 2) as double) as percent
+ from (select contains(title || wikitext, 'Coord') or contains(title || wikitext, 'coord') m, regexp_matches(wikitext, '(?s)[Cc]oord\\|.*?\\}}\\}}') g from ({LEADING}))""",
+)
+def _(t):
+    folder = new_location(t.spark, "map")
+    jobs.index(t.spark, folder, written_dump(t), SHARE_OF_DUMP)
+    return tables.read_stage(t.spark, f"{folder}/statistics")
+
+
 TOP_FILE = f"select word, tf, article, df, tf_idf from (select {TOP_COLUMNS} from ({sql.top_words(sql.DOC_COUNTS)}))"
 
 

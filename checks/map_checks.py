@@ -383,6 +383,22 @@ def _(t):
     return middle.select("zoom", "cluster", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
+SAMPLED_ZOOMS = " union all ".join(f"select '{z}' as zoom, cluster_{z} as cluster, page_id, word, lat, lon from gridded" for z in labels.ZOOMS)
+SAMPLES = f"""with gridded as materialized ({sql.GRIDDED}) select * from ({SAMPLED_ZOOMS})
+ qualify row_number() over (partition by zoom, cluster order by {score_sql(3, 'page_id', 'word')}, page_id, word) <= 25"""
+
+
+@query("t6_cluster_samples", f"select zoom, cluster, page_id, word from ({SAMPLES})")
+def _(t):
+    return labels.cluster_samples(gridded_words(t), 25, seed=3).select("zoom", "cluster", "page_id", "word")
+
+
+@query("a8_sampled_centers", f"select zoom, cluster, round(avg(lat), 6) as lat, round(avg(lon), 6) as lon from ({SAMPLES}) group by zoom, cluster")
+def _(t):
+    middle = labels.sampled_centers(labels.cluster_samples(gridded_words(t), 25, seed=3))
+    return middle.select("zoom", "cluster", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
 # One cluster after the other takes its first free candidate: the sequential rule as a recursive query.
 CHOSEN = f"""with recursive cand as (select *, row_number() over (partition by zoom, cluster order by score desc, word) - 1 as choice from ({RANKED})),
  lists as (select zoom, cluster, list(word order by choice) as words, row_number() over (order by list_position(['7', '193', '4000', '25000'], zoom), cluster) as turn from cand group by zoom, cluster),

@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, folder of the tables) and gives the documents that it keeps, with the columns of ``documents``;
 the last one gives ids. ``run`` writes every stage's result as a table in the shared folder and reads it back, so a lost
-executor never costs more than the stage at hand.
+executor never costs more than the stage at hand. What a stage stored on its way is removed when its result is written.
 
 Defined cases, in all stages: a null text is an empty one (the quality rules reject it); texts may have any length; repeated
 rows are judged as often as they stand there; of rows without ``doc_id`` one of each group of near copies stays; a null source is one of
@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from atlaslex.llm import bpe, mixing, quality, simhash, suffix_dedup
+from atlaslex.staging import intermediate_tables
 from atlaslex.staging import stage as staged
 
 
@@ -61,5 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        with intermediate_tables(spark):
+            docs = staged(stage(spark, docs, sf_dir), name, lasting=True)
     return docs
