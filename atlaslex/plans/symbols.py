@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from atlaslex.functions.words import code_points
 from atlaslex.operators.lookup import broadcast_if_small
 from atlaslex.operators.page_lists import page_stats
+from atlaslex.plans.geo_index import COORD_ROW, first_loaded, geo_pages, shown_in_title
+from atlaslex.staging import stage
 
 # Characters that are letters, currency or drawing signs in articles rather than symbols.
 REMOVALS = (
@@ -56,12 +58,24 @@ def first_places(stats: DataFrame, coords: DataFrame) -> DataFrame:
     return coords.select("page_id", "title", "lat", "lon").join(first, "page_id")
 
 
+def usable(places: DataFrame) -> DataFrame:
+    """Places that have a position: a missing one is null or lies on the meridian of 0."""
+    return places.filter(F.col("lon").isNotNull() & (F.col("lon") != 0))
+
+
 def usable_first_places(pairs: DataFrame, coords: DataFrame) -> DataFrame:
     """First places of distinct (symbol, page_id) rows, without those that have no position."""
-    placed = first_places(page_stats(pairs, "symbol"), coords)
-    return placed.filter(F.col("lon").isNotNull() & (F.col("lon") != 0))
+    return usable(first_places(page_stats(pairs, "symbol"), coords))
 
 
 def symbol_places(pages: DataFrame, coords: DataFrame, symbols: DataFrame, removals: DataFrame) -> DataFrame:
     """(symbol, pagecount, page_id, title, lat, lon) for symbols whose first page has a usable position."""
     return usable_first_places(symbol_pages(pages, wanted_symbols(symbols, removals)), coords)
+
+
+def symbol_places_of_pages(pages: DataFrame, symbols: DataFrame, removals: DataFrame) -> DataFrame:
+    """The same from pages (page_id, title, wikitext): they are scanned and their templates decoded once, for texts and positions."""
+    found = stage(geo_pages(pages).selectExpr(*COORD_ROW, "wikitext"), "geo-pages")
+    # The first of rows with the same id counts, for its text as well.
+    shown = shown_in_title(first_loaded(found, None, []))
+    return symbol_places(shown.select("page_id", "wikitext"), shown, symbols, removals)

@@ -183,6 +183,15 @@ def _(t):
     return examples.agg(F.count(F.lit(1)).alias("examples"), F.bool_and(F.col("value").isin("inline,title", "title")).alias("known"))
 
 
+# The drawn rows themselves.
+@query(
+    "t7_drawn_examples",
+    f"select page_id, value from ({VALUES}) where value is not null qualify row_number() over (order by ('0x' || substr(md5(concat_ws(':', '5', page_id)), 1, 13))::bigint, page_id) <= 40",
+)
+def _(t):
+    return keywords.keyword_examples(tags(t), "display", 40, seed=5).select("page_id", "value")
+
+
 @query(
     "q9_keyword_profile",
     f"select keyword, uses, uses > 10 as common, cast(round(100.0 * uses / (select count(*) from documents), 2) as double) as percent from ({KEYS})",

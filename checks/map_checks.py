@@ -8,6 +8,7 @@ from atlaslex.functions.geo import continent, continent_name, in_world, squared_
 from atlaslex.functions.words import words
 from atlaslex.operators.kmeans import cost, drawn_starts, fit_kmeans, lloyd, minibatch_step, nearest_center, weighted_points
 from atlaslex.operators.sampling import sample_rows
+from atlaslex.operators.unique_labels import unique_labels
 from atlaslex.plans import clusters, labels, places
 from atlaslex.plans.significance import significant_words_of_pages
 from atlaslex.staging import stage
@@ -92,7 +93,16 @@ def _(t):
 
 @query("r3_ones", f"select word, sum(ones) as ones from (select word, cast(1 as bigint) as ones from ({sql.POINTS})) group by word".replace("sum(ones)", "cast(sum(ones) as bigint)"))
 def _(t):
-    return customer_points(t).withColumn("ones", F.lit(1)).groupBy("word").agg(F.sum("ones").alias("ones"))
+    as_words = customer_points(t).withColumn("cluster_7", F.lit(0))
+    return labels.word_stats(labels.by_zoom(as_words, ("7",))).select("word", "ones")
+
+
+# Scores that came as text, as a word file has them, are numbers again before they are added.
+@query("r2_cast_tf_idf", "select zoom, cluster, word, tf_idf from ({stats})".format(stats=f"select zoom, cluster, word, round(tf_idf, 6) as tf_idf, ones from ({sql.STATS})"))
+def _(t):
+    texts = gridded_words(t).withColumn("tf_idf", F.col("tf_idf").cast("string"))
+    stats = labels.word_stats(labels.by_zoom(texts))
+    return stats.select("zoom", "cluster", "word", F.round("tf_idf", 6).alias("tf_idf"))
 
 
 @query("r4_continent", f"select point_id, {sql.CONTINENT} as cluster_7 from ({sql.POINTS})")
@@ -435,6 +445,14 @@ def _(t):
     return map_words(t).filter(F.length("word") > 1).groupBy("word").agg(F.count(F.lit(1)).alias("places"))
 
 
+# Every customer is a cluster that likes one letter best: it must take the next candidate.
+@query("p12_single_letters_refused", "select c_custkey as prio, c_name as word from customer")
+def _(t):
+    liked = F.array(F.substring("c_mktsegment", 1, 1), F.substring("c_name", 1, 1), F.col("c_name"))
+    candidates = t.customer.select(F.col("c_custkey").cast("long").alias("prio"), F.posexplode(liked).alias("choice", "word"))
+    return unique_labels(stage(candidates, "candidates")).select("prio", "word")
+
+
 @query("p16_words_present", f"select zoom, word, count(*) as rows from (select '7' as zoom, nullif(word, 'BUILDING') as word from ({sql.POINTS})) where word is not null group by zoom, word")
 def _(t):
     points = customer_points(t).withColumn("word", F.expr("nullif(word, 'BUILDING')")).withColumn("cluster_7", F.lit(0))

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from atlaslex.functions.words import code_points
 from atlaslex.operators.page_lists import page_lists, page_stats
-from atlaslex.plans import geo_index, symbols
+from atlaslex.plans import symbols
+from atlaslex.sinks import files
+from atlaslex.staging import new_location
 from checks import sql
 from checks.adapters import SYMBOL_REMOVALS, SYMBOLS, symbol_set, wiki_pages
 from checks.coord_checks import LISTS, coord_table, rounded
@@ -87,6 +89,17 @@ def _(t):
     return symbols.single_page_symbols(page_stats(words.distinct(), "symbol"))
 
 
+# Every word of the documents as a symbol, through the file of page lists.
+@query("p9_single_page_of_lists", f"select symbol, count(*) as pagecount, min(page_id) as first_page from ({RARE_PAIRS}) group by symbol having count(*) = 1")
+def _(t):
+    words = t.documents.select(F.explode(F.split("text", " ")).alias("symbol"), F.col("doc_id").alias("page_id"))
+    path = new_location(t.spark, "symbol-table")
+    files.write_symbol_table(page_lists(words.distinct(), "symbol"), path)
+    schema = "symbol string, pages string, pagecount bigint, first_page bigint, part int, pages_from bigint"
+    back = t.spark.read.schema(schema).options(header="true", quote='"', escape='"', multiLine="true").csv(path)
+    return symbols.single_page_symbols(back).select(F.coalesce("symbol", F.lit("")).alias("symbol"), "pagecount", "first_page")
+
+
 FIRST = f"select s.symbol, s.pagecount, c.page_id, c.title, round(c.lat, 9) as lat, round(c.lon, 9) as lon from ({PAGE_STATS}) s join ({sql.COORD_TABLE}) c on c.page_id = s.first_page"
 
 
@@ -97,8 +110,7 @@ def _(t):
 
 @query("p8_usable_position", f"select page_id, round(lat, 9) as lat, round(lon, 9) as lon from ({sql.COORD_TABLE}) where lon <> 0")
 def _(t):
-    usable = coord_table(t).filter(F.col("lon").isNotNull() & (F.col("lon") != 0))
-    return rounded(usable.select("page_id", "lat", "lon"))
+    return rounded(symbols.usable(coord_table(t)).select("page_id", "lat", "lon"))
 
 
 SHOWN_PAIRS = f"select * from ({PAIRS}) where page_id in (select page_id from ({sql.SHOWN}) where display = 'inline,title')"
@@ -107,13 +119,16 @@ SHOWN_FIRST = FIRST.replace(PAIRS, SHOWN_PAIRS)
 
 @query("q7_symbol_places", f"select * from ({SHOWN_FIRST}) where lon <> 0")
 def symbol_places(t):
-    pages = geo_index.text_pages(wiki_pages(t))
-    coords = geo_index.build_geo_index(wiki_pages(t)).coords
-    return rounded(symbols.symbol_places(pages, coords, symbol_set(t), symbol_set(t, SYMBOL_REMOVALS)))
+    return rounded(symbols.symbol_places_of_pages(wiki_pages(t), symbol_set(t), symbol_set(t, SYMBOL_REMOVALS)))
 
 
-@query("u15_json_record", f"""select symbol, page_id, '{{"title":"' || symbol || '","page_name":"' || title || '"}}' as record from ({FIRST})""")
+# The records as the writer makes them, read back as text.
+@query("u15_json_record", f"""select '{{"title":"' || symbol || '","coordsDecimal":{{"lat":0.0,"lon":0.0}},"page_name":"' || title || '"}}' as record, lat, lon from ({FIRST})""")
 def _(t):
-    first = symbols.first_places(page_stats(pairs(t), "symbol"), coord_table(t))
-    record = F.to_json(F.struct(F.col("symbol").alias("title"), F.col("title").alias("page_name")))
-    return first.select("symbol", "page_id", record.alias("record"))
+    path = new_location(t.spark, "records")
+    files.write_symbol_places(symbols.first_places(page_stats(pairs(t), "symbol"), coord_table(t)), path)
+    lines = t.spark.read.text(path)
+    at = F.from_json("value", "coordsDecimal struct<lat: double, lon: double>")["coordsDecimal"]
+    # Engines write doubles in different ways: they are compared as numbers.
+    record = F.regexp_replace("value", r'(\{"lat":)[^,]*(,"lon":)[^}]*', "$10.0$20.0")
+    return rounded(lines.select(record.alias("record"), at["lat"].alias("lat"), at["lon"].alias("lon")))

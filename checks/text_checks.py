@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from atlaslex.functions.markup import strip_markup
 from atlaslex.functions.words import capitalized, code_points, words
-from atlaslex.plans import significance
+from atlaslex.plans import labels, significance
 from atlaslex.plans.geo_index import text_pages
 from atlaslex.sources.dump import page_length
 from atlaslex.staging import stage
@@ -109,7 +109,8 @@ def _(t):
 @query("u8_log_score", f"select word, round(n * ln(n), 6) as score from (select word, count(*) n from ({sql.DOC_COUNTS}) group by word)")
 def _(t):
     frequencies = significance.doc_freq(document_counts(t))
-    return frequencies.select("word", F.round(F.col("df") * F.log("df"), 6).alias("score"))
+    as_cluster = frequencies.select(F.lit("7").alias("zoom"), F.lit(0).alias("cluster"), "word", F.col("df").cast("double").alias("tf_idf"), F.col("df").alias("ones"))
+    return labels.ranked_words(as_cluster, 10_000_000).select("word", F.round("score", 6).alias("score"))
 
 
 @query("u9_code_points", "select distinct doc_id, unnest(string_split(text, '')) as symbol from documents where text <> ''")
