@@ -42,7 +42,12 @@ STRENGTH = 5.0
 SMOOTH = 0.5
 MOST_LANGUAGES = 500
 
-HIDDEN = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", re.DOTALL | re.IGNORECASE)
+#: Where something that is no text may begin, and how it ends: scripts and styles, comments, tags, and entities.
+MARK = re.compile(rb"[<&]")
+UNSEEN = re.compile(rb"<(script|style)\b", re.IGNORECASE)
+UNSEEN_END = {name: re.compile(rb"</" + name + rb"\s*+>", re.IGNORECASE) for name in (b"script", b"style")}
+COMMENT, COMMENT_END, TAG_END = b"<!--", b"-->", b">"
+ENTITY = re.compile(rb"&#?+\w++;")
 #: The tag, and what stands in it: neither goes back over what it has read, so a page of any length is read once.
 HTML_TAG = re.compile(rb"<html\b[^>]*+", re.IGNORECASE)
 DECLARED = re.compile(rb"\slang\s*+=\s*+[\"']?+\s*+([A-Za-z]+)", re.IGNORECASE)
@@ -57,6 +62,49 @@ def grams(text: bytes) -> np.ndarray:
     return (whole * np.uint32(2654435761)) >> np.uint32(32 - GRAM_BITS)
 
 
+def visible(html: bytes) -> bytes:
+    """The text of a page: scripts, styles, comments, tags and entities are one blank each; what is not closed is text.
+
+    An end that is missing from one place on is missing from all later places: it is looked for once, so pages of unclosed marks
+    are read in linear time.
+    """
+    out, at, missing = [], 0, set()
+
+    def end_of(kind: bytes, start: int) -> int:
+        """Where what began ends; 0 if it does not."""
+        if kind in missing:
+            return 0
+        if kind in UNSEEN_END:
+            found = UNSEEN_END[kind].search(html, start)
+            found = found.end() if found else 0
+        else:
+            found = html.find(kind, start)
+            found = found + len(kind) if found >= 0 else 0
+        if not found:
+            missing.add(kind)
+        return found
+
+    mark = MARK.search(html)
+    while mark:
+        start, end = mark.start(), 0
+        if mark[0] == b"&":
+            entity = ENTITY.match(html, start)
+            end = entity.end() if entity else 0
+        else:
+            unseen = UNSEEN.match(html, start)
+            if unseen:
+                end = end_of(unseen[1].lower(), unseen.end())
+            if not end and html.startswith(COMMENT, start):
+                end = end_of(COMMENT_END, start + len(COMMENT))
+            if not end:
+                end = end_of(TAG_END, start + 1)
+        if end:
+            out += (html[at:start], b" ")
+            at = end
+        mark = MARK.search(html, max(at, start + 1))
+    return b"".join([*out, html[at:]])
+
+
 def declared_language(html: bytes) -> str:
     """The language of the first ``<html>`` tag that declares one, wherever it stands; empty if none does."""
     for tag in HTML_TAG.finditer(html):
@@ -110,7 +158,7 @@ def _evidence(shared):
             html = html.as_py()
             host, _ = split_url(url.as_py().decode())
             labels = host.rsplit(".", 2)
-            found = grams(HIDDEN.sub(b" ", html))
+            found = grams(visible(html))
             values = (host, ".".join(labels[-2:]), labels[-1], declared_language(html))
             for name, value in zip(out, values, strict=False):
                 out[name].append(value)

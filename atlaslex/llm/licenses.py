@@ -36,18 +36,56 @@ PHRASES = {
     "mit license": "mit",
 }
 
-_UNDER = "<alt> licensed under | released under | distributed under | available under </alt>"
-_TERMS = "<opt> the <opt> terms of the </opt> </opt>"
+_UNDER = "<alt> licensed under | licenced under | released under | distributed under | available under | published under </alt>"
+_TERMS = "<opt> <alt> the | a | an </alt> <opt> terms of the </opt> </opt>"
 _VERSION = "<opt> <alt> version | v </alt> </opt>"
+_CC = "<alt> <opt> creative commons </opt> cc | creative commons </alt>"
+_NUMBER = "<alt> 1 | 2 | 3 | 4 </alt> <alt> 0 | 5 </alt> <opt> <alt> international | unported | generic </alt> </opt> <opt> license </opt>"
+_LATER = "<opt> <opt> of the license </opt> or <opt> at your option </opt> <opt> any </opt> later <opt> version </opt> </opt>"
+_AS_IS = "provided <alt> as is | by the <alt> copyright holders and contributors | <var:1-8> </alt> as is </alt>"
 
-#: Label -> template; a whole notice.
+
+def _version(number: str) -> str:
+    """A version number with or without what announces it."""
+    first, *rest = number.split()
+    return " ".join([f"<alt> {_VERSION} {first} | v{first} </alt>", *rest])
+
+
+def _cc(short: str, long: str) -> str:
+    """A Creative Commons notice by its letters or its name."""
+    return f"{_UNDER} {_TERMS} <alt> {_CC} {short} | creative commons {long} </alt> {_VERSION} {_NUMBER}"
+
+
+#: Label -> template; a whole notice or the whole mandatory wording of a licence.
 TEMPLATES = {
-    "apache-2.0-notice": f"{_UNDER} {_TERMS} apache license {_VERSION} 2 0",
-    "cc-by-notice": f"{_UNDER} {_TERMS} <opt> creative commons </opt> cc by <alt> 1 | 2 | 3 | 4 </alt> <alt> 0 | 5 </alt>",
-    "cc-by-nc-notice": f"{_UNDER} {_TERMS} <opt> creative commons </opt> cc by nc <opt> <alt> sa | nd </alt> </opt> <alt> 1 | 2 | 3 | 4 </alt> <alt> 0 | 5 </alt>",
-    "gpl-3.0-notice": f"{_UNDER} {_TERMS} gnu general public license {_VERSION} 3 <opt> or <opt> at your option any </opt> later <opt> version </opt> </opt>",
+    "apache-2.0-notice": f"{_UNDER} {_TERMS} apache license {_version('2 0')}",
+    "cc-by-notice": _cc("by", "attribution"),
+    "cc-by-sa-notice": _cc("by sa", "attribution <alt> share alike | sharealike </alt>"),
+    "cc-by-nd-notice": _cc("by nd", "attribution <alt> no derivatives | noderivatives | noderivs </alt>"),
+    "cc-by-nc-notice": _cc("by nc", "attribution <alt> non commercial | noncommercial </alt>"),
+    "cc-by-nc-sa-notice": _cc("by nc sa", "attribution <alt> non commercial | noncommercial </alt> <alt> share alike | sharealike </alt>"),
+    "cc-by-nc-nd-notice": _cc("by nc nd", "attribution <alt> non commercial | noncommercial </alt> <alt> no derivatives | noderivatives | noderivs </alt>"),
+    "cc0-notice": f"{_UNDER} {_TERMS} <alt> <opt> creative commons </opt> cc0 | creative commons zero </alt> {_VERSION} <opt> 1 0 <opt> universal </opt> </opt>",
+    "gpl-2.0-notice": f"{_UNDER} {_TERMS} gnu general public license {_version('2 <opt> 0 </opt>')} {_LATER}",
+    "gpl-3.0-notice": f"{_UNDER} {_TERMS} gnu general public license {_version('3 <opt> 0 </opt>')} {_LATER}",
+    "lgpl-notice": f"{_UNDER} {_TERMS} gnu <alt> lesser | library </alt> general public license <alt> {_version('2 <opt> 1 </opt>')} | {_version('3')} </alt> {_LATER}",
+    "agpl-3.0-notice": f"{_UNDER} {_TERMS} gnu affero general public license {_version('3 <opt> 0 </opt>')} {_LATER}",
+    "mpl-2.0-notice": f"<alt> {_UNDER} {_TERMS} | subject to the terms of the </alt> mozilla public license {_version('2 0')}",
+    "bsd-notice": f"{_UNDER} {_TERMS} <opt> <alt> 2 | 3 | two | three </alt> clause </opt> <opt> <alt> new | simplified | modified </alt> </opt> bsd <opt> <alt> 2 | 3 </alt> clause </opt> license",
     "mit-notice": f"{_UNDER} {_TERMS} mit license",
-    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of <alt> this software | <var:1-8> </alt> and associated documentation files",
+    "mit-license": "permission is hereby granted free of charge to any person obtaining a copy of <alt> this software | <var:1-8> </alt> and associated documentation files "
+        "<alt> the software | <var:1-8> </alt> to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute "
+        "sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+        "notice and this permission notice <opt> including the next paragraph </opt> shall be included in all copies or substantial portions of the software the software is "
+        "provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and "
+        "<alt> noninfringement | non infringement </alt> in no event shall <var:2-12> be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in "
+        "connection with the software or the use or other dealings in the software",
+    "isc-license": "permission to use copy modify and <opt> or </opt> distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice "
+        "and this permission notice appear in all copies the software is provided as is and <var:1-8> disclaims all warranties with regard to this software",
+    "bsd-license": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <opt> 1 </opt> redistributions of "
+        "source code must retain the above copyright notice this list of conditions and the following disclaimer <opt> 2 </opt> redistributions in binary form must reproduce the above copyright "
+        "notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution <opt> <opt> 3 </opt> neither the name of <var:1-12> "
+        f"may be used to endorse or promote products derived from this software without specific prior written permission </opt> this software is {_AS_IS} and any express or implied warranties",
     "all-rights-reserved": "copyright <opt> c </opt> <var:1-8> all rights reserved",
 }
 

@@ -31,12 +31,18 @@ RULES = {
 
 STRICT, SOFT, SOFT_LIMIT = 2, 1, 2
 
-#: Term -> weight. Terms are lower case and may hold characters other than letters.
-VOCABULARY = {
-    "porn": STRICT, "xxx": STRICT, "hardcore": STRICT, "warez": STRICT, "malware": STRICT, "phishing": STRICT,
-    "adult": SOFT, "casino": SOFT, "bet": SOFT, "poker": SOFT, "slots": SOFT, "jackpot": SOFT, "dating": SOFT,
-    "escort": SOFT, "torrent": SOFT, "crack": SOFT, "keygen": SOFT, "pills": SOFT, "utm_source": SOFT, "ref": SOFT,
-}
+#: Terms that mean pornography or stolen software wherever they stand: one place rejects. Terms are lower case and may hold other characters than letters.
+STRICT_TERMS = [
+    "porn", "porno", "pornhub", "xxx", "xvideos", "hentai", "camgirl", "camgirls", "milf", "nsfw", "warez", "serialz", "keygens", "crackz", "carding",
+]
+#: Terms of betting, dating, drugs, loans, attacks and downloads that stand in harmless addresses too: several different ones reject.
+SOFT_TERMS = [
+    "adult", "sex", "sexy", "nude", "nudes", "erotic", "fetish", "hardcore", "escort", "escorts", "casino", "bet", "bets", "betting", "bingo", "poker",
+    "slot", "slots", "roulette", "blackjack", "jackpot", "lottery", "gambling", "wager", "dating", "hookup", "singles", "torrent", "torrents", "crack",
+    "cracked", "keygen", "serial", "nulled", "free-download", "malware", "ransomware", "phishing", "darknet", "pills", "viagra", "cialis", "pharmacy",
+    "replica", "payday", "loans", "forex", "hacks", "cheats",
+]
+VOCABULARY = dict.fromkeys(STRICT_TERMS, STRICT) | dict.fromkeys(SOFT_TERMS, SOFT)
 
 FIELDS = StructType(
     [StructField(n, StringType()) for n in ("host", "path", "rule", "verdict")]

@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import re
+import struct
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -271,6 +273,39 @@ def test_multiset_fingerprints(spark, documents):
     assert (0 <= edited).all() and (edited <= 1).all() and edited.mean() > 0.3 > nxt.mean()
 
 
+def plain_fingerprint(text):
+    """Sums of signed bytes of the paragraphs' hashes, lane by lane."""
+    lanes = np.zeros(multiset_hash.LANES, dtype=np.int64)
+    for piece in re.split(multiset_hash.BREAKS, text):
+        if piece.strip(" "):
+            for k in range(multiset_hash.LANES // 8):
+                first = xxhash.xxh64_intdigest(struct.pack("<i", k), 42)
+                value = xxhash.xxh64_intdigest(piece.encode(), first)
+                lanes[8 * k : 8 * k + 8] += np.frombuffer(value.to_bytes(8, "little"), dtype=np.uint8).astype(np.int64) - 128
+    return lanes
+
+
+def plain_likeness(a, b):
+    if (a == b).all():
+        return 1.0
+    length = math.sqrt(float((a * a).sum())) * math.sqrt(float((b * b).sum()))
+    return min(1.0, max(0.0, float((a * b).sum()) / length)) if length else 0.0
+
+
+def test_multiset_columns_by_a_plain_twin(spark, documents):
+    rows = {r.doc_id: r for r in queries.QUERIES["op9_multiset_fingerprints"](spark, FOLDER).collect()}
+    prints = {doc: plain_fingerprint(text) for doc, text in documents}
+    assert len(rows) == len(documents)
+    for place, (doc, text) in enumerate(documents):
+        after, following = documents[(place + 1) % len(documents)]
+        half = len(text) // 2
+        edited = plain_fingerprint(text[: len(text) - half] + following[:half])
+        for name, lanes in (("fingerprint", prints[doc]), ("edited_fingerprint", edited)):
+            assert getattr(rows[doc], name) == "".join(f"{v % 2**32:08x}" for v in lanes.tolist())
+        assert rows[doc].near_edited == pytest.approx(plain_likeness(prints[doc], edited), abs=1e-9)
+        assert rows[doc].near_next == pytest.approx(plain_likeness(prints[doc], prints[after]), abs=1e-9)
+
+
 def test_multiset_order_insertion_deletion(spark):
     texts = ["first part\nsecond part\nthird", "third\nfirst part\nsecond part", "first part\nthird", "second part", "", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
