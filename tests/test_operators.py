@@ -134,6 +134,23 @@ def test_unique_labels_random(spark):
     assert run_labels(spark, chain) == greedy(chain)
 
 
+def test_settled_clusters_leave_the_rounds(spark, monkeypatch):
+    rng = random.Random(9)
+    # Words of a region: near clusters want the same ones, far ones do not.
+    given = {p: rng.sample([f"r{p // 40}w{i}" for i in range(60)], 6) for p in range(1200)}
+    sizes, before = [], unique_labels.stage
+
+    def counted(df, name):
+        table = before(df, name)
+        if name == "label-state":
+            sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(unique_labels, "stage", counted)
+    assert run_labels(spark, given) == greedy(given)
+    assert sizes[0] == 1200 and sizes == sorted(sizes, reverse=True) and sizes[1] < 900 and sum(sizes[1:]) < 4 * sizes[0]
+
+
 def plain_lloyd(points, starts, rounds):
     """Every point against every center in every round."""
     at, weight, centers = points[:, :2], points[:, 2], starts.copy()
