@@ -254,7 +254,44 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 SLIPS = 31
 
 
-@query("op11_spelling_variants")
+#: CRC-32 by its polynomial, bit by bit; near words meet in the hole that a deleted code point leaves.
+SPELLING_SQL = f"""
+with recursive runs as (
+  select doc_id, run, count(*) n from (
+    select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) run from documents
+  ) where length(run) >= 7 group by 1, 2
+),
+coded as (select *, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) bytes from runs),
+hashed as (
+  select *, xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, length(bytes), 2), lambda i: ('0x' || substr(bytes, i + 1, 2))::bigint)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, bit: xor(x >> 1, 3988292384::bigint * (x & 1))))) h from coded
+),
+spelled as (
+  select case when h % {SLIPS} = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end word, n from hashed
+),
+words as materialized (select word, sum(n)::bigint n from spelled where length(word) >= 7 group by 1 having sum(n) >= 2),
+holes as materialized (select word, n, i, left(word, i - 1) || '.' || substr(word, i + 1) hole, left(word, i - 1) || substr(word, i + 1) rest
+  from (select word, n, unnest(range(1, length(word) + 1)) i from words)),
+deleted as (select distinct h.word, h.n, w.word shorter, w.n shorter_n from holes h join words w on w.word = h.rest),
+near as materialized (
+  select x.word, y.word other, y.n from holes x join holes y on x.hole = y.hole and x.i = y.i and x.word <> y.word
+  union all select word, shorter, shorter_n from deleted union all select shorter, word, n from deleted
+),
+best as (select word, count(*) n_near, max(n) most from near group by 1),
+named as materialized (
+  select w.word, w.n, coalesce(b.n_near, 0)::bigint n_near,
+    case when b.most >= 10 * w.n then (select min(other) from near where near.word = w.word and near.n = b.most) end form, case when b.most >= 10 * w.n then b.most end form_n
+  from words w left join best b using (word)
+),
+chain as (
+  select word, word root, form following from named
+  union all select c.word, c.following, f.form from chain c join named f on f.word = c.following
+)
+select word, form, root, n, n_near, form_n from named join (select word, root from chain where following is null) using (word)
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.groups(spelling.vocabulary(documents(spark, folder), slips=SLIPS))
 
