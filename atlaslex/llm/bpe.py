@@ -18,8 +18,8 @@ classes do not differ between versions of Unicode, is merged by ``tiktoken`` wit
 characters go through the ``tokenizers`` library itself, so that both agree on every character.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; null ids decode to an empty text; ids outside of
-the vocabulary decode to nothing. Equal texts have equal ids. Extra columns pass through. An empty table gives an
-empty result.
+the vocabulary decode to nothing. Equal texts have equal ids. Extra columns pass through. Texts may have any length, with or
+without blanks: memory follows the longest one. An empty table gives an empty result.
 """
 
 from __future__ import annotations

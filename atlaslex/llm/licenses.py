@@ -13,8 +13,8 @@ template can begin. Plain phrases are templates without markup.
 A text is lower-cased (A-Z) and cut into words of ASCII letters, digits and non-ASCII characters.
 
 Defined cases: a null or empty text has no words and no notices. Overlapping notices are all reported; of one template that
-fits at one place in several lengths, the longest. Repeated rows are scanned alike. Extra columns are not read. An empty
-table gives an empty result.
+fits at one place in several lengths, the longest. Repeated rows are scanned alike. Extra columns are not read. Texts may have any
+length: a task holds the words of one text. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ shared by weight among the others until none is above. That is a water level L w
 found from the sources in the order in which they reach their limit.
 
 Defined cases: a null source is a source of its own and comes last; a null or empty text has size 0 and adds nothing; a source of
-size 0 has target 0 and rate 0; a null ``doc_id`` draws by its text. Equal rows draw alike. An empty table gives an empty
+size 0 has target 0 and rate 0; a null ``doc_id`` draws by its text. Equal rows draw alike. Texts may have any length. An empty table gives an empty
 result. Other columns pass through ``mix`` untouched.
 
 Driver and broadcast: one row per source is aggregated and, as Spark measures it, broadcast or shuffled. Sources are the

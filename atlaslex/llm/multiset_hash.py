@@ -11,7 +11,8 @@ the cosine of two fingerprints estimates the paragraphs that two texts share, wi
 
 Defined cases: a null or empty text has no paragraphs and the fingerprint zero, which is like itself only. The order
 that ``with_next`` uses is by ``doc_id``, null first, then by a hash of the text; equal rows follow each other. One single
-document follows itself. Extra columns are not read. An empty table gives an empty result.
+document follows itself. Extra columns are not read. Texts may have any length: memory follows the longest one. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

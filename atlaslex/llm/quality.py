@@ -5,8 +5,8 @@ each rule that the text fails. A policy is a versioned set of rules, so it is a
 ablating single rules are bitwise operations over the ledger and never read a text again.
 
 Defined cases: a null or empty text has no words, measures zero everywhere and fails ``few_words``. Repeated rows are
-separate ledger rows. Only ``doc_id`` and ``text`` are read, so other columns cannot clash. An empty table gives an empty
-ledger.
+separate ledger rows. The ledger reads only ``doc_id`` and ``text``, and ``keep`` gives all columns back, whatever their
+names. Texts may have any length. An empty table gives an empty ledger.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ Copies share a fingerprint, so the index works on different fingerprints only an
 Defined cases: a null or empty text, or one without words, has fingerprint zero and is linked like any other. A null
 ``doc_id`` counts in its component but cannot name it: ``component_id`` is the smallest id that is not null, and null only if
 there is none. Repeated rows come out as often as they go in. Extra columns are not read, except by ``keep_one``, which
-returns them. An empty table gives an empty result.
+returns them. Texts may have any length. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ equal strings of ``LENGTH`` bytes meet in one task:
 5. *Spans.* All occurrences but the first of a repeat are removed.
 
 Order of occurrences: ``doc_id`` (null first), then a hash of the text, then the place. Rows with equal ``doc_id`` and
-text are one document: both come out, alike. Null texts are empty. Texts of fewer than ``LENGTH`` bytes have no repeats.
+text are one document: both come out, alike. Null texts are empty. Texts of fewer than ``LENGTH`` bytes have no repeats; they may have any
+length, also of one letter.
 Other columns are not read, except by ``remove``, which returns them. An empty table gives an empty result.
 """
 

@@ -7,7 +7,7 @@ stand in many harmless addresses.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, so no rule fits; the vocabulary still
 reads the text that is there (null: none) and allows what has no hits. Repeated rows are judged alike. Extra columns are
-not read. An empty table gives an empty result.
+not read. Addresses may have any length. An empty table gives an empty result.
 """
 
 from __future__ import annotations
