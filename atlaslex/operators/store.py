@@ -61,10 +61,10 @@ class KeyedStore:
 
     def update(self, changes: DataFrame, columns: list[str], order: list[Column]) -> None:
         """Replace ``columns`` of stored keys; of several changes of a key the first in ``order`` counts. Unknown keys change nothing."""
-        changes = stage(first_per_key(changes.filter(F.col(self.key).isNotNull()), self.key, order), "changes")
+        changes = stage(changes.filter(F.col(self.key).isNotNull()), "changes")
         numbers = self.touched(changes)
         stored = self.ranges(numbers)
         if stored is None or not numbers:
             return
         # A folder cannot be read and replaced at once: its new rows are stored beside it first.
-        self._write(stage(update_by_key(stored, changes, self.key, columns), "changed-ranges"), "overwrite")
+        self._write(stage(update_by_key(stored, changes, self.key, columns, order), "changed-ranges"), "overwrite")

@@ -22,8 +22,12 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str, order:
     return existing.unionByName(new_rows(incoming, existing, key, order))
 
 
-def update_by_key(table: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """``table`` with ``columns`` replaced where ``changes`` (one row per key) has the key."""
+def update_by_key(table: DataFrame, changes: DataFrame, key: str, columns: list[str], order: list[Column] | None = None) -> DataFrame:
+    """``table`` with ``columns`` replaced where ``changes`` has the key.
+
+    Of several changes of a key the first in ``order`` counts, by default the one with the smallest values. Rows never multiply.
+    """
+    changes = first_per_key(changes.filter(F.col(key).isNotNull()), key, order or [F.col(c) for c in columns])
     values = [F.col(c).alias(f"_new_{c}") for c in columns]
     joined = table.join(changes.select(key, *values, F.lit(True).alias("_hit")), key, "left")
     taken = {c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}

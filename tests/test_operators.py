@@ -99,6 +99,9 @@ def test_upserts(spark):
     table = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, w string")
     changes = spark.createDataFrame([("b", None), ("c", 5)], "k string, v int")
     assert sorted(upsert.update_by_key(table, changes, "k", ["v"]).collect()) == [("a", 1, "x"), ("b", None, "y")]
+    twice = changes.union(changes).union(spark.createDataFrame([("b", 7), (None, 1), ("a", 5)], "k string, v int"))
+    assert sorted(upsert.update_by_key(table, twice, "k", ["v"], [F.col("v").desc()]).collect()) == [("a", 5, "x"), ("b", 7, "y")]
+    assert sorted(upsert.update_by_key(table, twice.filter("v = 7 or k = 'a'"), "k", ["v"]).collect()) == [("a", 5, "x"), ("b", 7, "y")]
     filled = upsert.with_defaults(changes, {"v": 0, "note": ""})
     assert sorted(tuple(r) for r in filled.collect()) == [("b", 0, ""), ("c", 5, "")]
 
