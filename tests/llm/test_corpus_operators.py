@@ -408,3 +408,105 @@ def test_scores_of_messy_rows(messy, nothing):
     mine = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows)
     assert mine == Counter(brute_base(texts))
     assert lm.score(nothing).collect() == []
+
+
+def small_lexicon(words=2600, seldom=2400):
+    """More words than classes; the last ones are too seldom for a vector."""
+    counts = {f"w{i}x{i % 7}".encode(): 4000 - i if i < seldom else lm.SELDOM - 1 for i in range(words)}
+    known = list(counts.items())
+    rare = Counter()
+    for word, n in known[lm.WORDS :]:
+        rare[lm.rare_class(word)] += np.array([n, 1])
+    return known, lm.Lexicon(known, 5, sum(counts.values()) + 5, len(counts) + 1, {c: tuple(v) for c, v in rare.items()})
+
+
+def test_probabilities_within_classes_add_up():
+    known, book = small_lexicon()
+    values = lm.start_values(book)
+    values[lm.CONTEXT_ROW :] = np.random.default_rng(2).normal(0, 1, values[lm.CONTEXT_ROW :].shape)
+    within = lm.Within(values, book)
+    sums = np.array([within.log_sums(c) for c in range(lm.RARE)])
+    assert (book.rows >= 0).sum() == 2400 - lm.WORDS
+    for context in (lm.START, 0, 77):
+        total = Counter()
+        for place in range(lm.WORDS, len(known)):
+            c, row = book.classes[place], book.rows[place]
+            log = math.log10(known[place][1] + lm.SMOOTH) - book.rare_norm[c - lm.FIRST_RARE]
+            if row >= 0:
+                log += within.log_shifts(np.array([row]), np.array([c]), np.array([context]), sums)[0] / math.log(10)
+            total[c] += 10**log
+        for c, value in total.items():
+            assert abs(value + lm.SMOOTH / 10 ** book.rare_norm[c - lm.FIRST_RARE] - 1) < 1e-6
+
+
+def test_words_of_one_class_learn_their_contexts():
+    """Two words of a class, each after a context of its own, get a higher probability there than by counts."""
+    known, book = small_lexicon()
+    values, steps = lm.start_values(book), np.zeros((lm.WORD_ROW + len(book.row_mass), lm.INNER), dtype=np.float32)
+    steps[lm.CONTEXT_ROW :] = 1
+    within, seen = lm.Within(values, book), lm.Within(steps, book)
+    c = int(np.argmax(np.diff(book.row_bounds)))
+    first, second = book.row_bounds[c], book.row_bounds[c] + 1
+    rows, before = np.array([first, second] * 300), np.array([60, 61] * 300)
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        within.learn(rows, before, rng, seen)
+    sums = np.array([within.log_sums(c) for c in range(lm.RARE)])
+    kind = np.array([lm.FIRST_RARE + c] * 4)
+    right, right2, wrong, wrong2 = within.log_shifts(np.array([first, second, first, second]), kind, np.array([60, 61, 61, 60]), sums)
+    assert min(right, right2) > 1 and max(wrong, wrong2) < min(right, right2) - 1
+
+
+def test_scores_follow_the_values(spark, monkeypatch):
+    """The score of whole texts is the sum that plain Python finds token by token from the same values."""
+    monkeypatch.setattr(lm, "KNOWN", 2300)
+    monkeypatch.setattr(lm, "SELDOM", 1)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    training = docs.where(~lm.held_out())
+    counts = lm.word_counts(training)
+    of = {r.word: r.n for r in counts.collect()}
+    book = lm.lexicon(counts, training.count())
+    values = lm.start_values(book)
+    values += np.random.default_rng(4).normal(0, 0.2, values.shape).astype(np.float32)
+    monkeypatch.setattr(lm, "train", lambda training, known: values)
+    found = {r.doc_id: r.score for r in lm.score(docs).collect()}
+
+    model, c1 = lm.Model(lm.shared_part(values)), lm.FIRST_WORD
+    place = {bytes(word): i for i, word in enumerate(book.words)}
+    vector = {word: book.rows[i] for word, i in place.items() if book.rows[i] >= 0}
+    class_of = lambda word: c1 + place[word] if place.get(word, lm.WORDS) < lm.WORDS else lm.rare_class(word)
+    members, mass, different = {}, Counter(), Counter()
+    for word, n in of.items():
+        if class_of(word) < c1:
+            mass[class_of(word)] += n
+            different[class_of(word)] += 1
+            if word in vector:
+                members.setdefault(class_of(word), []).append(word)
+    in_classes = {}
+
+    def log_class(w, a, b):
+        if (a, b) not in in_classes:
+            h = model.contexts[a] * model.near + model.contexts[b] * model.far
+            scores = (model.outputs @ h + model.bias).astype(float)
+            in_classes[a, b] = scores - np.log(np.exp(scores).sum())
+        return in_classes[a, b][w]
+
+    def log_within(word, c, a):
+        log = math.log((of.get(word, 0) + 0.1) / (mass[c] + 0.1 * (different[c] + 1)))
+        if word not in vector:
+            return log
+        x, u = values[lm.CONTEXT_ROW + a], values[lm.WORD_ROW :]
+        weights = [of[other] + 0.1 for other in members[c]]
+        mean = sum(m * math.exp(x @ u[vector[other]]) for m, other in zip(weights, members[c], strict=True)) / sum(weights)
+        return log + x @ u[vector[word]] - math.log(mean)
+
+    assert vector
+    shorter = sorted(docs.collect(), key=lambda r: len(r.text or ""))[:120]
+    for row in shorter:
+        b = a = lm.START
+        total = 0.0
+        for word in [*lm.tokens((row.text or "").encode()), None]:
+            w = lm.END if word is None else class_of(word)
+            total += log_class(w, a, b) + (log_within(word, w, a) if lm.FIRST_RARE <= w < c1 else 0)
+            b, a = a, w
+        assert abs(total / math.log(10) - found[row.doc_id]) < 1e-3 * max(1, abs(found[row.doc_id]))
