@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from atlaslex.functions.coords import mentions_coord
-from atlaslex.operators.page_lists import page_lists
+from atlaslex.operators.page_sets import lists_of_sets, page_sets, set_stats
 from atlaslex.operators.sampling import prefix_rows
 from atlaslex.plans import clusters, coord_queries, geo_index, keywords, labels, links, places, significance, symbols
 from atlaslex.session import cluster_session
@@ -114,15 +114,16 @@ def label(spark: SparkSession, folder: str, zooms: tuple[str, ...] = labels.ZOOM
 
 
 def find_symbols(spark: SparkSession, folder: str, symbol_file: str) -> None:
-    """Symbols on the places shown in the title: page lists, counts and first places."""
+    """Symbols on the places shown in the title: page sets, counts and first places; lists only in the exports."""
     shown = geo_index.shown_in_title(_load(spark, folder, "places"))
     wanted = symbols.wanted_symbols(read_symbol_set(spark, symbol_file), symbols.removal_set(spark))
     files.write_stage(symbols.symbol_pages(shown, wanted), f"{folder}/symbol_pages")
-    pairs = _load(spark, folder, "symbol_pages")
-    lists = page_lists(pairs, "symbol")
+    files.write_stage(page_sets(_load(spark, folder, "symbol_pages"), "symbol"), f"{folder}/symbol_sets")
+    sets = _load(spark, folder, "symbol_sets")
+    lists = lists_of_sets(sets, "symbol")
     files.write_symbol_pages(lists, f"{folder}/symbols_to_page")
     files.write_symbol_table(lists, f"{folder}/emoji_csv")
-    files.write_symbol_places(symbols.usable_first_places(pairs, shown), f"{folder}/symbol_places")
+    files.write_symbol_places(symbols.usable(symbols.first_places(set_stats(sets, "symbol"), shown)), f"{folder}/symbol_places")
 
 
 def profile_keywords(spark: SparkSession, folder: str) -> None:

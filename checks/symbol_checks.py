@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from atlaslex.functions.words import code_points
 from atlaslex.operators.page_lists import page_lists, page_stats
+from atlaslex.operators.page_sets import expand_sets, page_sets, set_stats, union_sets
 from atlaslex.plans import symbols
 from atlaslex.sinks import files
-from atlaslex.staging import new_location
+from atlaslex.staging import new_location, stage
 from checks import sql
 from checks.adapters import SYMBOL_REMOVALS, SYMBOLS, symbol_set, wiki_pages
 from checks.coord_checks import LISTS, coord_table, rounded
@@ -80,6 +81,32 @@ def _(t):
     return page_stats(pairs(t), "symbol")
 
 
+# The same from sets, whose dense members are bitmaps.
+def symbol_sets(pages, t: Tables):
+    """Stored sets of the pages of each symbol."""
+    found = stage(symbols.symbol_pages(pages, wanted(t)), "symbol-pages")
+    return stage(page_sets(found, "symbol"), "symbol-sets")
+
+
+@query("a4_symbol_page_sets", PAIRS)
+def _(t):
+    return expand_sets(symbol_sets(wiki_pages(t), t), "symbol")
+
+
+@query("a5_counts_of_sets", PAGE_STATS)
+def _(t):
+    return set_stats(symbol_sets(wiki_pages(t), t), "symbol")
+
+
+HTML_PAIRS = f"select distinct symbol, page_id from (select page_id, unnest(string_split(html, '')) as symbol from pages) where symbol in ({WANTED})"
+
+
+@query("e3_union_of_sets", f"{PAIRS} union {HTML_PAIRS}")
+def _(t):
+    html = t.pages.select("page_id", F.col("html").alias("wikitext"))
+    return expand_sets(union_sets(symbol_sets(wiki_pages(t), t), symbol_sets(html, t), "symbol"), "symbol")
+
+
 RARE_PAIRS = "select distinct word as symbol, doc_id as page_id from (select doc_id, unnest(string_split(text, ' ')) as word from documents)"
 
 
@@ -89,6 +116,12 @@ def _(t):
     return symbols.single_page_symbols(page_stats(words.distinct(), "symbol"))
 
 
+@query("p9_single_page_of_sets", f"select symbol, count(*) as pagecount, min(page_id) as first_page from ({RARE_PAIRS}) group by symbol having count(*) = 1")
+def _(t):
+    words = t.documents.select(F.explode(F.array_distinct(F.split("text", " "))).alias("symbol"), F.col("doc_id").alias("page_id"))
+    return symbols.single_page_symbols(set_stats(page_sets(stage(words, "words"), "symbol"), "symbol"))
+
+
 # Every word of the documents as a symbol, through the file of page lists.
 @query("p9_single_page_of_lists", f"select symbol, count(*) as pagecount, min(page_id) as first_page from ({RARE_PAIRS}) group by symbol having count(*) = 1")
 def _(t):

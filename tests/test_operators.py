@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from atlaslex.operators import cells, kmeans, lookup, page_lists, ranking, sampling, unique_labels, upsert
+from atlaslex.operators import cells, kmeans, lookup, page_lists, page_sets, ranking, sampling, unique_labels, upsert
 from atlaslex.plans import clusters
 from atlaslex.plans.geo_index import load_statistics
 from atlaslex.staging import stage
@@ -315,3 +315,44 @@ def test_cluster_words_keeps_rows(spark):
     assert sorted(clustered.select(*words.columns).collect()) == sorted(words.collect())
     zero = clustered.filter("lat = 0 and lon = 0").select("cluster_5", "cluster_9").distinct().count()
     assert zero == 1
+
+
+def test_page_sets(spark):
+    """Dense and sparse keys, ids of any sign at the bounds of buckets, repeats and nulls."""
+    dense = [*range(-70_000, 70_000, 37), -1, 0, 1, 32767, 32768, -32768, -32769]
+    rows = [("dense", i) for i in dense] + [("sparse", i) for i in (5, -40_000, 69_999, 5)] + [("one", 7), (None, 1), ("dense", None)]
+    pairs = spark.createDataFrame(rows, "s string, page_id long")
+    sets = stage(page_sets.page_sets(pairs, "s"), "sets")
+    kinds = {r.s: r.is_map for r in sets.selectExpr("s", "bitmap is not null as is_map").collect()}
+    assert kinds == {"dense": True, "sparse": False, "one": False}
+    expected = {"dense": sorted(set(dense)), "sparse": [-40_000, 5, 69_999], "one": [7]}
+    found = {}
+    for r in page_sets.expand_sets(sets, "s").collect():
+        found.setdefault(r.s, []).append(r.page_id)
+    assert {k: sorted(v) for k, v in found.items()} == expected
+    stats = {r.s: (r.pagecount, r.first_page) for r in page_sets.set_stats(sets, "s").collect()}
+    assert stats == {k: (len(v), v[0]) for k, v in expected.items()}
+    lists = page_sets.lists_of_sets(sets, "s").orderBy("s", "part").collect()
+    assert [(r.pagecount, r.first_page) for r in lists if r.part == 0] == [(len(expected[k]), expected[k][0]) for k in sorted(expected)]
+    assert [i for r in lists if r.s == "dense" for i in r.pages] == expected["dense"]
+    assert page_sets.page_sets(pairs.limit(0), "s").collect() == []
+
+
+def test_page_sets_are_reduced_before_the_shuffle(spark):
+    """A key on all pages is one bitmap for each task and bucket, not a row for each page."""
+    pairs = spark.range(0, 300_000, 1, 4).selectExpr("'x' as s", "id as page_id")
+    sets = page_sets.page_sets(pairs, "s")
+    assert sets.selectExpr("sum(n)", "count(*)").first() == (300_000, 10)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in plan
+
+
+def test_union_of_page_sets(spark):
+    left = [("dense", i) for i in range(0, 3000, 2)] + [("few", 1), ("left", 9)]
+    right = [("dense", i) for i in (3, 2999, 500_000)] + [("few", 1), ("few", 2), ("right", 400_000)]
+    made = [stage(page_sets.page_sets(spark.createDataFrame(rows, "s string, page_id long"), "s"), "sets") for rows in (left, right)]
+    assert made[0].where("bitmap is not null and s = 'dense'").count() == 1
+    assert made[1].where("bitmap is not null and s = 'dense'").count() == 0
+    both = stage(page_sets.union_sets(*made, "s"), "union")
+    assert sorted((r.s, r.page_id) for r in page_sets.expand_sets(both, "s").collect()) == sorted({*left, *right})
+    assert {r.s: r.pagecount for r in page_sets.set_stats(both, "s").collect()} == {"dense": 1503, "few": 2, "left": 1, "right": 1}
