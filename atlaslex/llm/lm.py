@@ -347,6 +347,7 @@ def train(training: DataFrame, known: Lexicon) -> np.ndarray:
         shared = context.broadcast((values, known))
         fitted = share.mapInArrow(_trainer(shared, number), schema)
         average = fitted.groupBy("slot").agg(*means).toArrow()
+        shared.destroy()  # workers would keep the words of every round
         if average.num_rows:
             values = values.copy()
             for i, name in enumerate(FITTED):
@@ -365,6 +366,7 @@ def log_sums(spark: SparkSession, values: np.ndarray, known: Lexicon) -> np.ndar
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.float64()))], names=["id", "sums"])
 
     rows = spark.range(0, RARE, 1, RARE).mapInArrow(of_classes, "id long, sums array<double>").collect()
+    shared.destroy()
     return np.array([row["sums"] for row in sorted(rows)])
 
 
