@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from atlaslex import jobs
 from atlaslex.functions.geo import key_ranges, place_key
-from atlaslex.operators.store import FOLDER, KeyedStore
+from atlaslex.operators.store import FOLDER, FOLDERS, KeyedStore
 from atlaslex.plans.coord_queries import placed_in_box
 from atlaslex.sinks.files import write_placed
 from atlaslex.sources import dump, tables
@@ -90,6 +90,27 @@ def test_a_store_reads_and_writes_only_touched_ranges(spark, tmp_path):
     assert "PartitionFilters: [" in plan and f"{FOLDER}" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
+def test_a_store_has_few_folders_and_files(spark, tmp_path):
+    """Ranges widen with the first rows, the width is kept with the store, and a folder gets one file by each write."""
+    path = str(tmp_path / "store")
+    store = KeyedStore(spark, path, "k", span=5)
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("id - 5000 as k", "'old' as v").repartition(8)
+    store.insert(rows.filter("k % 2 = 0"), [F.col("v")])
+    folders = {name.split("/")[0] for name in folder_files(path)}
+    assert 16 <= len(folders) <= FOLDERS and len(folder_files(path)) == len(folders)
+    # Whatever width it is opened with.
+    again = KeyedStore(spark, path, "k", span=320)
+    again.insert(rows.withColumn("v", F.lit("new")), [F.col("v")])
+    before = folder_files(path)
+    assert {name.split("/")[0] for name in before} == folders and len(before) == 2 * len(folders)
+    again.update(spark.createDataFrame([(-1, "x"), (99_999, "y")], "k long, v string"), ["v"], [F.col("v")])
+    after = folder_files(path)
+    assert len(after) == len(before) - 1 and len({name.split("/")[0] for name in after.keys() - before.keys()}) == 1
+    found = {r.k: r.v for r in again.read().collect()}
+    assert again.read().columns == ["k", "v"] and again.read().count() == len(found) == 20_000
+    assert all(v == ("x" if k == -1 else "new" if k % 2 else "old") for k, v in found.items())
+
+
 def test_a_load_scans_the_dump_once(spark, tmp_path, monkeypatch):
     folder, source = str(tmp_path / "map"), tmp_path / "dump"
     write_dump(source, [article(i) for i in range(1, 41)] + [(50, "No place", "river"), (51, "Broken", "{{coord|1|2"), (52, "Bad & title", "coord")])
