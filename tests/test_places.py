@@ -111,6 +111,15 @@ def test_a_store_has_few_folders_and_files(spark, tmp_path):
     assert all(v == ("x" if k == -1 else "new" if k % 2 else "old") for k, v in found.items())
 
 
+def test_a_store_of_keys_far_apart(spark, tmp_path):
+    store = KeyedStore(spark, str(tmp_path / "store"), "k", span=50)
+    keys = [(-1) ** i * i**3 * 1_000_003 for i in range(2000)]
+    store.insert(spark.createDataFrame([(k, "v") for k in keys], "k long, v string"), [F.col("v")])
+    store.insert(spark.createDataFrame([(k, "w") for k in keys], "k long, v string"), [F.col("v")])
+    assert len({name.split("/")[0] for name in folder_files(store.path)}) <= FOLDERS
+    assert sorted(tuple(r) for r in store.read().collect()) == sorted((k, "v") for k in set(keys))
+
+
 def test_a_load_scans_the_dump_once(spark, tmp_path, monkeypatch):
     folder, source = str(tmp_path / "map"), tmp_path / "dump"
     write_dump(source, [article(i) for i in range(1, 41)] + [(50, "No place", "river"), (51, "Broken", "{{coord|1|2"), (52, "Bad & title", "coord")])
