@@ -11,17 +11,20 @@ cell is then cut into as many finer cells as its candidates ask for, and each fi
 in a town are small, and a row finds its own by two look-ups.
 
 Centers are the state of a model, as many as the caller asked clusters for. They and their lists are made on the driver, which holds
-some dozen numbers for each center. The list table is broadcast while it is within ``BROADCAST_BYTES``, else joined by shuffle.
+some dozen numbers for each center. While the lists are within ``BROADCAST_BYTES`` they go to every task, which compares a batch of rows
+with their candidates at once; larger ones are a table that is joined by shuffle.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from atlaslex.functions.geo import squared_degrees
 from atlaslex.operators.lookup import BROADCAST_BYTES
@@ -37,6 +40,8 @@ WORLD = (-90.0, -180.0, 90.0, 180.0)
 PLACED = "lat is not null and lon is not null and not (isnan(lat) or isnan(lon))"
 # A cell reaches that share of the plane farther than it is, so that rounding never moves a point out of it.
 SLACK = 1e-9
+# Pairs of a row and a candidate that a task holds at once.
+STEP_PAIRS = 1 << 18
 
 
 @dataclass
@@ -217,13 +222,68 @@ def _list_table(df: DataFrame, lists: Lists, centers: Centers) -> DataFrame:
     offsets = pa.array(np.concatenate([starts, [len(lists.key)]]), pa.int32())
     fields = [pa.array(v[lists.center]) for v in (centers.cluster, centers.lat, centers.lon)]
     values = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, ["cluster", "lat", "lon"]))
-    table = df.sparkSession.createDataFrame(pa.table({"_cell": lists.key[starts], "_listed": values}))
-    return F.broadcast(table) if 24 * len(lists.key) + 32 * len(starts) <= BROADCAST_BYTES else table
+    return df.sparkSession.createDataFrame(pa.table({"_cell": lists.key[starts], "_listed": values}))
+
+
+def _least(d: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least number of every run and the place of the first one that has it."""
+    least = np.minimum.reduceat(d, starts)
+    of = np.repeat(np.arange(len(starts)), sizes)
+    hits = np.flatnonzero(d == least[of])
+    return least, hits[_starts(of[hits])]
+
+
+def _nearest_function(centers: Centers, lists: Lists, wanted: int):
+    """An Arrow UDF from (lat, lon) to a struct ``d0, c0, d1, c1...``; not deterministic to Spark, so that it is evaluated once for all that read it."""
+    starts = _starts(lists.key)
+    keys, lengths = lists.key[starts], np.diff(np.concatenate([starts, [len(lists.key)]]))
+    numbers, to_lat, to_lon = (v[lists.center] for v in (centers.cluster, centers.lat, centers.lon))
+    plane = replace(lists, key=keys[:0], center=keys[:0])
+    number = pa.array(centers.cluster).type
+
+    def run(lat: pa.Array, lon: pa.Array) -> pa.Array:
+        y, x = lat.to_numpy(zero_copy_only=False), lon.to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(~(np.isnan(y) | np.isnan(x)))
+        found = [(np.zeros(len(y)), np.ones(len(y), dtype=bool), np.zeros(len(y), dtype=np.int64)) for _ in range(wanted)]
+        y, x = y[rows], x[rows]
+        up, right = (y - plane.corner[0]) / (plane.size[0] / ACROSS), (x - plane.corner[1]) / (plane.size[1] / ACROSS)
+        inside = np.flatnonzero((up >= 0) & (up <= ACROSS) & (right >= 0) & (right <= ACROSS))
+        # The first list has all centers: that of places outside.
+        at = np.zeros(len(rows), dtype=np.int64)
+        cell = _cell_of(plane, y[inside], x[inside])
+        place = np.minimum(np.searchsorted(keys, cell), len(keys) - 1)
+        at[inside] = np.where(keys[place] == cell, place, 0)
+        sizes = lengths[at]
+        # Places by the pairs before them: a step has about STEP_PAIRS, and a row at least.
+        step = (np.cumsum(sizes) - sizes) // STEP_PAIRS
+        ends = [*_starts(step), len(rows)] if len(rows) else []
+        for begin, end in zip(ends[:-1], ends[1:], strict=True):
+            n = sizes[begin:end]
+            first = np.cumsum(n) - n
+            pair = np.arange(n.sum()) + np.repeat(starts[at[begin:end]] - first, n)
+            north, east = np.repeat(y[begin:end], n) - to_lat[pair], np.repeat(x[begin:end], n) - to_lon[pair]
+            d = north * north + east * east
+            d[np.isnan(d)] = np.inf
+            for rank, (value, missing, chosen) in enumerate(found):
+                least, place = _least(d, first, n)
+                value[rows[begin:end]], missing[rows[begin:end]], chosen[rows[begin:end]] = least, n <= rank, pair[place]
+                d[place] = np.inf
+        columns = [pa.array(v, mask=m) for value, m, chosen in found for v, m in ((value, m), (numbers[chosen], m))]
+        return pa.StructArray.from_arrays(columns, names)
+
+    names = [f"{c}{rank}" for rank in range(wanted) for c in "dc"]
+    fields = [T.StructField(name, T.DoubleType() if name[0] == "d" else from_arrow_type(number)) for name in names]
+    run.__annotations__ = {"lat": pa.Array, "lon": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, T.StructType(fields)).asNondeterministic()
 
 
 def nearest(df: DataFrame, centers: Centers, lists: Lists, wanted: int = 1) -> DataFrame:
     """Adds ``_best``: the ``wanted`` nearest centers as (d, cluster), d being squared degrees; ties go by number."""
     lat, lon = F.col("lat"), F.col("lon")
+    if 24 * len(lists.key) + 32 * len(_starts(lists.key)) <= BROADCAST_BYTES:
+        near = _nearest_function(centers, lists, wanted)(lat.cast("double"), lon.cast("double"))
+        ranks = [F.struct(F.col(f"_near.d{rank}").alias("d"), F.col(f"_near.c{rank}").alias("cluster")) for rank in range(wanted)]
+        return df.withColumn("_near", near).withColumn("_best", F.array(*ranks)).drop("_near")
 
     def ranked(center: Column) -> Column:
         return F.struct(squared_degrees(lat, lon, center["lat"], center["lon"]).alias("d"), center["cluster"].alias("cluster"))

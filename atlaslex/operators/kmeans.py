@@ -3,9 +3,10 @@
 Centers are a table ``(cluster, lat, lon)`` or ``(cluster, lat, lon, n)`` with as many rows as clusters were asked for; points are a stored
 table ``(lat, lon, weight)`` of different places. Nearest centers are found through ``cells``.
 
-* ``fit_kmeans``: Lloyd's rounds with distance bounds. A point keeps an upper bound of the distance to its own center and a lower
+* ``fit_kmeans``: Lloyd's rounds. In the first ones, where most points change, all points look for their center and nothing is stored
+  but the centers. The others have distance bounds. A point keeps an upper bound of the distance to its own center and a lower
   bound of that to any other; both are shifted by how far centers moved, and only points whose bounds meet look at a
-  list of candidates again. Every round is a stage table, so a lost executor costs a round at most.
+  list of candidates again. Every such round is a stage table, so a lost executor costs a round at most.
 * ``spread_seeds``: k-means||, which draws far points with a higher chance, some times in parallel.
 * ``minibatch_step``: one update of mini-batch k-means.
 """
@@ -24,6 +25,8 @@ from atlaslex.staging import stage
 
 # Bounds that are nearer to each other than this, in degrees, count as meeting: rounding never decides.
 MARGIN = 1e-9
+# Rounds in which all points look for their center: cheaper than to store bounds while most of them meet.
+PLAIN_ROUNDS = 3
 # Rounds of k-means||, and candidates that one of them draws for each center asked for.
 SEED_ROUNDS, DRAWN = 4, 0.5
 # Lloyd's rounds over the drawn candidates, which are few.
@@ -102,20 +105,29 @@ def _shifted(state: DataFrame, before: Centers, centers: Centers) -> DataFrame:
     return stay.unionByName(_bounds(judged.where("meet").select("lat", "lon", "weight"), centers, lists))
 
 
-def lloyd(points: DataFrame, starts: Centers, iterations: int = 10) -> tuple[Centers, DataFrame]:
-    """Centers after ``iterations`` rounds from ``starts``, and the stored points with their ``cluster`` among these.
+def lloyd(points: DataFrame, starts: Centers, iterations: int = 10, assigned: bool = True) -> tuple[Centers, DataFrame | None]:
+    """Centers after ``iterations`` rounds from ``starts``, and, if ``assigned``, the stored points with their ``cluster`` among these.
 
     The result is that of the plain method, which compares every point with every center in every round. Points without a
     place are left out. Ends early when no center moves.
     """
-    placed = points.where(PLACED)
-    state, centers = stage(_bounds(placed, starts, candidate_lists(starts, 2)), "bounds"), starts
-    for _ in range(iterations):
-        before, centers = centers, _means(state, centers)
+    placed, state, centers = points.where(PLACED), None, starts
+    for number in range(iterations):
+        before = centers
+        if number < PLAIN_ROUNDS:
+            near = nearest(placed, before, candidate_lists(before))
+            centers = _means(near.select("lat", "lon", "weight", F.col("_best")[0]["cluster"].alias("cluster")), before)
+        else:
+            if state is None:
+                state = stage(_bounds(placed, before, candidate_lists(before, 2)), "bounds")
+            centers = _means(state, before)
         if np.array_equal(before.lat, centers.lat) and np.array_equal(before.lon, centers.lon):
             break
-        state = stage(_shifted(state, before, centers), "bounds")
-    return centers, state
+        if state is not None and (assigned or number < iterations - 1):
+            state = stage(_shifted(state, before, centers), "bounds")
+    if assigned and state is None:
+        state = stage(_bounds(placed, centers, candidate_lists(centers, 2)), "bounds")
+    return centers, state if assigned else None
 
 
 def fit_kmeans(points: DataFrame, k: int, seed: int = 0, iterations: int = 10) -> DataFrame:
@@ -124,7 +136,7 @@ def fit_kmeans(points: DataFrame, k: int, seed: int = 0, iterations: int = 10) -
     Fewer than ``k`` centers come back when there are fewer different points; no points give no centers.
     """
     starts = drawn_starts(points, k, seed)
-    centers = lloyd(points, starts, iterations)[0] if len(starts) else starts
+    centers = lloyd(points, starts, iterations, assigned=False)[0] if len(starts) else starts
     return _table(points.sparkSession, centers)
 
 
@@ -198,7 +210,7 @@ def spread_seeds(points: DataFrame, k: int, seed: int = 0) -> DataFrame:
         rows = weighted.orderBy("lat", "lon").toArrow()
         lat, lon, weight = (rows[c].to_numpy() for c in ("lat", "lon", "weight"))
         of = _spread(lat, lon, weight, k)
-        candidates = lloyd(weighted, Centers(np.arange(len(of)), lat[of], lon[of]), SEED_ITERATIONS)[0]
+        candidates = lloyd(weighted, Centers(np.arange(len(of)), lat[of], lon[of]), SEED_ITERATIONS, assigned=False)[0]
     return _table(spark, candidates).withColumn("n", F.lit(0).cast("long"))
 
 

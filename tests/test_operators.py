@@ -218,6 +218,41 @@ def test_settled_points_are_not_looked_at_again(spark, monkeypatch):
     assert looked[0] == len(points) and min(looked[-3:]) < len(points) / 3
 
 
+def test_first_rounds_store_no_points(spark, monkeypatch):
+    """Three rounds give the plain method's centers, and write nothing but the draw of their starts."""
+    points = made_points(np.random.default_rng(7), 3000, "towns")
+    table, stored, before = table_of(spark, points), [], kmeans.stage
+    monkeypatch.setattr(kmeans, "stage", lambda df, name: stored.append(name) or before(df, name))
+    starts = kmeans.drawn_starts(table, 40, seed=1)
+    at = np.column_stack([starts.lat, starts.lon])
+    for rounds in (1, 3, 5):
+        fitted = np.array([tuple(r)[1:] for r in kmeans.fit_kmeans(table, 40, seed=1, iterations=rounds).orderBy("cluster").collect()])
+        assert np.allclose(fitted, plain_lloyd(points, at, rounds)[0], atol=1e-9)
+        assert stored.count("bounds") == max(0, rounds - kmeans.PLAIN_ROUNDS)
+        stored.clear()
+
+
+@pytest.mark.parametrize("wanted", [1, 2])
+def test_nearest_in_batches_is_nearest_by_join(spark, monkeypatch, wanted):
+    """Ties, few centers, places outside of the plane and rows without a place, in steps of few pairs."""
+    rng = np.random.default_rng(9)
+    at = [(float(a), float(b)) for a, b in rng.integers(-9, 9, (400, 2))]
+    rows = [(i, *p) for i, p in enumerate([*at, (500.0, 3.0), (-300.0, 900.0), (90.0, 180.0), (None, 1.0), (2.0, float("nan"))])]
+    # At infinity all centers are as far: there is a first one by number, but no second nearest.
+    rows += [(len(rows), float("inf"), 1.0)] if wanted == 1 else []
+    df = spark.createDataFrame(rows, "id int, lat double, lon double").repartition(3)
+    for k in (1, 2, 60):
+        place = np.array([at[i] for i in rng.integers(0, 400, k)])
+        centers = cells.Centers(np.arange(k, dtype=np.int32)[::-1].copy(), place[:, 0].copy(), place[:, 1].copy())
+        lists, found = cells.candidate_lists(centers, wanted), []
+        for limit, pairs in ((-1, 1 << 18), (1 << 26, 1 << 18), (1 << 26, 7)):
+            monkeypatch.setattr(cells, "BROADCAST_BYTES", limit)
+            monkeypatch.setattr(cells, "STEP_PAIRS", pairs)
+            best = cells.nearest(df, centers, lists, wanted).select("id", *(F.get("_best", F.lit(i)).getField(f) for i in range(wanted) for f in ("d", "cluster")))
+            found.append(sorted((tuple(r) for r in best.collect()), key=lambda r: r[0]))
+        assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+
+
 def test_candidate_lists_hold_the_nearest():
     rng = np.random.default_rng(2)
     for kind in ("even", "towns", "lattice"):
