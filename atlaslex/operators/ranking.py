@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +33,26 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
     return numbered.filter(F.col(rank) <= n)
 
 
+def leading_of_runs(group: str, value: str, n: int) -> Column:
+    """False for rows that cannot be among the ``n`` of their group with the largest ``value``, as their own batch has ``n`` larger ones.
+
+    Rows of a group that lie one after the other are judged together, so nothing is sorted or shuffled. Some rows too many
+    stay, such as ties: a ranking follows.
+    """
+
+    def run(groups: pa.Array, values: pa.Array) -> pa.Array:
+        number = values.to_numpy(zero_copy_only=False)
+        sizes = np.diff(pc.run_end_encode(groups).run_ends.to_numpy(), prepend=0)
+        starts = np.cumsum(sizes) - sizes
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        # Values that are no numbers come last here, and stay.
+        least = number[np.lexsort((-number, of))][starts + np.minimum(sizes, n) - 1]
+        return pa.array(~(number < least[of]) | (sizes <= n)[of])
+
+    run.__annotations__ = {"groups": pa.Array, "values": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, T.BooleanType()).asNondeterministic()(F.col(group), F.col(value).cast("double"))
+
+
 def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     """One row per key: the first in ``order``."""
     return top_per_group(df, [key], order, 1, "_first").drop("_first")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from atlaslex.functions.markup import strip_markup
 from atlaslex.functions.words import word_counts
 from atlaslex.operators.lookup import BROADCAST_BYTES, heavy_keys, lookup_join
-from atlaslex.operators.ranking import top_per_group
+from atlaslex.operators.ranking import leading_of_runs, top_per_group
 from atlaslex.staging import stage
 
 # Words of up to this many documents count as rare; words kept per article.
@@ -21,9 +21,9 @@ def plain_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "title", strip_markup(F.col("wikitext")).alias("text"))
 
 
-def term_counts(pages: DataFrame) -> DataFrame:
-    """(page_id, title, word, tf) of pages ``(page_id, title, text)``, one row per page: no shuffle."""
-    return pages.select("page_id", "title", F.inline(word_counts(F.col("text"))))
+def term_counts(pages: DataFrame, *others: str) -> DataFrame:
+    """(page_id, title, word, tf) and other columns of pages ``(page_id, title, text)``, one row per page: no shuffle."""
+    return pages.select("page_id", "title", *others, F.inline(word_counts(F.col("text"))))
 
 
 def doc_freq(counts: DataFrame) -> DataFrame:
@@ -57,8 +57,11 @@ def score_words(counts: DataFrame, frequencies: DataFrame, threshold: int = RARE
 
 
 def top_words(scored: DataFrame, n: int = TOP_WORDS) -> DataFrame:
-    """The ``n`` best words per page, ties by word."""
-    best = top_per_group(scored, ["page_id"], [F.col("tf_idf").desc(), F.col("word")], n)
+    """The ``n`` best words per page, ties by word.
+
+    Counts lie page by page, as they were written: most words leave before the ranking sorts the rest.
+    """
+    best = top_per_group(scored.where(leading_of_runs("page_id", "tf_idf", n)), ["page_id"], [F.col("tf_idf").desc(), F.col("word")], n)
     return best.select("page_id", "word", "tf", F.col("title").alias("article"), "df", "tf_idf")
 
 

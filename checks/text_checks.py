@@ -15,10 +15,10 @@ from checks.adapters import wiki_pages
 from checks.registry import Tables, query
 
 
-def document_pages(t: Tables):
+def document_pages(t: Tables, *others: str):
     """Documents as plain pages."""
     return t.documents.select(
-        F.col("doc_id").alias("page_id"), F.concat(F.lit("Doc "), F.col("doc_id")).alias("title"), "text"
+        F.col("doc_id").alias("page_id"), F.concat(F.lit("Doc "), F.col("doc_id")).alias("title"), "text", *others
     )
 
 

@@ -391,3 +391,18 @@ def test_union_of_page_sets(spark):
     both = stage(page_sets.union_sets(*made, "s"), "union")
     assert sorted((r.s, r.page_id) for r in page_sets.expand_sets(both, "s").collect()) == sorted({*left, *right})
     assert {r.s: r.pagecount for r in page_sets.set_stats(both, "s").collect()} == {"dense": 1503, "few": 2, "left": 1, "right": 1}
+
+
+def test_most_rows_leave_before_the_ranking(spark):
+    """Rows of a group that lie together: the best stay, with ties and values that are no numbers, wherever a batch ends."""
+    rng = random.Random(11)
+    rows = [(None if g == 3 else g, float(rng.randint(0, 40)), i) for g in range(30) for i in range(400)]
+    rows += [(50, float("nan"), 0), (50, None, 1), (50, 7.0, 2), (50, 8.0, 3), (50, 9.0, 4)]
+    df = spark.createDataFrame(rows, "g int, v double, i int").coalesce(1)
+    kept = df.where(ranking.leading_of_runs("g", "v", 3)).collect()
+    assert len(kept) < len(rows) / 5
+
+    def best(table):
+        return sorted(map(str, ranking.top_per_group(table, ["g"], [F.col("v").desc(), F.col("i")], 3).collect()))
+
+    assert best(df) == best(spark.createDataFrame(kept, df.schema))
