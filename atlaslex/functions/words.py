@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +15,8 @@ IN_WORD = r"[\p{L}\p{N}_]"
 BETWEEN_WORDS = r"[^\p{L}\p{N}_]+"
 # The spoken contractions a treebank tokenizer takes apart.
 CONTRACTIONS = [("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("wan", "na")]
+# Texts whose words are counted together: their different words stay in a core's cache.
+TEXTS_AT_ONCE = 200
 _SPLIT_HERE = "|".join(f"{head}(?={tail}(?!{IN_WORD}))" for head, tail in CONTRACTIONS)
 CONTRACTION_HEAD = f"(?<!{IN_WORD})(?:{_SPLIT_HERE})"
 # Most pages hold no contraction: a plain substring test saves them a regular expression.
@@ -19,9 +24,14 @@ _HAS_CONTRACTION = " OR ".join(f"contains(t, '{head}{tail}')" for head, tail in
 _SPLIT_IF_ANY = f"CASE WHEN {_HAS_CONTRACTION} THEN regexp_replace(t, r'{CONTRACTION_HEAD}', '$0 ') ELSE t END"
 
 
+def _prepared(text: Column) -> Column:
+    """Lower case, contractions taken apart."""
+    return apply(F.lower(F.coalesce(text, F.lit(""))), "t", _SPLIT_IF_ANY)
+
+
 def _pieces(text: Column) -> Column:
     """Words and, at the ends, empty strings."""
-    return F.split(apply(F.lower(F.coalesce(text, F.lit(""))), "t", _SPLIT_IF_ANY), BETWEEN_WORDS)
+    return F.split(_prepared(text), BETWEEN_WORDS)
 
 
 def words(text: Column) -> Column:
@@ -50,6 +60,34 @@ def word_counts(text: Column) -> Column:
     return apply(F.sort_array(_pieces(text)), "ordered", bind("starts", _STARTS, _RUNS))
 
 
+def _counted(texts: pa.Array) -> pa.Array:
+    """Words of texts with blanks between them, and how often each occurs in its text."""
+    parts = [_counted_at_once(texts.slice(at, TEXTS_AT_ONCE)) for at in range(0, max(len(texts), 1), TEXTS_AT_ONCE)]
+    return pa.concat_arrays(parts)
+
+
+def _counted_at_once(texts: pa.Array) -> pa.Array:
+    pieces = pc.split_pattern(texts, " ")
+    coded = pieces.flatten().dictionary_encode()
+    code, known = coded.indices.to_numpy(), max(len(coded.dictionary), 1)
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(pieces).to_numpy())
+    empty = pc.index(coded.dictionary, pa.scalar("", coded.dictionary.type)).as_py()
+    found, tf = np.unique((row * known + code)[code != empty], return_counts=True)
+    row, code = np.divmod(found, known)
+    offsets = pa.array(np.searchsorted(row, np.arange(len(texts) + 1)), pa.int32())
+    columns = [coded.dictionary.take(pa.array(code)), pa.array(tf, pa.int64())]
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, c) for c in columns], ["words", "tfs"])
+
+
+def word_bag(text: Column) -> Column:
+    """struct<words:array<string>, tfs:array<bigint>>: each distinct word of ``text`` and its count, in no order.
+
+    As ``word_counts``, for tables that keep the words of a page in one row: Spark finds the words, an Arrow batch of texts is counted at once.
+    """
+    function = F.arrow_udf(_counted, "words array<string>, tfs array<bigint>").asNondeterministic()
+    return function(F.regexp_replace(_prepared(text), BETWEEN_WORDS, " "))
+
+
 def capitalized(word: Column) -> Column:
     """First letter upper case, the rest lower case; a letter whose upper case is two letters (sharp s) keeps one upper."""
     initial = F.upper(F.left(word, F.lit(1)))

@@ -22,6 +22,17 @@ def mappable_words(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     return lookup_join(words.filter(in_world(F.col("lat"), F.col("lon"))), dictionary, "word", "left_semi")
 
 
+def mappable_by_frequency(words: DataFrame, frequencies: DataFrame, threshold: int) -> DataFrame:
+    """As ``mappable_words``, for words with ``df`` and a stored dictionary ``(word, df)``.
+
+    Frequent words, which most rows have, are looked up among the frequent ones only: these are few enough for a broadcast long after the
+    dictionary is not. Rare ones (``df`` below zero) are looked up among the rare.
+    """
+    parts = (words.filter("df > 0"), frequencies.filter(F.col("df") > threshold)), (words.filter("df < 0"), frequencies.filter(F.col("df") <= threshold))
+    frequent, rare = (mappable_words(rows, known.select("word")) for rows, known in parts)
+    return frequent.unionByName(rare)
+
+
 def kept_share(words: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One row: rows, rows the dictionary knows, and their percentage."""
     marked = lookup_join(words, dictionary.select("word", F.lit(True).alias("known")), "word", "left")

@@ -60,6 +60,12 @@ def explode_keywords(tags: DataFrame) -> DataFrame:
     return tags.select("page_id", "title", _once(F.col("coords"))).selectExpr(*COORD_ROW)
 
 
+def page_positions(tags: DataFrame) -> DataFrame:
+    """(page_id, title, coords) -> (page_id, lat, lon) of the coordinate table, without its keywords."""
+    found = F.transform(F.filter(F.array("coords"), lambda c: c.isNotNull() & (c != "")), decode_coord)
+    return tags.select("page_id", F.inline(found)).select("page_id", "lat", "lon")
+
+
 def geo_pages(pages: DataFrame, *others: str) -> DataFrame:
     """(page_id, title, wikitext, coords, _position, _keywords) and other columns of the pages with a coordinate template."""
     mentioning = pages.filter(mentions_coord(F.col("wikitext")))

@@ -19,6 +19,16 @@ def geo_words(words: DataFrame, coords: DataFrame, titles: DataFrame | None = No
     return words.join(named, "article")
 
 
+def geo_pages_words(best: DataFrame, coords: DataFrame) -> DataFrame:
+    """(page_id, article, lat, lon, best): pages with their best words as an array, joined page by page; ``words_of_places`` lists the words."""
+    return best.join(coords.select("page_id", "lat", "lon"), "page_id").select("page_id", "article", "lat", "lon", "best")
+
+
+def words_of_places(placed: DataFrame) -> DataFrame:
+    """(page_id, word, tf, article, df, tf_idf, lat, lon), as ``geo_words``."""
+    return placed.select("page_id", "article", "lat", "lon", F.inline("best")).select("page_id", "word", "tf", "article", "df", "tf_idf", "lat", "lon")
+
+
 def articles(words: DataFrame) -> DataFrame:
     """Distinct article names."""
     return words.select("article").distinct()

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlaslex.functions.markup import strip_markup
-from atlaslex.functions.words import word_counts
-from atlaslex.operators.lookup import BROADCAST_BYTES, heavy_keys, lookup_join
-from atlaslex.operators.ranking import leading_of_runs, top_per_group
+from atlaslex.functions.words import word_bag, word_counts
+from atlaslex.operators.lookup import BROADCAST_BYTES, broadcast_if_small, heavy_keys, lookup_join
+from atlaslex.operators.ranking import best_of_bags, leading_of_runs, top_per_group
 from atlaslex.staging import stage
 
 # Words of up to this many documents count as rare; words kept per article.
@@ -26,9 +26,26 @@ def term_counts(pages: DataFrame, *others: str) -> DataFrame:
     return pages.select("page_id", "title", *others, F.inline(word_counts(F.col("text"))))
 
 
-def doc_freq(counts: DataFrame) -> DataFrame:
-    """(word, df): number of pages with the word. ``counts`` has each word of a page once."""
-    return counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+def page_bags(pages: DataFrame, *others: str) -> DataFrame:
+    """(page_id, title, words, tfs) and other columns of pages ``(page_id, title, text)``: the counts of a page stay in its row."""
+    counted = pages.select("page_id", "title", *others, word_bag(F.col("text")).alias("bag"))
+    return counted.select("page_id", "title", *others, "bag.words", "bag.tfs")
+
+
+def words_of_bags(bags: DataFrame, *others: str) -> DataFrame:
+    """(word) and other columns: a row for every word of a page, as ``doc_freq`` counts them."""
+    return bags.select(*others, F.explode("words").alias("word"))
+
+
+def counts_of_bags(bags: DataFrame) -> DataFrame:
+    """(page_id, title, word, tf) of bags, as ``term_counts``."""
+    counts = F.arrays_zip(F.col("words").alias("word"), F.col("tfs").alias("tf"))
+    return bags.select("page_id", "title", F.inline(counts).alias("word", "tf"))
+
+
+def doc_freq(counts: DataFrame, *others: Column) -> DataFrame:
+    """(word, df): number of pages with the word, and other aggregates. ``counts`` has each word of a page once."""
+    return counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"), *others)
 
 
 def usable_df(df: Column, threshold: int = RARE_UP_TO) -> Column:
@@ -61,7 +78,12 @@ def top_words(scored: DataFrame, n: int = TOP_WORDS) -> DataFrame:
 
     Counts lie page by page, as they were written: most words leave before the ranking sorts the rest.
     """
-    best = top_per_group(scored.where(leading_of_runs("page_id", "tf_idf", n)), ["page_id"], [F.col("tf_idf").desc(), F.col("word")], n)
+    return top_words_of_rows(scored.where(leading_of_runs("page_id", "tf_idf", n)), n)
+
+
+def top_words_of_rows(scored: DataFrame, n: int = TOP_WORDS) -> DataFrame:
+    """As ``top_words``, for rows that lie anyhow."""
+    best = top_per_group(scored, ["page_id"], [F.col("tf_idf").desc(), F.col("word")], n)
     return best.select("page_id", "word", "tf", F.col("title").alias("article"), "df", "tf_idf")
 
 
@@ -72,8 +94,45 @@ def significant_words(
     return top_words(score_words(counts, frequencies, threshold), n)
 
 
+def best_of_pages(
+    bags: DataFrame, frequencies: DataFrame, n: int = TOP_WORDS, threshold: int = RARE_UP_TO, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """(page_id, article, best) of stored bags and document frequencies: the ``n`` best words of a page as an array of (word, tf, df, tf_idf).
+
+    The frequent words go to every task while their Arrow columns fit ``limit``, and a page is ranked where it lies: nothing is shuffled.
+    Only pages whose id comes several times meet, as they share their ``n`` words. Beyond the limit counts are joined as rows.
+    """
+    frequent = frequencies.filter(F.col("df") > threshold).select("word", "df")
+    # Offset, df and the word itself.
+    size = frequent.agg(F.coalesce(F.sum(F.octet_length("word") + 12), F.lit(0))).first()[0]
+    if size > limit:
+        return _gathered(significant_words(counts_of_bags(bags), frequencies, n, threshold))
+    entries = frequent.withColumn("df", F.col("df").cast("long")).toArrow()
+
+    def ranked(some: DataFrame) -> DataFrame:
+        return some.select("page_id", F.col("title").alias("article"), best_of_bags("words", "tfs", entries, n).alias("best"))
+
+    several = stage(bags.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("page_id"), "repeated-ids")
+    if several.isEmpty():
+        return ranked(bags)
+    again = broadcast_if_small(several.withColumnRenamed("page_id", "_id"))
+    same = F.col("page_id").eqNullSafe(F.col("_id"))
+    parts = ranked(bags.join(again, same, "left_semi")).select("page_id", F.col("article").alias("title"), F.inline("best"))
+    return ranked(bags.join(again, same, "left_anti")).unionByName(_gathered(top_words_of_rows(parts, n)))
+
+
+def _gathered(words: DataFrame) -> DataFrame:
+    """(page_id, article, best) of the rows of ``words``, ``n`` of a page at most."""
+    return words.groupBy("page_id", "article").agg(F.collect_list(F.struct("word", "tf", "df", "tf_idf")).alias("best"))
+
+
 def significant_words_of_pages(pages: DataFrame, n: int = TOP_WORDS, threshold: int = RARE_UP_TO) -> DataFrame:
     """The whole stage for pages ``(page_id, title, text)``: the text is read once, its counts are stored."""
-    counts = stage(term_counts(pages), "term-counts")
-    frequencies = stage(doc_freq(counts), "doc-freq")
-    return significant_words(counts, frequencies, n, threshold)
+    bags = stage(page_bags(pages), "term-counts")
+    frequencies = stage(doc_freq(words_of_bags(bags)), "doc-freq")
+    return words_of_pages(best_of_pages(bags, frequencies, n, threshold))
+
+
+def words_of_pages(best: DataFrame) -> DataFrame:
+    """(page_id, word, tf, article, df, tf_idf): a row for each best word."""
+    return best.select("page_id", "article", F.inline("best")).select("page_id", "word", "tf", "article", "df", "tf_idf")
