@@ -57,6 +57,11 @@ def centers(stats: DataFrame) -> DataFrame:
     )
 
 
+def cluster_means(zoomed: DataFrame) -> DataFrame:
+    """As ``centers``, where no sums of words are wanted: every task sends a row per cluster on."""
+    return zoomed.groupBy("zoom", "cluster").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+
+
 def cluster_samples(clustered: DataFrame, n: int = SAMPLE, seed: int = 0, zooms: tuple[str, ...] = ZOOMS) -> DataFrame:
     """(zoom, cluster, page_id, word, lat, lon): up to ``n`` words of every cluster, those with the smallest hash of page, word and seed.
 
