@@ -27,7 +27,10 @@ def term_counts(pages: DataFrame, *others: str) -> DataFrame:
 
 
 def page_bags(pages: DataFrame, *others: str) -> DataFrame:
-    """(page_id, title, words, tfs) and other columns of pages ``(page_id, title, text)``: the counts of a page stay in its row."""
+    """(page_id, title, words, tfs) and other columns of pages ``(page_id, title, text)``: the counts of a page stay in its row.
+
+    ``pages`` must be stored where their text is parsed by a generator: Spark does not take a Python function out of such a plan.
+    """
     counted = pages.select("page_id", "title", *others, word_bag(F.col("text")).alias("bag"))
     return counted.select("page_id", "title", *others, "bag.words", "bag.tfs")
 
@@ -128,9 +131,9 @@ def _gathered(words: DataFrame) -> DataFrame:
 
 def significant_words_of_pages(pages: DataFrame, n: int = TOP_WORDS, threshold: int = RARE_UP_TO) -> DataFrame:
     """The whole stage for pages ``(page_id, title, text)``: the text is read once, its counts are stored."""
-    bags = stage(page_bags(pages), "term-counts")
-    frequencies = stage(doc_freq(words_of_bags(bags)), "doc-freq")
-    return words_of_pages(best_of_pages(bags, frequencies, n, threshold))
+    counts = stage(term_counts(pages), "term-counts")
+    frequencies = stage(doc_freq(counts), "doc-freq")
+    return significant_words(counts, frequencies, n, threshold)
 
 
 def words_of_pages(best: DataFrame) -> DataFrame:
