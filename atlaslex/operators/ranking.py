@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from atlaslex.operators.lookup import broadcast_if_small
 from atlaslex.staging import stage
 
 # spark.sql.optimizer.windowGroupLimitThreshold as Spark ships it; parts of a group that are ranked by themselves.
 CUT_BY_SPARK = 1000
 PARTS = 256
+# Bins of a group whose largest values bound what can be among its first rows.
+BINS = 32
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
@@ -33,6 +36,19 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
     return numbered.filter(F.col(rank) <= n)
 
 
+def leading_by_bound(df: DataFrame, group: list[str], value: str, within: str, n: int) -> DataFrame:
+    """Rows of a stored table that can be among the ``n`` of their group with the largest ``value``: few, and never less than those.
+
+    Rows are dealt over bins by a hash of ``within``. The n-th largest of the bins' largest values is a bound, as ``n`` rows reach it. It costs
+    a row per group and bin and no sort; a ranking of what is left follows. Groups with rows in less than ``n`` bins come whole.
+    """
+    bins = df.groupBy(*group, F.pmod(F.xxhash64(within), F.lit(BINS)).alias("_bin")).agg(F.max(value).alias("_most"))
+    least = F.get(F.sort_array(F.collect_list("_most"), asc=False), F.lit(n - 1))
+    bounds = stage(bins.groupBy(*group).agg(least.alias("_least")).filter("_least is not null"), "bounds")
+    bounded = df.join(broadcast_if_small(bounds), group, "left")
+    return bounded.filter(F.col("_least").isNull() | (F.col(value) >= F.col("_least"))).select(*df.columns)
+
+
 def leading_of_runs(group: str, value: str, n: int) -> Column:
     """False for rows that cannot be among the ``n`` of their group with the largest ``value``, as their own batch has ``n`` larger ones.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from atlaslex.functions.words import capitalized
-from atlaslex.operators.ranking import top_per_group
+from atlaslex.operators.ranking import leading_by_bound, top_per_group
 from atlaslex.operators.sampling import score
 from atlaslex.operators.unique_labels import unique_labels
 from atlaslex.staging import stage
@@ -43,12 +43,27 @@ def word_stats(zoomed: DataFrame) -> DataFrame:
 
 def ranked_words(stats: DataFrame, n: int = CANDIDATES) -> DataFrame:
     """The ``n`` best words per cluster by ``tf_idf * ln(ones)``; rows without a word are no candidates."""
-    scored = stats.filter(F.col("word").isNotNull()).withColumn(
-        "score", F.round(F.col("tf_idf") * F.log("ones"), SCORE_DIGITS)
-    )
+    return _first_words(_scored(stats), n)
+
+
+def _scored(stats: DataFrame) -> DataFrame:
+    return stats.filter(F.col("word").isNotNull()).withColumn("score", F.round(F.col("tf_idf") * F.log("ones"), SCORE_DIGITS))
+
+
+def _first_words(scored: DataFrame, n: int) -> DataFrame:
     return top_per_group(scored, ["zoom", "cluster"], [F.col("score").desc(), F.col("word")], n)
 
 
+def word_scores(clustered: DataFrame, zooms: tuple[str, ...] = ZOOMS) -> DataFrame:
+    """(zoom, cluster, word, score) of clustered words, as ``ranked_words`` scores them, without coordinates: these need a row per cluster only."""
+    return _scored(word_stats(by_zoom(clustered, zooms))).select("zoom", "cluster", "word", "score")
+
+
+def best_scored(scores: DataFrame, n: int = CANDIDATES) -> DataFrame:
+    """As ``ranked_words``, for stored ``word_scores``: most words of a cluster leave unsorted."""
+    return _first_words(leading_by_bound(scores, ["zoom", "cluster"], "score", "word", n), n)
+
+
 def centers(stats: DataFrame) -> DataFrame:
     """(zoom, cluster, lat, lon): mean position of all rows of a cluster."""
     rows = F.sum("ones")
@@ -62,6 +77,14 @@ def cluster_means(zoomed: DataFrame) -> DataFrame:
     return zoomed.groupBy("zoom", "cluster").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
 
 
+def cell_means(clustered: DataFrame, zooms: tuple[str, ...] = ZOOMS) -> DataFrame:
+    """As ``centers``, of clustered words: rows are added up by all their clusters first, so that few are listed by zoom level."""
+    names = [f"cluster_{z}" for z in zooms]
+    cells = clustered.groupBy(*names).agg(F.sum("lat").alias("sum_lat"), F.sum("lon").alias("sum_lon"), F.count(F.lit(1)).alias("ones"))
+    pairs = F.array(*[F.struct(F.lit(z).alias("zoom"), F.col(n).cast("int").alias("cluster")) for z, n in zip(zooms, names, strict=True)])
+    return centers(cells.select(F.inline(pairs), "sum_lat", "sum_lon", "ones").filter(F.col("cluster").isNotNull()))
+
+
 def cluster_samples(clustered: DataFrame, n: int = SAMPLE, seed: int = 0, zooms: tuple[str, ...] = ZOOMS) -> DataFrame:
     """(zoom, cluster, page_id, word, lat, lon): up to ``n`` words of every cluster, those with the smallest hash of page, word and seed.
 
@@ -103,7 +126,6 @@ def label_table(labels: DataFrame, middle: DataFrame) -> DataFrame:
 
 def label_clusters(clustered: DataFrame, zooms: tuple[str, ...] = ZOOMS, sample: int | None = None) -> DataFrame:
     """The map labels of clustered words, at the mean of all words of a cluster or of a ``sample`` of them."""
-    stats = stage(word_stats(by_zoom(clustered, zooms)), "word-stats")
-    ranked = stage(ranked_words(stats), "label-candidates")
-    middle = centers(stats) if sample is None else sampled_centers(cluster_samples(clustered, sample, zooms=zooms))
+    ranked = stage(best_scored(stage(word_scores(clustered, zooms), "word-scores")), "label-candidates")
+    middle = cell_means(clustered, zooms) if sample is None else sampled_centers(cluster_samples(clustered, sample, zooms=zooms))
     return label_table(chosen_labels(ranked, zooms), middle)
