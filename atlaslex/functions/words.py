@@ -60,14 +60,29 @@ def word_counts(text: Column) -> Column:
     return apply(F.sort_array(_pieces(text)), "ordered", bind("starts", _STARTS, _RUNS))
 
 
+# What the bytes of ASCII texts become: characters between words are blanks. Bytes of other characters stay.
+_BLANKED = np.array([b if b > 127 or chr(b).isalnum() or chr(b) == "_" else 32 for b in range(256)], dtype=np.uint8)
+# Other characters between words are for Spark to find, in texts that have any.
+_BLANK_OTHERS = r"CASE WHEN octet_length(t) = char_length(t) THEN t ELSE regexp_replace(t, r'[^\x00-\x7F\p{L}\p{N}]+', ' ') END"
+
+
+def _blanked(texts: pa.Array) -> pa.Array:
+    """Texts with blanks for all ASCII characters between words."""
+    valid, offsets, data = texts.buffers()
+    if data is None:
+        return texts
+    return pa.Array.from_buffers(texts.type, len(texts), [valid, offsets, pa.py_buffer(_BLANKED[np.frombuffer(data, np.uint8)])], offset=texts.offset)
+
+
 def _counted(texts: pa.Array) -> pa.Array:
-    """Words of texts with blanks between them, and how often each occurs in its text."""
+    """Words of texts, a blank between them, and how often each occurs in its text."""
+    texts = _blanked(texts)
     parts = [_counted_at_once(texts.slice(at, TEXTS_AT_ONCE)) for at in range(0, max(len(texts), 1), TEXTS_AT_ONCE)]
     return pa.concat_arrays(parts)
 
 
 def _counted_at_once(texts: pa.Array) -> pa.Array:
-    pieces = pc.split_pattern(texts, " ")
+    pieces = pc.ascii_split_whitespace(texts)
     coded = pieces.flatten().dictionary_encode()
     code, known = coded.indices.to_numpy(), max(len(coded.dictionary), 1)
     row = np.repeat(np.arange(len(texts)), pc.list_value_length(pieces).to_numpy())
@@ -75,17 +90,28 @@ def _counted_at_once(texts: pa.Array) -> pa.Array:
     found, tf = np.unique((row * known + code)[code != empty], return_counts=True)
     row, code = np.divmod(found, known)
     offsets = pa.array(np.searchsorted(row, np.arange(len(texts) + 1)), pa.int32())
-    columns = [coded.dictionary.take(pa.array(code)), pa.array(tf, pa.int64())]
-    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, c) for c in columns], ["words", "tfs"])
+    words = pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(code)))
+    return pa.StructArray.from_arrays([pc.binary_join(words, " "), pa.ListArray.from_arrays(offsets, pa.array(tf, pa.int64()))], ["words", "tfs"])
 
 
-def word_bag(text: Column) -> Column:
-    """struct<words:array<string>, tfs:array<bigint>>: each distinct word of ``text`` and its count, in no order.
+def joined_bag(text: Column) -> Column:
+    """struct<words:string, tfs:array<bigint>>: each distinct word of ``text``, a blank between them, and its count, in no order.
 
-    As ``word_counts``, for tables that keep the words of a page in one row: Spark finds the words, an Arrow batch of texts is counted at once.
+    As ``word_counts``, for tables that keep the words of a page in one row: as one string they are written and read at once.
+    Spark finds the letters, an Arrow batch of texts is counted at once.
     """
-    function = F.arrow_udf(_counted, "words array<string>, tfs array<bigint>").asNondeterministic()
-    return function(F.regexp_replace(_prepared(text), BETWEEN_WORDS, " "))
+    function = F.arrow_udf(_counted, "words string, tfs array<bigint>").asNondeterministic()
+    return function(apply(_prepared(text), "t", _BLANK_OTHERS))
+
+
+def listed(words: Column) -> Column:
+    """array<string>: the words of a ``joined_bag``."""
+    return F.when(words == "", F.expr("array()").cast("array<string>")).otherwise(F.split(words, " "))
+
+
+def word_bag(text: Column) -> Column:
+    """struct<words:array<string>, tfs:array<bigint>>: as ``joined_bag``, with the words as an array."""
+    return F.transform(F.array(joined_bag(text)), lambda bag: F.struct(listed(bag["words"]).alias("words"), bag["tfs"].alias("tfs")))[0]
 
 
 def capitalized(word: Column) -> Column:

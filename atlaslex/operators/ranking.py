@@ -70,31 +70,34 @@ def leading_of_runs(group: str, value: str, n: int) -> Column:
 
 
 def best_of_bags(words: str, tfs: str, entries: pa.Table, n: int, unknown: int = -1) -> Column:
-    """array<struct<word, tf, df, tf_idf>>: the ``n`` words of a row's bag with the largest ``tf / df``, ties by word.
+    """array<struct<word, tf, df, tf_idf>>: the ``n`` words of a row's ``joined_bag`` with the largest ``tf / df``, ties by word, in no order.
 
     ``entries`` (word, df) go to every task; a word it does not have has ``unknown`` as df. A batch of bags is looked up and ranked at once.
     """
     known, frequency = entries["word"].combine_chunks(), np.append(entries["df"].to_numpy(), unknown)
 
     def run(bags: pa.Array, counts: pa.Array) -> pa.Array:
-        sizes = pc.fill_null(pc.list_value_length(bags), 0).to_numpy()
-        word, tf = bags.flatten(), counts.flatten().to_numpy()
+        sizes = pc.fill_null(pc.list_value_length(counts), 0).to_numpy()
+        word, tf = pc.split_pattern(bags, " ").flatten(), counts.flatten().to_numpy()
+        if len(word) > len(tf):
+            # Rows without words.
+            word = word.filter(pc.not_equal(word, ""))
         df = frequency[pc.fill_null(pc.index_in(word, value_set=known), len(known)).to_numpy()]
         of, value = np.repeat(np.arange(len(sizes)), sizes), tf / df
         ends = np.cumsum(sizes)
         least = np.full(len(sizes), -np.inf)
         for row in np.flatnonzero(sizes > n):
             least[row] = np.partition(value[ends[row] - sizes[row] : ends[row]], sizes[row] - n)[sizes[row] - n]
-        # Those as good as the last place, which the words decide on.
-        kept = np.flatnonzero(value >= least[of])
-        named = word.take(pa.array(kept))
-        place = pc.rank(named, tiebreaker="dense").to_numpy()
-        order = np.lexsort((place, -value[kept], of[kept]))
-        start = np.searchsorted(of[kept], np.arange(len(sizes) + 1))
-        order = order[np.arange(len(order)) - start[of[kept]] < n]
-        kept, named = kept[order], named.take(pa.array(order))
+        keep = value > least[of]
+        # Those as good as the last place share what is left of the places, in the order of the words.
+        tied = np.flatnonzero(value == least[of])
+        room = n - np.bincount(of[keep], minlength=len(sizes))
+        tied = tied[np.lexsort((pc.rank(word.take(pa.array(tied)), tiebreaker="dense").to_numpy(), of[tied]))]
+        first = np.searchsorted(of[tied], of[tied])
+        keep[tied[np.arange(len(tied)) - first < room[of[tied]]]] = True
+        kept = np.flatnonzero(keep)
         offsets = pa.array(np.searchsorted(of[kept], np.arange(len(sizes) + 1)), pa.int32())
-        fields = [named, pa.array(tf[kept]), pa.array(df[kept]), pa.array(value[kept])]
+        fields = [word.take(pa.array(kept)), pa.array(tf[kept]), pa.array(df[kept]), pa.array(value[kept])]
         return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, ["word", "tf", "df", "tf_idf"]))
 
     run.__annotations__ = {"bags": pa.Array, "counts": pa.Array, "return": pa.Array}

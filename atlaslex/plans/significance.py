@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atlaslex.functions.markup import strip_markup
-from atlaslex.functions.words import word_bag, word_counts
+from atlaslex.functions.words import joined_bag, listed, word_counts
 from atlaslex.operators.lookup import BROADCAST_BYTES, broadcast_if_small, heavy_keys, lookup_join
 from atlaslex.operators.ranking import best_of_bags, leading_of_runs, top_per_group
 from atlaslex.staging import stage
@@ -27,22 +32,22 @@ def term_counts(pages: DataFrame, *others: str) -> DataFrame:
 
 
 def page_bags(pages: DataFrame, *others: str) -> DataFrame:
-    """(page_id, title, words, tfs) and other columns of pages ``(page_id, title, text)``: the counts of a page stay in its row.
+    """(page_id, title, words, tfs) and other columns of pages ``(page_id, title, text)``: the counts of a page stay in its row, its words as a ``joined_bag``.
 
     ``pages`` must be stored where their text is parsed by a generator: Spark does not take a Python function out of such a plan.
     """
-    counted = pages.select("page_id", "title", *others, word_bag(F.col("text")).alias("bag"))
+    counted = pages.select("page_id", "title", *others, joined_bag(F.col("text")).alias("bag"))
     return counted.select("page_id", "title", *others, "bag.words", "bag.tfs")
 
 
 def words_of_bags(bags: DataFrame, *others: str) -> DataFrame:
     """(word) and other columns: a row for every word of a page, as ``doc_freq`` counts them."""
-    return bags.select(*others, F.explode("words").alias("word"))
+    return bags.select(*others, F.explode(listed(F.col("words"))).alias("word"))
 
 
 def counts_of_bags(bags: DataFrame) -> DataFrame:
     """(page_id, title, word, tf) of bags, as ``term_counts``."""
-    counts = F.arrays_zip(F.col("words").alias("word"), F.col("tfs").alias("tf"))
+    counts = F.arrays_zip(listed(F.col("words")).alias("word"), F.col("tfs").alias("tf"))
     return bags.select("page_id", "title", F.inline(counts).alias("word", "tf"))
 
 
@@ -51,6 +56,28 @@ def doc_freq(counts: DataFrame, *others: Column) -> DataFrame:
     return counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"), *others)
 
 
+def doc_freq_of_bags(bags: DataFrame, marked: Column) -> DataFrame:
+    """(word, df, marked): number of pages with the word, and whether ``marked`` holds on one of them.
+
+    As ``doc_freq`` of ``words_of_bags``: an Arrow batch of stored bags is counted before its words become rows.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = pc.split_pattern(batch["words"], " ")
+            coded = pieces.flatten().dictionary_encode()
+            code, known = coded.indices.to_numpy(), len(coded.dictionary)
+            on = np.repeat(batch["marked"].to_numpy(zero_copy_only=False), pc.list_value_length(pieces).to_numpy())
+            df, found = np.bincount(code, minlength=known), np.zeros(known, dtype=bool)
+            found[code[on]] = True
+            rows = pa.record_batch([coded.dictionary.cast(pa.string()), pa.array(df, pa.int64()), pa.array(found)], ["word", "df", "marked"])
+            # A page without words.
+            yield rows.filter(pc.not_equal(rows["word"], ""))
+
+    parts = bags.select("words", F.coalesce(marked, F.lit(False)).alias("marked")).mapInArrow(counted, "word string, df bigint, marked boolean")
+    return parts.groupBy("word").agg(F.sum("df").alias("df"), F.bool_or("marked").alias("marked"))
+
+
 def usable_df(df: Column, threshold: int = RARE_UP_TO) -> Column:
     """Document frequency used for the score: -1 for rare and unknown words."""
     return F.when(df > threshold, df).otherwise(F.lit(-1)).cast("long")
